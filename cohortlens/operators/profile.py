@@ -40,35 +40,82 @@ def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
                       ["variable", "non_null", "nulls"])
 
 
+def value_count_table(df: DataFrame, columns: Sequence[str], by: str | None = None) -> DataFrame:
+    """(by?, variable, value, n): how often each value occurs, for every column.
+
+    One scan: the columns are unpivoted with ``stack`` and counted with
+    partial aggregation, so each task ships at most one row per distinct
+    (variable, value). For the survey's coded columns that is a few hundred
+    rows whatever the table size. Nulls and NaN are left out.
+    """
+    keep = [by] if by else []
+    wide = df.select(*keep, *[F.col(c).cast("double").alias(c) for c in columns])
+    long = stack_long(wide, [([c], [c]) for c in columns], ["variable", "value"], keep=keep)
+    return (long.filter(F.col("value").isNotNull() & ~F.isnan("value"))
+                .groupBy(*keep, "variable", "value").agg(F.count(F.lit(1)).alias("n")))
+
+
+def _quantile(counts_w: DataFrame, p: float):
+    """Aggregates giving the two order statistics around position (N-1)p."""
+    h = (F.col("total") - 1) * F.lit(p)
+    lo_i, hi_i = F.floor(h), F.ceil(h)
+    inside = lambda i: (F.col("cum_start") <= i) & (i < F.col("cum_end"))
+    return (F.max(F.when(inside(lo_i), F.col("value"))), F.max(F.when(inside(hi_i), F.col("value"))),
+            F.first(h - lo_i))
+
+
 def describe(df: DataFrame, columns: Sequence[str], by: str | None = None,
              approx_accuracy: int | None = None) -> DataFrame:
     """count, mean, sample std, min, quartiles, max per column (optionally per group).
 
-    Quartiles are exact with linear interpolation (``percentile``), whose
-    buffer is one counter per distinct value: right for the survey's coded
-    columns. For a continuous high-cardinality column pass
-    ``approx_accuracy`` to use the bounded-memory ``percentile_approx``.
+    Computed from ``value_count_table``: one scan of the data, then small
+    arithmetic on (value, count) pairs. Quartiles are exact with linear
+    interpolation between the order statistics around (N-1)p, as pandas
+    does. The per-variable window runs over distinct values only, which is
+    right for coded survey columns; for a continuous high-cardinality column
+    pass ``approx_accuracy`` to use the bounded-memory ``percentile_approx``.
     """
-    def q(c, p):
-        if approx_accuracy:
-            return F.percentile_approx(F.col(c), p, approx_accuracy).cast("double")
-        return F.percentile(F.col(c), F.lit(p))
-
+    if approx_accuracy:
+        return _describe_approx(df, columns, by, approx_accuracy)
+    keep = [by] if by else []
+    counts = value_count_table(df, columns, by)
+    part = [*keep, "variable"]
+    w = Window.partitionBy(*part).orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cw = (counts.withColumn("cum_end", F.sum("n").over(w))
+                .withColumn("cum_start", F.col("cum_end") - F.col("n"))
+                .withColumn("total", F.sum("n").over(Window.partitionBy(*part))))
+    aggs, names = [], []
+    for tag, p in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75)):
+        lo, hi, frac = _quantile(cw, p)
+        aggs += [lo.alias(f"{tag}_lo"), hi.alias(f"{tag}_hi"), frac.alias(f"{tag}_f")]
+        names.append(tag)
+    g = cw.groupBy(*part).agg(
+        F.sum("n").alias("count"),
+        (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"),
+        F.min("value").alias("min"), F.max("value").alias("max"), *aggs)
+    # second moment around the mean, from the same small table
+    dev = cw.join(g.select(*part, "mean"), part).groupBy(*part).agg(
+        F.sum(F.col("n") * (F.col("value") - F.col("mean")) ** 2).alias("_ss"))
+    out = g.join(dev, part).withColumn(
+        "std", F.round(F.sqrt(F.try_divide(F.col("_ss"), F.col("count") - 1)), STAT_DIGITS))
+    for tag in names:
+        lo, hi, fr = F.col(f"{tag}_lo"), F.col(f"{tag}_hi"), F.col(f"{tag}_f")
+        out = out.withColumn(tag, F.round(lo + fr * (hi - lo), STAT_DIGITS))
+    return out.select(*part, "count", "mean", "std", "min", *names, "max")
+
+
+def _describe_approx(df: DataFrame, columns: Sequence[str], by: str | None, accuracy: int) -> DataFrame:
     aggs = []
     for i, c in enumerate(columns):
-        aggs += [F.count(F.col(c)).alias(f"n{i}"),
-                 F.avg(F.col(c)).alias(f"mean{i}"),
-                 F.round(F.stddev_samp(F.col(c)), STAT_DIGITS).alias(f"sd{i}"),
-                 F.min(F.col(c)).cast("double").alias(f"min{i}"),
-                 F.round(q(c, 0.25), STAT_DIGITS).alias(f"q1{i}"),
-                 F.round(q(c, 0.5), STAT_DIGITS).alias(f"med{i}"),
-                 F.round(q(c, 0.75), STAT_DIGITS).alias(f"q3{i}"),
-                 F.max(F.col(c)).cast("double").alias(f"max{i}")]
+        x = F.col(c).cast("double")
+        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"mean{i}"),
+                 F.round(F.stddev_samp(x), STAT_DIGITS).alias(f"sd{i}"), F.min(x).alias(f"min{i}"),
+                 F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy).alias(f"q{i}"), F.max(x).alias(f"max{i}")]
     wide = df.groupBy(by).agg(*aggs) if by else df.agg(*aggs)
-    stats = ["n", "mean", "sd", "min", "q1", "med", "q3", "max"]
-    return stack_long(wide, [([c], [f"{s}{i}" for s in stats]) for i, c in enumerate(columns)],
-                      ["variable", "count", "mean", "std", "min", "q25", "q50", "q75", "max"],
-                      keep=[by] if by else [])
+    rows = [([c], [f"n{i}", f"mean{i}", f"sd{i}", f"min{i}", f"q{i}", f"max{i}"]) for i, c in enumerate(columns)]
+    long = stack_long(wide, rows, ["variable", "count", "mean", "std", "min", "_q", "max"], keep=[by] if by else [])
+    return long.select(*([by] if by else []), "variable", "count", "mean", "std", "min",
+                       F.col("_q")[0].alias("q25"), F.col("_q")[1].alias("q50"), F.col("_q")[2].alias("q75"), "max")
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -107,24 +154,19 @@ def label_conflicts(df: DataFrame, features: Sequence[str], target: str) -> Data
                       F.sum((F.col("lo") != F.col("hi")).cast("int")).cast("bigint").alias("conflicting"))
 
 
-def histogram(df: DataFrame, columns: Sequence[str], bins: int = 30) -> DataFrame:
-    """Equal-width histogram of every column: one min/max pass, one count pass.
+def histogram(df: DataFrame, columns: Sequence[str], bins: int = 30,
+              counts: DataFrame | None = None) -> DataFrame:
+    """Equal-width histogram of every column from ``value_count_table``.
 
-    The range pass is a one-row aggregate whose values become literals; the
-    count pass bins every column in the same scan and unpivots the bin ids,
-    and partial aggregation leaves at most ``len(columns) * bins`` rows per
-    task to shuffle.
+    One scan of the data; each distinct value is binned once against its
+    column's min and max (the maximum lands in the last bin, a constant
+    column in bin 1) and the counts summed per bin.
     """
-    rng = df.agg(*[x for c in columns for x in (F.min(c).cast("double"), F.max(c).cast("double"))]).first()
-    binned = df.select(*[equal_width_bin(F.col(c).cast("double"), F.lit(rng[2 * i]), F.lit(rng[2 * i + 1]), bins)
-                         .alias(f"b{i}") for i, c in enumerate(columns)])
-    long = stack_long(binned, [([c], [f"b{i}"]) for i, c in enumerate(columns)], ["variable", "bin"])
-    lo = F.create_map(*[x for i, c in enumerate(columns) for x in (F.lit(c), F.lit(rng[2 * i]))])
-    hi = F.create_map(*[x for i, c in enumerate(columns) for x in (F.lit(c), F.lit(rng[2 * i + 1]))])
-    return (long.filter(F.col("bin").isNotNull()).groupBy("variable", "bin")
-                .agg(F.count(F.lit(1)).alias("n"))
-                .withColumn("lo", lo[F.col("variable")])
-                .withColumn("hi", hi[F.col("variable")]))
+    counts = counts if counts is not None else value_count_table(df, columns)
+    rng = counts.groupBy("variable").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    binned = counts.join(rng, "variable").withColumn(
+        "bin", equal_width_bin(F.col("value"), F.col("lo"), F.col("hi"), bins))
+    return binned.groupBy("variable", "bin", "lo", "hi").agg(F.sum("n").cast("bigint").alias("n"))
 
 
 def outlier_count(df: DataFrame, column: str, above: float) -> DataFrame:
