@@ -146,7 +146,8 @@ def train_leaderboard(df: DataFrame, features: Sequence[str], label: str,
                                   "model string, accuracy double, precision double, recall double, f1 double, "
                                   "recall_pos double, f1_pos double, auc_pr double, fit_seconds double")
     board = board.withColumn("baseline_auc_pr", F.lit(float(p)))
-    best = max(rows, key=lambda r: (r[metric], r["model"]))["model"]
+    # same order as the board: metric descending, ties by model name
+    best = min(rows, key=lambda r: (-r[metric], r["model"]))["model"]
     return board.orderBy(F.col(metric).desc(), F.col("model")), best, fitted
 
 

@@ -52,6 +52,17 @@ def score(model: PipelineModel, name: str, requests: DataFrame, required: Sequen
     return scored.unionByName(bad)
 
 
+def requests_from_json(df: DataFrame, body_col: str = "body", id_col: str = "request_id") -> DataFrame:
+    """Parse JSON request bodies ``{"features": {name: number, ...}}``.
+
+    A body that does not parse gives a null map, which ``score`` rejects
+    with every required name missing.
+    """
+    parsed = F.from_json(F.col(body_col), "features map<string,double>")
+    m = F.coalesce(parsed["features"], F.create_map().cast("map<string,double>"))
+    return df.select(F.col(id_col).cast("bigint").alias("request_id"), m.alias("features"))
+
+
 def requests_from_table(df: DataFrame, features: Sequence[str], id_col: str,
                         drop_key_when=None, extra_key: str | None = None) -> DataFrame:
     """Turn table rows into requests (a map per row).

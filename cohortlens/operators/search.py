@@ -15,6 +15,7 @@ seed gives the same populations whatever the parallelism or layout.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -188,6 +189,7 @@ def search(df: DataFrame, predictors: Sequence[str], label: str, cfg: SearchConf
     data = FitnessData(df, predictors, label, cfg.folds, cfg.seed)
     memo: dict = {}
     try:
+        t_start = time.perf_counter()
         pop = _scored(spark, initial_population(spark, cfg.size, n, cfg.seed), data, cfg, memo)
         history = []
         for gen in range(1, cfg.generations + 1):
@@ -195,8 +197,8 @@ def search(df: DataFrame, predictors: Sequence[str], label: str, cfg: SearchConf
             nxt = mutate(crossover(top, n, cfg.gamma, cfg.seed, gen), cfg.mutation, cfg.seed, gen, cfg.protect)
             pop = _scored(spark, nxt, data, cfg, memo)
             s = pop.agg(F.max("fitness").alias("best"), F.avg("fitness").alias("mean")).first()
-            history.append((gen, s["best"], s["mean"]))
-        hist = spark.createDataFrame(history, "generation int, best double, mean double")
+            history.append((gen, s["best"], s["mean"], time.perf_counter() - t_start))
+        hist = spark.createDataFrame(history, "generation int, best double, mean double, elapsed_s double")
         final = decode(pop, predictors)
         best = final.orderBy(F.col("fitness").desc(), F.col("cand_id")).first().asDict()
         return best, hist, final
@@ -204,6 +206,20 @@ def search(df: DataFrame, predictors: Sequence[str], label: str, cfg: SearchConf
         data.release()
 
 
+def run_log_summary(history: DataFrame) -> DataFrame:
+    """Seconds per generation: total elapsed / (generations + 1), counting the
+    initial population's evaluation as one generation."""
+    return history.agg(F.max("generation").alias("generations"), F.max("elapsed_s").alias("total_s")) \
+        .withColumn("seconds_per_generation", F.col("total_s") / (F.col("generations") + 1))
+
+
+def speedup(a: DataFrame, b: DataFrame) -> float:
+    """Ratio of two run summaries' totals (a / b); one scalar each."""
+    ta = run_log_summary(a).first()["total_s"]
+    tb = run_log_summary(b).first()["total_s"]
+    return ta / tb
+
+
 def baseline(df: DataFrame, predictors: Sequence[str], label: str, cfg: SearchConfig | None = None) -> float:
     """Fitness of the all-ones mask (every predictor)."""
     cfg = cfg or SearchConfig()

@@ -271,6 +271,14 @@ def q_corr_matrix(spark, sf):
     return SEL.corr_matrix(clean(spark, sf), S.columns)
 
 
+@register("selection_roundtrip", O.feature_rank_sql(10))
+def q_selection_roundtrip(spark, sf):
+    """The ranked selection written as a CSV side table and read back (S6, S7)."""
+    path = work_path(spark, "selection")
+    IO.write_selection(SEL.select_features(clean(spark, sf), S.predictors, S.target, 10), path)
+    return IO.read_selection(spark, path)
+
+
 # -- splits and joins -------------------------------------------------------------------
 
 @register("split_anti", O.with_ctes(f"SELECT * FROM curated WHERE NOT ({SPLIT_BUCKET_SQL} < 80)"))

@@ -53,7 +53,7 @@ def q_assemble(spark, sf):
 @register("train_leaderboard")
 def q_train_leaderboard(spark, sf):
     board, best, fitted = M.train_leaderboard(curated(spark, sf), chosen_features(spark, sf), S.target,
-                                              split_keys=S.columns)
+                                              split_keys=S.columns, parallelism=5)
     return board.drop("fit_seconds").withColumn("best", F.col("model") == F.lit(best))
 
 
@@ -89,5 +89,9 @@ def q_folds(spark, sf):
 
 @register("subset_search")
 def q_subset_search(spark, sf):
-    best, hist, final = GA.search(curated(spark, sf), S.predictors, S.target, SEARCH_SMOKE)
-    return final.withColumn("generation", F.lit(SEARCH_SMOKE.generations))
+    cur = curated(spark, sf)
+    best, hist, final = GA.search(cur, S.predictors, S.target, SEARCH_SMOKE)
+    base = GA.baseline(cur, S.predictors, S.target, SEARCH_SMOKE)
+    return (final.withColumn("generation", F.lit(SEARCH_SMOKE.generations))
+                 .withColumn("baseline_fitness", F.lit(base))
+                 .withColumn("best", F.col("cand_id") == F.lit(best["cand_id"])))

@@ -77,6 +77,26 @@ def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+# -- selection side table: the chosen feature list travels as a small CSV ------
+
+SELECTION_SCHEMA = "variable string, correlation double, rank bigint, selected boolean"
+
+
+def write_selection(df: DataFrame, path: str) -> None:
+    """The ranked selection (one row per predictor) as one CSV file."""
+    write_csv(df.select("variable", "correlation", F.col("rank").cast("bigint"), "selected"), path,
+              single_file=True)
+
+
+def read_selection(spark: SparkSession, path: str) -> DataFrame:
+    """The selection table back, in rank order; the order is part of the contract."""
+    return spark.read.option("header", True).schema(SELECTION_SCHEMA).csv(path).orderBy("rank")
+
+
+def selected_names(selection: DataFrame) -> list[str]:
+    return [r["variable"] for r in selection.filter("selected").orderBy("rank").select("variable").collect()]
+
+
 # -- manifest: the row count and schema a producer hands to a consumer --------
 
 MANIFEST_SCHEMA = "dataset string, rows bigint, schema_json string, written_at timestamp"
