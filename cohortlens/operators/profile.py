@@ -80,24 +80,25 @@ def describe(df: DataFrame, columns: Sequence[str], by: str | None = None,
     keep = [by] if by else []
     counts = value_count_table(df, columns, by)
     part = [*keep, "variable"]
-    w = Window.partitionBy(*part).orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    per_var = Window.partitionBy(*part)
+    w = per_var.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # every per-variable quantity is a window over the small count table, so
+    # the data is scanned once and nothing is joined back
     cw = (counts.withColumn("cum_end", F.sum("n").over(w))
                 .withColumn("cum_start", F.col("cum_end") - F.col("n"))
-                .withColumn("total", F.sum("n").over(Window.partitionBy(*part))))
+                .withColumn("total", F.sum("n").over(per_var))
+                .withColumn("_mean", F.sum(F.col("value") * F.col("n")).over(per_var) / F.col("total")))
     aggs, names = [], []
     for tag, p in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75)):
         lo, hi, frac = _quantile(cw, p)
         aggs += [lo.alias(f"{tag}_lo"), hi.alias(f"{tag}_hi"), frac.alias(f"{tag}_f")]
         names.append(tag)
-    g = cw.groupBy(*part).agg(
+    out = cw.groupBy(*part).agg(
         F.sum("n").alias("count"),
-        (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"),
-        F.min("value").alias("min"), F.max("value").alias("max"), *aggs)
-    # second moment around the mean, from the same small table
-    dev = cw.join(g.select(*part, "mean"), part).groupBy(*part).agg(
-        F.sum(F.col("n") * (F.col("value") - F.col("mean")) ** 2).alias("_ss"))
-    out = g.join(dev, part).withColumn(
-        "std", F.round(F.sqrt(F.try_divide(F.col("_ss"), F.col("count") - 1)), STAT_DIGITS))
+        F.first("_mean").alias("mean"),
+        F.min("value").alias("min"), F.max("value").alias("max"),
+        F.sum(F.col("n") * (F.col("value") - F.col("_mean")) ** 2).alias("_ss"), *aggs)
+    out = out.withColumn("std", F.round(F.sqrt(F.try_divide(F.col("_ss"), F.col("count") - 1)), STAT_DIGITS))
     for tag in names:
         lo, hi, fr = F.col(f"{tag}_lo"), F.col(f"{tag}_hi"), F.col(f"{tag}_f")
         out = out.withColumn(tag, F.round(lo + fr * (hi - lo), STAT_DIGITS))
@@ -126,10 +127,13 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 def value_share(df: DataFrame, column: str) -> DataFrame:
-    """Relative counts. The total is a window over the already-grouped rows,
-    so only one row per distinct value meets in the final task."""
-    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    return (counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))
+    """Relative counts. The total is a one-row aggregate (one scalar to the
+    driver), not an unpartitioned window, so no single task has to see every
+    distinct value of a high-cardinality column."""
+    present = df.filter(F.col(column).isNotNull())
+    total = present.agg(F.count(F.lit(1))).first()[0]
+    counts = present.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    return (counts.withColumn("share", F.col("n") / F.lit(total).cast("bigint"))
                   .orderBy(F.col("n").desc(), F.col(column)))
 
 
@@ -163,9 +167,10 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 30,
     column in bin 1) and the counts summed per bin.
     """
     counts = counts if counts is not None else value_count_table(df, columns)
-    rng = counts.groupBy("variable").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-    binned = counts.join(rng, "variable").withColumn(
-        "bin", equal_width_bin(F.col("value"), F.col("lo"), F.col("hi"), bins))
+    per_var = Window.partitionBy("variable")
+    binned = (counts.withColumn("lo", F.min("value").over(per_var))
+                    .withColumn("hi", F.max("value").over(per_var))
+                    .withColumn("bin", equal_width_bin(F.col("value"), F.col("lo"), F.col("hi"), bins)))
     return binned.groupBy("variable", "bin", "lo", "hi").agg(F.sum("n").cast("bigint").alias("n"))
 
 
