@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import hashed_uniform
-from .split import stratified_folds
+from .split import hash_folds, stratified_folds
 
 POP_SCHEMA = "cand_id bigint, genes array<int>"
 
@@ -46,18 +46,21 @@ class SearchConfig:
     seed: int = 42
     parallelism: int = 4
     protect: int = 0            # rows exempt from mutation (0 = as the source)
+    fold_method: str = "stratified"   # or "hash": window-free, stratified in expectation
 
 
 class FitnessData:
     """Assembled predictors + label + fold + per-fold balanced weights, persisted."""
 
     def __init__(self, df: DataFrame, predictors: Sequence[str], label: str, k: int, seed: int,
-                 fold_keys: Sequence[str] | None = None):
+                 fold_keys: Sequence[str] | None = None, fold_method: str = "stratified"):
         self.predictors = list(predictors)
         self.label = label
         self.k = k
         base = df.select(*self.predictors, F.col(label).cast("double").alias("label"))
-        folded = stratified_folds(base, "label", k, seed, keys=fold_keys or [*self.predictors, "label"])
+        keys = fold_keys or [*self.predictors, "label"]
+        folded = (hash_folds(base, k, seed, keys=keys) if fold_method == "hash"
+                  else stratified_folds(base, "label", k, seed, keys=keys))
         counts = {(r["fold"], r["label"]): r["n"] for r in
                   folded.groupBy("fold", "label").agg(F.count(F.lit(1)).alias("n")).collect()}
         weights = {}
@@ -186,7 +189,7 @@ def search(df: DataFrame, predictors: Sequence[str], label: str, cfg: SearchConf
     cfg = cfg or SearchConfig()
     spark = df.sparkSession
     n = len(predictors)
-    data = FitnessData(df, predictors, label, cfg.folds, cfg.seed)
+    data = FitnessData(df, predictors, label, cfg.folds, cfg.seed, fold_method=cfg.fold_method)
     memo: dict = {}
     try:
         t_start = time.perf_counter()
@@ -223,7 +226,7 @@ def speedup(a: DataFrame, b: DataFrame) -> float:
 def baseline(df: DataFrame, predictors: Sequence[str], label: str, cfg: SearchConfig | None = None) -> float:
     """Fitness of the all-ones mask (every predictor)."""
     cfg = cfg or SearchConfig()
-    data = FitnessData(df, predictors, label, cfg.folds, cfg.seed)
+    data = FitnessData(df, predictors, label, cfg.folds, cfg.seed, fold_method=cfg.fold_method)
     try:
         return fitness(data, [[1] * len(predictors)], cfg)[0]
     finally:

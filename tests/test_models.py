@@ -73,3 +73,26 @@ def test_selection_side_table_keeps_rank_order(spark, tmp_dir):
     back = IO.read_selection(spark, path)
     assert IO.selected_names(back) == SEL.selected_list(ranked)
     assert [r["rank"] for r in back.collect()] == [1, 2, 3]
+
+
+def test_stream_scoring_equals_batch(spark, tmp_dir):
+    from cohortlens.streaming import score_stream
+    df = _data(spark)
+    _, best, fitted = M.train_leaderboard(df, ["a", "b"], "y", split_keys=["id"], models=["LogisticRegression"])
+    req = SC.requests_from_table(df, ["a", "b"], "id", drop_key_when=(F.col("id") % 50 == 0))
+    src = os.path.join(tmp_dir, "src")
+    req.repartition(3).write.parquet(src)
+    streamed = score_stream.run_available(spark, fitted[best], best, ["a", "b"], src,
+                                          os.path.join(tmp_dir, "sink"), os.path.join(tmp_dir, "ckpt"))
+    batch = SC.score(fitted[best], best, spark.read.parquet(src), ["a", "b"])
+    key = lambda rows: sorted((r.request_id, r.status, r.prediction, r.probability) for r in rows)
+    assert key(streamed.collect()) == key(batch.collect())
+    assert streamed.filter("status = 'rejected'").count() == 12
+
+
+def test_hash_folds_cover_all_rows(spark):
+    from cohortlens.operators.split import hash_folds
+    df = _data(spark, 900)
+    f = hash_folds(df, 3, 42, keys=["id", "a", "b", "y"])
+    counts = [r.n for r in f.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert sum(counts) == 900 and len(counts) == 3 and min(counts) > 250
