@@ -22,7 +22,6 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml.classification import DecisionTreeClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -42,7 +41,7 @@ class SearchConfig:
     mutation: float = 0.05      # per-gene flip probability, applied to every row
     folds: int = 3
     max_depth: int = 5
-    max_bins: int = 128         # above the measure's distinct values: exact splits
+    max_bins: int = 64          # above any coded column's distinct values: exact splits
     seed: int = 42
     parallelism: int = 4
     protect: int = 0            # rows exempt from mutation (0 = as the source)
@@ -88,8 +87,17 @@ def fold_f1(data: FitnessData, indices: Sequence[int], fold: int, cfg: SearchCon
     tree = DecisionTreeClassifier(featuresCol="features", labelCol="label", weightCol=f"w{fold}",
                                   maxDepth=cfg.max_depth, maxBins=cfg.max_bins, seed=cfg.seed)
     pred = tree.fit(train).transform(test)
-    return MulticlassClassificationEvaluator(labelCol="label", metricName="fMeasureByLabel",
-                                            metricLabel=1.0).evaluate(pred)
+    return positive_f1(pred)
+
+
+def positive_f1(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> float:
+    """F1 of class 1 = 2tp / (2tp + fp + fn), one aggregate; 0.0 when undefined
+    (no predicted and no actual positives), as ``fMeasureByLabel`` gives."""
+    y, p = F.col(label) == 1.0, F.col(prediction) == 1.0
+    r = pred.agg(F.count_if(y & p).alias("tp"), F.count_if(~y & p).alias("fp"),
+                 F.count_if(y & ~p).alias("fn")).first()
+    den = 2 * r["tp"] + r["fp"] + r["fn"]
+    return 2.0 * r["tp"] / den if den else 0.0
 
 
 def fitness(data: FitnessData, genes_list: Sequence[Sequence[int]], cfg: SearchConfig,
