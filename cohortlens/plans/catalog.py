@@ -343,7 +343,7 @@ def q_curated_roundtrip(spark, sf):
 @register("scan_parquet", O.with_ctes(f"SELECT {O.T}, {S.measure}, {S.band_col} FROM curated"))
 def q_scan_parquet(spark, sf):
     path, _ = write_curated(spark, sf)
-    return IO.scan_parquet(spark, path).select(S.target, S.measure, S.band_col)
+    return IO.scan_parquet(spark, path, S.curated_schema).select(S.target, S.measure, S.band_col)
 
 
 @register("partition_pruned", O.with_ctes(f"SELECT * FROM curated WHERE {S.band_col} = '{S.age_labels[-1]}'"))

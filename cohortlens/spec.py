@@ -80,6 +80,17 @@ class SurveySpec:
         """Read schema: every contract column as double, never inferred."""
         return T.StructType([T.StructField(c, T.DoubleType(), True) for c in self.columns])
 
+    @property
+    def curated_schema(self) -> T.StructType:
+        """Curated table: id (if any), contract columns and score as short, band as string.
+
+        Handing it to the reader skips footer schema inference on every scan.
+        """
+        fields = [T.StructField(self.id_col, T.LongType(), True)] if self.id_col else []
+        fields += [T.StructField(c, T.ShortType(), True) for c in (*self.columns, self.score_col)]
+        fields.append(T.StructField(self.band_col, T.StringType(), True))
+        return T.StructType(fields)
+
     def with_(self, **kw) -> "SurveySpec":
         return replace(self, **kw)
 
