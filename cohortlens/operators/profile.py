@@ -20,13 +20,18 @@ STAT_DIGITS = 9  # non-exact statistics (deviations, interpolated quantiles)
 
 
 def profile(df: DataFrame, spec: SurveySpec) -> DataFrame:
-    """rows, null cells, positives, positive %, column count: one pass."""
+    """rows, null cells, positives, positive %, column count, and rows whose
+    age code fell outside every band (a quality failure, kept as a null
+    band rather than a fake label): one pass."""
     cols = list(spec.columns)
     nulls = sum((F.col(c).isNull().cast("bigint") for c in cols[1:]),
                 F.col(cols[0]).isNull().cast("bigint"))
+    band_missing = (F.count_if(F.col(spec.band_col).isNull()) if spec.band_col in df.columns
+                    else F.lit(None).cast("bigint"))
     return (df.agg(F.count(F.lit(1)).alias("rows"),
                    F.sum(nulls).alias("nulls"),
-                   F.sum(F.col(spec.target)).cast("bigint").alias("positives"))
+                   F.sum(F.col(spec.target)).cast("bigint").alias("positives"),
+                   band_missing.alias("band_missing"))
               .withColumn("positive_pct", F.lit(100.0) * F.col("positives") / F.col("rows"))
               .withColumn("n_columns", F.lit(len(df.columns)).cast("bigint")))
 

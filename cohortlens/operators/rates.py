@@ -29,8 +29,14 @@ def score_gradient_having(df: DataFrame, target: str, score: str, min_n: int = 1
               .orderBy(score))
 
 
-def group_rate(df: DataFrame, keys: Sequence[str], target: str) -> DataFrame:
-    """Count and mean of the target per key combination (partial + final agg)."""
+def group_rate(df: DataFrame, keys: Sequence[str], target: str, drop_null_keys: bool = True) -> DataFrame:
+    """Count and mean of the target per key combination (partial + final agg).
+
+    Rows with a null key are left out by default, as the source's group-by
+    did; Spark alone would report them as a null group.
+    """
+    if drop_null_keys:
+        df = df.na.drop(subset=list(keys))
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.avg(F.col(target)).alias("rate"))
 
 

@@ -87,7 +87,7 @@ def q_score_gradient_having(spark, sf):
 
 @register("band_sex_rate", O.with_ctes(
     f"SELECT {S.band_col}, {S.sex}, COUNT(*) AS n, AVG({O.T}) AS rate "
-    f"FROM curated GROUP BY {S.band_col}, {S.sex}"))
+    f"FROM curated WHERE {S.band_col} IS NOT NULL AND {S.sex} IS NOT NULL GROUP BY {S.band_col}, {S.sex}"))
 def q_band_sex_rate(spark, sf):
     return R.group_rate(curated(spark, sf), [S.band_col, S.sex], S.target)
 
@@ -154,7 +154,8 @@ def q_zero_share(spark, sf):
     " + ".join(f"COUNT(*) FILTER (WHERE {c} IS NULL)" for c in O.ALL) +
     f" AS nulls, CAST(SUM({O.T}) AS BIGINT) AS positives, "
     f"CAST(100 AS DOUBLE) * CAST(SUM({O.T}) AS BIGINT) / COUNT(*) AS positive_pct, "
-    f"CAST({len(S.columns) + 3} AS BIGINT) AS n_columns FROM clean"))
+    f"CAST({len(S.columns) + 3} AS BIGINT) AS n_columns, "
+    f"COUNT(*) FILTER (WHERE {S.band_col} IS NULL) AS band_missing FROM clean"))
 def q_profile(spark, sf):
     return P.profile(clean(spark, sf), S)
 

@@ -81,3 +81,14 @@ def test_class_weight_requires_both_classes(spark):
         with_class_weight(df, "y", "w", 0.0)
     w = with_class_weight(spark.createDataFrame([(0,), (1,), (0,), (0,)], "y int"), "y", "w", 0.25)
     assert [r.w for r in w.collect()] == [1.0, 3.0, 1.0, 1.0]
+
+
+def test_null_band_counted_and_dropped_from_groups(spark):
+    from cohortlens.operators import clean as C
+    from cohortlens.spec import HEART
+    from fixtures import frame, row
+    df = C.derive(frame(spark, [row(Age=0.0), row(Age=14.0), row(Age=3.0)]), HEART)
+    assert P.profile(df, HEART).collect()[0].band_missing == 2
+    groups = R.group_rate(df, [HEART.band_col], HEART.target).collect()
+    assert [(g.age_band, g.n) for g in groups] == [("1_18a39", 1)]
+    assert len(R.group_rate(df, [HEART.band_col], HEART.target, drop_null_keys=False).collect()) == 2
