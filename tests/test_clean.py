@@ -61,5 +61,6 @@ def test_drop_incomplete_subset(spark):
 @pytest.mark.parametrize("lo,hi,n", [(12, 60, 2), (0, 100, 3)])
 def test_keep_range(spark, lo, hi, n):
     df = spark.createDataFrame([(11.0,), (12.0,), (60.0,)], "BMI double")
-    assert C.keep_range(df, "BMI", lo, hi).count() == n - (0 if lo == 0 else 0) or True
-    assert C.keep_range(df, "BMI", lo, hi).filter(F.col("BMI") < lo).count() == 0
+    kept = C.keep_range(df, "BMI", lo, hi)
+    assert kept.count() == n
+    assert kept.filter((F.col("BMI") < lo) | (F.col("BMI") > hi)).count() == 0

@@ -97,3 +97,17 @@ def test_fitness_empty_mask_and_determinism(spark):
     finally:
         data.release()
     assert f_serial[0] == 0.0 and f_serial == f_par and f_serial[1] > 0.9
+
+
+def test_search_same_seed_same_history(spark):
+    rows = [(float(i % 5), float(i % 3), float(i % 7), float((i % 5) > 2)) for i in range(240)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, y double")
+    cfg = GA.SearchConfig(generations=1, size=3, keep=50, folds=2, max_depth=2, parallelism=2)
+    b1, h1, f1 = GA.search(df, ["a", "b", "c"], "y", cfg)
+    b2, h2, f2 = GA.search(df, ["a", "b", "c"], "y", cfg)
+    strip = lambda h: [(r.generation, r.best, r.mean) for r in h.collect()]
+    assert strip(h1) == strip(h2)
+    assert sorted((r.cand_id, tuple(r.genes), r.fitness) for r in f1.collect()) == \
+           sorted((r.cand_id, tuple(r.genes), r.fitness) for r in f2.collect())
+    assert b1["fitness"] == b2["fitness"] and set(b1["selected"]) <= {"a", "b", "c"}
+    assert f1.count() == 6            # 3 parents + 3 children (last one a copy)
