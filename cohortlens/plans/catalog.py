@@ -63,9 +63,7 @@ def curated(spark: SparkSession, sf: str) -> DataFrame:
 def write_curated(spark: SparkSession, sf: str) -> tuple[str, int]:
     """Write the curated table partitioned by age band; return (path, rows)."""
     path = work_path(spark, "curated")
-    df = curated(spark, sf)
-    IO.write_partitioned(df, path, S.band_col)
-    rows = spark.read.parquet(path).count()
+    rows = IO.write_partitioned(curated(spark, sf), path, S.band_col)
     return path, rows
 
 
