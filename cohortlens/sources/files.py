@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,18 +58,18 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     (df.coalesce(1) if single_file else df).write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_partitioned(df: DataFrame, path: str, key: str) -> int:
-    """Snappy Parquet partitioned by ``key``, overwrite; returns rows written.
+def write_partitioned(df: DataFrame, path: str, key: str) -> None:
+    """Snappy Parquet partitioned by ``key``, overwrite.
 
     The ``rebalance`` hint shuffles on the key with AQE splitting large
     partitions, so each key value lands in a few well-sized files instead of
-    one file per (task, value), and a dominant value is still split. The row
-    count is observed during the write itself (no second pass over the data).
+    one file per (task, value), and a dominant value is still split.
+    (Counting rows with ``DataFrame.observe`` during the write was tried: on
+    PySpark 4.1 it left later MLlib evaluations in the same session failing
+    with "Task not serializable", so the count is a separate read.)
     """
-    obs = Observation("write_partitioned")
-    (df.observe(obs, F.count(F.lit(1)).alias("rows")).hint("rebalance", key).write.mode("overwrite")
+    (df.hint("rebalance", key).write.mode("overwrite")
        .option("compression", "snappy").partitionBy(key).parquet(path))
-    return int(obs.get["rows"])
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
