@@ -1,0 +1,47 @@
+"""Registered queries: each applies one operator to its whole table."""
+
+from __future__ import annotations
+
+from pathlib import Path
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from . import jaccard_join, line_dedup, substring_dedup
+from .text import table
+
+QUERIES = {}
+
+
+def ready(spark: SparkSession) -> None:
+    """Let Python workers import this package where it lies (a cluster's own
+    ``--py-files`` or installed package comes first)."""
+    root = str(Path(__file__).resolve().parents[2])
+    path = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in path.split(":"):
+        spark.sparkContext.environment["PYTHONPATH"] = f"{path}:{root}".strip(":")
+
+
+def register(f):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ready(spark)
+        return f(spark, sf_dir)
+    QUERIES[f.__name__] = query
+    return query
+
+
+@register
+def op2_jaccard_join(spark, sf_dir):
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@register
+def op7_line_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.line_dedup(docs).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@register
+def op9_substring_dedup(spark, sf_dir):
+    return substring_dedup.substring_dedup(table(spark, sf_dir, "documents")).drop("kept_text")
