@@ -8,7 +8,7 @@ from __future__ import annotations
 
 
 def queries():
-    from . import queries as registered
+    from . import registered
     return dict(registered.QUERIES)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.llm import graph, jaccard_join, line_dedup
-from cohortlens.llm.queries import ready
+from cohortlens.llm.registered import ready
 from cohortlens.llm.text import table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
