@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_join, line_dedup, substring_dedup
+from . import fingerprints, jaccard_join, line_dedup, mixing, packing, substring_dedup
 from .text import table
 
 QUERIES = {}
@@ -30,11 +30,26 @@ def register(f):
     return query
 
 
+@register
+def op1_fingerprints(spark, sf_dir):
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents")).drop("next_doc_id")
+
+
 @register
 def op2_jaccard_join(spark, sf_dir):
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+@register
+def op3_best_fit_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@register
+def op6_mixing(spark, sf_dir):
+    return mixing.Mix(table(spark, sf_dir, "documents")).documents()
+
+
 @register
 def op7_line_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
