@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, jaccard_join, line_dedup, mixing, packing, substring_dedup
+from . import fingerprints, jaccard_join, line_dedup, mixing, packing, quality, secret_scan, substring_dedup
 from .text import table
 
 QUERIES = {}
@@ -45,6 +45,13 @@ def op3_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@register
+def op5_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return quality.score_quality(docs, quality.fit(docs, table(spark, sf_dir, "labels"))).select(
+        "doc_id", "held_out", "score", "predicted")
+
+
 @register
 def op6_mixing(spark, sf_dir):
     return mixing.Mix(table(spark, sf_dir, "documents")).documents()
@@ -60,3 +67,8 @@ def op7_line_dedup(spark, sf_dir):
 @register
 def op9_substring_dedup(spark, sf_dir):
     return substring_dedup.substring_dedup(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
+@register
+def op10_secrets(spark, sf_dir):
+    return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
