@@ -29,12 +29,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .nets import Adam, fold, sample_ids, sigmoid
-from .text import word_hashes
+from .text import batches_of, word_hashes
 
 FOLDS, HELD_OUT = 5, 0
 THRESHOLD = 0.3
 HIDDEN = 16
-BATCH_BYTES = 1 << 20           # text whose statistics are worked out at once
 
 # classes of bytes; a character outside ASCII counts by its bytes
 _CLASS = np.full(256, 6, dtype=np.int64)
@@ -83,18 +82,6 @@ def statistics(texts: list[str]) -> np.ndarray:
         np.log1p(n_words), np.log1p(shares.sum(axis=1)) - np.log1p(n_words), np.log1p(lines)])
 
 
-def batches_of(texts: list[str], most: int = BATCH_BYTES):
-    """(first, last) of runs of texts of about ``most`` characters."""
-    at = 0
-    while at < len(texts):
-        end, size = at, 0
-        while end < len(texts) and (end == at or size + len(texts[end]) <= most):
-            size += len(texts[end])
-            end += 1
-        yield at, end
-        at = end
-
-
 def all_statistics(texts: list[str]) -> np.ndarray:
     return np.concatenate([statistics(texts[a:b]) for a, b in batches_of(texts)])
 

@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, jaccard_join, line_dedup, mixing, packing, quality, secret_scan, substring_dedup
+from . import fingerprints, jaccard_join, line_dedup, mixing, packing, quality, secret_scan, substring_dedup, toxicity
 from .text import table
 
 QUERIES = {}
@@ -45,6 +45,12 @@ def op3_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@register
+def op4_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_toxicity(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 @register
 def op5_quality(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")

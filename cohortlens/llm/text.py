@@ -78,10 +78,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(texts, fold_case: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each word, first word of each text + the total), texts in order.
+def word_spans(texts, fold_case: bool = False, breaks: np.ndarray = _IS_SPACE):
+    """(bytes of the texts end to end, start and end of each word, first word of each text + the total).
 
-    A null text has no words.
+    ``breaks`` marks the bytes between words. A null text has no words.
     """
     raw = [b"" if t is None else t.encode() for t in texts]
     buf = np.frombuffer(b"\n".join(raw) + b"\n", dtype=np.uint8)
@@ -89,10 +89,15 @@ def word_hashes(texts, fold_case: bool = False) -> tuple[np.ndarray, np.ndarray]
     ends_of_text = np.cumsum(lengths)
     if fold_case:
         buf = _LOWER[buf]
-    space = _IS_SPACE[buf]
+    space = breaks[buf]
     inside = ~space
     starts = np.flatnonzero(inside & np.concatenate(([True], space[:-1])))
     ends = np.flatnonzero(space & np.concatenate(([False], inside[:-1])))
+    return buf, starts, ends, np.concatenate(([0], np.searchsorted(starts, ends_of_text)))
+
+
+def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each span of bytes; spans in order and apart."""
     hashes = np.empty(len(starts), dtype=np.uint64)
     i = 0
     while i < len(starts):                                # slabs bound the 8-byte arrays
@@ -103,9 +108,31 @@ def word_hashes(texts, fold_case: bool = False) -> tuple[np.ndarray, np.ndarray]
         at = starts[i:j] - lo
         hashes[i:j] = (sums[ends[i:j] - lo] - sums[at]) * _powers(_BASE_INV, hi - lo)[at]
         i = j
-    hashes = mix(hashes)
-    first = np.concatenate(([0], np.searchsorted(starts, ends_of_text)))
-    return hashes, first
+    return mix(hashes)
+
+
+def word_hashes(texts, fold_case: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of each word, first word of each text + the total), texts in order."""
+    buf, starts, ends, first = word_spans(texts, fold_case)
+    return span_hashes(buf, starts, ends), first
+
+
+def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """starts[i], starts[i] + 1, .. of lengths[i] values each, one after the other."""
+    before = np.cumsum(lengths) - lengths
+    return np.arange(int(lengths.sum())) - np.repeat(before - starts, lengths)
+
+
+def batches_of(texts, most: int = 1 << 20):
+    """(first, last) of runs of texts of about ``most`` characters."""
+    at = 0
+    while at < len(texts):
+        end, size = at, 0
+        while end < len(texts) and (end == at or size + len(texts[end] or "") <= most):
+            size += len(texts[end] or "")
+            end += 1
+        yield at, end
+        at = end
 
 
 def window_hashes(words: np.ndarray, n: int, step: np.uint64 = _STEP) -> np.ndarray:
