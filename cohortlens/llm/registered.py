@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, jaccard_join, line_dedup, mixing, packing, quality, secret_scan, substring_dedup, toxicity
+from . import fingerprints, jaccard_join, line_dedup, mixing, neighbours, packing, quality, secret_scan, substring_dedup, toxicity
 from .text import table
 
 QUERIES = {}
@@ -78,3 +78,10 @@ def op9_substring_dedup(spark, sf_dir):
 @register
 def op10_secrets(spark, sf_dir):
     return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+
+
+@register
+def op8_nn_descent(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    asked = vectors.select(F.col("vec_id").alias("id")).filter(F.col("vec_id") % 100 == 0)
+    return neighbours.Index(vectors).search(asked)
