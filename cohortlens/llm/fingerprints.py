@@ -165,7 +165,6 @@ _ARROW = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sh
 
 def fingerprints(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Fingerprint of every row of ``docs``, of its edited text, and their likeness (``RESULT``)."""
-    spark = docs.sparkSession
     n_rows, n_bytes = text_bytes(docs)
     n_chunks = min(max(MIN_CHUNKS, -(-n_bytes // chunk_bytes)), max(1, n_rows))
     keyed = docs.select(F.coalesce("doc_id", F.lit(_LOWEST)).alias("key"), "text")
@@ -180,8 +179,14 @@ def fingerprints(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     placed = keyed.withColumn("chunk", chunk_of("key"))
     heads = sorted(((r["chunk"], r["head"]) for r in placed.groupBy("chunk").agg(F.max("key").alias("head")).collect()),
                    reverse=True)                          # one id for each chunk
-    guests = [(heads[(i + 1) % len(heads)][1], heads[i][0]) for i in range(len(heads))] if len(heads) > 1 else []
-    visits = spark.createDataFrame(guests, "key long, chunk int")
-    both = placed.withColumn("guest", F.lit(False)).unionByName(
-        keyed.join(visits, "key").select("key", "text", "chunk", F.lit(True).alias("guest")))
+    visits = {heads[(i + 1) % len(heads)][1]: heads[i][0] for i in range(len(heads))} if len(heads) > 1 else {}
+
+    @F.pandas_udf(T.IntegerType())
+    def visited(key):
+        return key.map(visits).astype(np.int32)
+
+    # one row a chunk: picked by id in the scan, so the texts are shuffled once
+    guests = keyed.filter(F.col("key").isin(list(visits))).select(
+        "key", "text", visited("key").alias("chunk"), F.lit(True).alias("guest"))
+    both = placed.withColumn("guest", F.lit(False)).unionByName(guests)
     return both.groupBy("chunk").applyInArrow(_fingerprint, RESULT)
