@@ -34,12 +34,12 @@ from pyspark.sql.window import Window
 from .graph import stored
 from .text import mix
 
-DEGREE = 24                     # neighbours kept of a node
+DEGREE = 32                     # neighbours kept of a node
 PIVOT_SETS = 6
 CELL_ROWS = 600                 # nodes of a cell that are compared with each other, about
-SAMPLE = 10                     # neighbours, and as many listing nodes, that meet in a round
-ROUNDS = 3
-BEAM, EXPAND, HOPS = 40, 10, 8
+SAMPLE = 14                     # neighbours, and as many listing nodes, that meet in a round
+ROUNDS = 4
+BEAM, EXPAND, HOPS = 96, 24, 6
 BLOCK_ROWS = 2000
 MIN_BLOCKS = 32
 MAX_PIVOTS = 4096
