@@ -13,7 +13,7 @@ Defined results: a null text is one empty line; a line shorter than
 ``min_chars`` is always kept; repeated rows of one doc_id count as one document,
 and each keeps or loses the same lines; a null doc_id counts as no document, so
 its lines never decide and are never dropped; an empty table gives an empty
-result; further columns are ignored.
+result; further columns are carried, those named like a result column are replaced.
 """
 
 from __future__ import annotations
@@ -21,7 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SPACES = " \t\n\x0b\x0c\r"
+from .text import SPACES, fresh
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -68,17 +69,18 @@ def drop_bitmaps(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> Dat
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """The documents with ``kept_text``, ``n_lines`` and ``n_dropped`` added."""
-    marks = bitmaps.select(F.col("doc_id").alias("_id"), F.col("n_dropped").alias("_n"), F.col("drop").alias("_drop"))
-    joined = docs.join(marks, docs["doc_id"] == F.col("_id"), "left")
+    """The documents with ``kept_text``, ``n_lines`` and ``n_dropped`` added (or replaced)."""
+    key, count, drop = fresh(docs, "_id", "_n", "_drop")
+    marks = bitmaps.select(F.col("doc_id").alias(key), F.col("n_dropped").alias(count), F.col("drop").alias(drop))
+    joined = docs.join(marks, F.col("doc_id") == F.col(key), "left")
     lines = lines_of(F.col("text"))
     kept = F.array_join(F.filter(lines, lambda x, i: F.coalesce(F.getbit(
-        F.element_at("_drop", F.floor(i / 64).cast("int")), (i % 64).cast("int")), F.lit(0)) == 0), "\n")
+        F.element_at(drop, F.floor(i / 64).cast("int")), (i % 64).cast("int")), F.lit(0)) == 0), "\n")
     return (joined
-            .withColumn("kept_text", F.when(F.col("_drop").isNull(), F.coalesce(F.col("text"), F.lit(""))).otherwise(kept))
+            .withColumn("kept_text", F.when(F.col(drop).isNull(), F.coalesce(F.col("text"), F.lit(""))).otherwise(kept))
             .withColumn("n_lines", F.size(lines).cast("long"))
-            .withColumn("n_dropped", F.coalesce(F.col("_n"), F.lit(0)).cast("long"))
-            .drop("_id", "_n", "_drop"))
+            .withColumn("n_dropped", F.coalesce(F.col(count), F.lit(0)).cast("long"))
+            .drop(key, count, drop))
 
 
 def line_dedup(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:

@@ -31,13 +31,13 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from .graph import stored
-from .text import mix
+from .text import fresh, mix
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -45,6 +45,7 @@ BLOCK_WORDS = 128
 SHARD_SLOTS = 512
 GROUP_ROWS = 20_000
 MIN_GROUPS = 64
+RUNS = "_runs of the mix"
 _EXACT = 10**9                  # the largest urn that numpy draws from
 
 
@@ -131,16 +132,13 @@ def _slots(quotas: list[int], blocks: list[int], shard_slots: int, seed: int):
 
 
 class Mix:
-    """The mix of ``docs``: ``documents()``, ``slots``, ``texts()``.
-
-    ``carry`` names further columns of ``docs`` that ``texts()`` needs.
-    """
+    """The mix of ``docs``: ``documents()``, ``slots``, ``texts()``."""
 
     def __init__(self, docs: DataFrame, share: float = 1.5, most: float = 2.0, block_words: int = BLOCK_WORDS,
-                 shard_slots: int = SHARD_SLOTS, seed: int = 7, carry: tuple[str, ...] = ()):
+                 shard_slots: int = SHARD_SLOTS, seed: int = 7):
         spark = docs.sparkSession
-        size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-        sized = stored(docs.select("doc_id", "source", *carry, size.alias("size")), "sized")
+        self._docs = docs
+        sized = stored(docs.select("doc_id", "source", word_count("text").alias("size")), "sized")
         rows = sized.groupBy("source").agg(F.sum("size").alias("n"), F.count(F.lit(1)).alias("rows")).collect()
         rows.sort(key=lambda r: (r["source"] is None, (r["source"] or "").encode()))
         sizes = [int(r["n"]) for r in rows]
@@ -170,7 +168,6 @@ class Mix:
         self.slots = spark.range(0, n_shards, 1, parts).mapInArrow(
             _slots(quotas, blocks, shard_slots, seed), "shard long, slot int, source_no int, block long")
         self._block_words = block_words
-        self._carry = carry
 
     def _spans(self) -> DataFrame:
         """Each document's part of each block it touches, with the times the mix takes the block."""
@@ -192,14 +189,24 @@ class Mix:
             "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
     def texts(self) -> DataFrame:
-        """The carried columns of the documents that the mix takes words of, ``text`` being
-        those words: the taken runs in order, then those taken again."""
+        """The documents that the mix takes words of, in the columns of ``docs``, ``text``
+        being those words: the taken runs in order, then those taken again."""
         runs = self._spans().groupBy("source_no", "grp", "row").agg(
             F.sort_array(F.collect_list(F.struct("lo", "hi", "times"))).alias("_runs"))
-        joined = self._placed.join(runs, ["source_no", "grp", "row"]).select(
-            "doc_id", "source", *self._carry, "_runs")
-        schema = T.StructType([f for f in joined.schema.fields if f.name != "_runs"])
-        return joined.mapInArrow(_take_runs, schema)
+        # rows that repeat an id are told apart by their place among them
+        size, copy, key, taken_copy = fresh(self._docs, "_size", "_copy", "_id", "_taken_copy")
+        among = F.row_number().over(Window.partitionBy("doc_id").orderBy("source", size))
+        taken = (self._placed.withColumnRenamed("size", size).withColumn(taken_copy, among)
+                 .join(runs, ["source_no", "grp", "row"])
+                 .select(F.col("doc_id").alias(key), taken_copy, F.col("_runs").alias(RUNS)))
+        numbered = self._docs.withColumn(size, word_count("text")).withColumn(copy, among)
+        joined = numbered.join(taken, F.col("doc_id").eqNullSafe(F.col(key)) & (F.col(copy) == F.col(taken_copy))).select(
+            *self._docs.columns, RUNS)
+        return joined.mapInArrow(_take_runs, self._docs.schema)
+
+
+def word_count(text: str) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
 def taken_text(text: str, runs: list[tuple[int, int, int]]) -> str:
@@ -227,8 +234,9 @@ def word_bounds(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 def _take_runs(batches):
     for batch in batches:
-        texts = [taken_text(t, [(r["lo"], r["hi"], r["times"]) for r in runs]) for t, runs in zip(
-            batch.column("text").to_pylist(), batch.column("_runs").to_pylist(), strict=True)]
-        names = [n for n in batch.schema.names if n != "_runs"]
+        runs = batch.column(RUNS).to_pylist()
+        texts = [taken_text(t, [(r["lo"], r["hi"], r["times"]) for r in of]) for t, of in zip(
+            batch.column("text").to_pylist(), runs, strict=True)]
+        names = [n for n in batch.schema.names if n != RUNS]
         yield pa.RecordBatch.from_arrays(
             [pa.array(texts, pa.string()) if n == "text" else batch.column(n) for n in names], names)

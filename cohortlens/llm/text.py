@@ -35,6 +35,17 @@ def text_bytes(docs: DataFrame, text_col: str = "text") -> tuple[int, int]:
     return int(row[0]), int(row[1])
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores before it until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
 def chunk_number(key: Column, chunks: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(chunks)).cast("int")
 

@@ -10,35 +10,59 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import graph, jaccard_join, line_dedup
+from cohortlens.llm import graph, jaccard_join, line_dedup, mixing, packing, quality
 from cohortlens.llm.registered import ready
 from cohortlens.llm.text import table
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def keep_good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Stage 1: documents that the quality classifier rejects go."""
+    ready(spark)
+    net = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.score_quality(docs, net, keep=COLUMNS).filter("predicted = 1").select(*COLUMNS)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Stage 2: long lines of many documents stay only in the largest doc_id that
     holds them. A document may end up with an empty text; it stays."""
     ready(spark)
-    kept = line_dedup.line_dedup(docs)
-    return (kept.withColumn("text", F.when(F.col("n_dropped") > 0, F.col("kept_text")).otherwise(F.col("text")))
-            .withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.char_length("text").cast("long"))
-                        .otherwise(F.col("n_chars"))).select(*COLUMNS))
+    kept = line_dedup.line_dedup(docs.select(*COLUMNS))
+    changed = F.col("n_dropped") > 0
+    return (kept.withColumn("text", F.when(changed, F.col("kept_text")).otherwise(F.col("text")))
+            .withColumn("n_chars", F.when(changed, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
+            .select(*COLUMNS))
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Stage 3: of the documents in one Jaccard component, the smallest doc_id stays."""
     ready(spark)
     classes = jaccard_join.jaccard_join(docs)
-    firsts = classes.filter(F.col("component_id").isNull() | (F.col("component_id") == F.col("doc_id")))
-    return docs.join(firsts.select(F.col("doc_id").alias("_first")).distinct(),
-                     F.col("doc_id").eqNullSafe(F.col("_first")), "left_semi").select(*COLUMNS)
+    others = classes.filter(F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("_id")).distinct()
+    return docs.select(*COLUMNS).join(others, F.col("doc_id") == F.col("_id"), "left_anti")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Stage 4: the words that the mix takes of each document, repeats after the
+    first pass; documents that it takes nothing of go."""
+    ready(spark)
+    taken = mixing.Mix(docs.select(*COLUMNS)).texts()
+    return taken.withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Stage 5: pieces of the documents in sequences of at most 2048 tokens."""
+    ready(spark)
+    return packing.pack(docs)
 
 
 STAGES = [
+    ("quality", keep_good_documents),
     ("line_dedup", drop_repeated_lines),
     ("jaccard_join", keep_one_of_near_copies),
+    ("mixing", mix_sources),
+    ("best_fit_packing", pack_sequences),
 ]
 
 ORACLE_SQL = None
