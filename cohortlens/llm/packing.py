@@ -20,6 +20,7 @@ pieces, lengths and checksums do not.
 
 from __future__ import annotations
 
+import re
 import zlib
 
 import numpy as np
@@ -29,11 +30,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import stored
+from .text import batches_of
 
 CAPACITY = 2048
 NEARLY_FULL = 0.995
 GROUP_BINS = 256
-KEPT_WORDS = 300_000            # words whose ids a worker keeps at most
+KEPT_WORDS = 1_200_000          # words, and parts of words, whose ids a worker keeps, about
 _ITEMS = ("doc_id long, piece int, start long, length long, ids_crc32 long, bin long, offset long, fill int")
 
 
@@ -42,26 +44,61 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+# words whose splitting is plain: printable ASCII and precomposed Latin letters
+_PLAIN = re.compile(r"[!-~À-ÖØ-öø-įı-ňŊ-ž]+")
+# fixed value: the vocabulary's splitter, for plain words in lower case
+_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
+
+
 class WordTokenizer:
-    """Ids of whole texts as little-endian unsigned 32-bit bytes, words kept."""
+    """Ids of whole texts as little-endian unsigned 32-bit bytes.
+
+    The ids of a word are kept, and so are those of the parts that the splitter
+    makes of plain words ("The", "the," and "the." share a part); new parts are
+    tokenised many at a time. Other words go to the tokenizer whole.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-
-    def __call__(self, text: str | None) -> bytes:
-        words = (text or "").encode().split()
-        try:
-            return b"".join([self.known[w] for w in words])
-        except KeyError:
-            if len(self.known) > KEPT_WORDS:
-                self.known = {}
-            new = [w for w in dict.fromkeys(words) if w not in self.known]
-            for w in new:
-                ids = self.tokenizer.encode(w.decode(), add_special_tokens=False).ids
-                self.known[w] = np.array(ids, dtype="<u4").tobytes()
-            return b"".join([self.known[w] for w in words])
+        size = self.tokenizer.get_vocab_size()
+        self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
+        self.words: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def _encode(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+
+    def _learn_parts(self, parts: list[str]) -> None:
+        for i in range(0, len(parts), 500):
+            some = parts[i:i + 500]
+            ids = self._encode(" ".join(some))
+            cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(cuts) == len(some) and cuts[-1] == 4 * len(ids):
+                raw = ids.tobytes()
+                each = [raw[a:b] for a, b in zip([0, *cuts], cuts, strict=False)]
+            else:
+                each = [self._encode(x).tobytes() for x in some]
+            self.parts.update(zip(some, each, strict=True))
+
+    def _learn(self, words: list[bytes]) -> None:
+        texts = [w.decode() for w in words]
+        split = [_PARTS.findall(t.lower()) if _PLAIN.fullmatch(t) and "<|" not in t else None for t in texts]
+        known = self.parts
+        self._learn_parts(list(set().union(*[x for x in split if x]).difference(known)))
+        for word, text, parts in zip(words, texts, split, strict=True):
+            self.words[word] = (self._encode(text).tobytes() if parts is None else
+                                known[parts[0]] if len(parts) == 1 else b"".join([known[x] for x in parts]))
+
+    def __call__(self, texts: list[str | None]) -> list[bytes]:
+        if len(self.words) > KEPT_WORDS:
+            self.words = {}
+        if len(self.parts) > KEPT_WORDS:
+            self.parts = {}
+        split = [(t or "").encode().split() for t in texts]
+        self._learn(list(set().union(*split).difference(self.words)))
+        known = self.words.__getitem__
+        return [b"".join(map(known, words)) for words in split]
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
@@ -99,16 +136,17 @@ def _pack_partition(path: str, capacity: int, end_id: int):
         _TOKENIZERS[path] = tokenizer
         docs, pieces, starts, lengths, crcs = [], [], [], [], []
         for batch in batches:
-            texts = batch.column("text")
-            for row, doc in enumerate(batch.column("doc_id").to_pylist()):
-                ids = tokenizer(texts[row].as_py()) + end
-                for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[at:at + 4 * capacity]
-                    docs.append(doc)
-                    pieces.append(piece)
-                    starts.append(at // 4)
-                    lengths.append(len(part) // 4)
-                    crcs.append(zlib.crc32(part))
+            texts, ids_of_docs = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
+            for lo, hi in batches_of(texts):
+                for doc, ids in zip(ids_of_docs[lo:hi], tokenizer(texts[lo:hi]), strict=True):
+                    ids += end
+                    for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
+                        part = ids[at:at + 4 * capacity]
+                        docs.append(doc)
+                        pieces.append(piece)
+                        starts.append(at // 4)
+                        lengths.append(len(part) // 4)
+                        crcs.append(zlib.crc32(part))
         bins, offsets, fills = best_fit(lengths, capacity)
         first = TaskContext.get().partitionId() << 32
         columns = [pa.array(docs, pa.int64()), pa.array(pieces, pa.int32()), pa.array(starts, pa.int64()),
