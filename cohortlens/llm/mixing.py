@@ -179,7 +179,8 @@ class Mix:
                            F.greatest(F.col("block") * n - F.col("start"), F.lit(0)).alias("lo"),
                            F.least((F.col("block") + 1) * n - F.col("start"), F.col("size")).alias("hi")))
         taken = self.slots.groupBy("source_no", "block").agg(F.count(F.lit(1)).alias("times"))
-        return touched.join(taken, ["source_no", "block"])
+        # the planner takes the slots for as few as their shards, and would broadcast them
+        return touched.hint("merge").join(taken.hint("merge"), ["source_no", "block"])
 
     def documents(self) -> DataFrame:
         """doc_id, size, source_size, target, taken."""
