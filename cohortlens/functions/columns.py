@@ -47,14 +47,22 @@ def right_closed_band(col: Column, edges: Sequence[float], labels: Sequence[str]
 
 
 def safe_corr(a: str | Column, b: str | Column) -> Column:
-    """Pearson correlation that is null, not an error, for a constant input.
+    """Pearson correlation over the rows where both values exist; null for a constant input.
 
     ``corr`` fails with DIVIDE_BY_ZERO under ANSI mode; the population
-    covariance over the product of population deviations is the same value.
+    covariance over the product of population deviations is the same value,
+    with either side set to null where the other one is.
     """
     a = F.col(a) if isinstance(a, str) else a
     b = F.col(b) if isinstance(b, str) else b
-    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+    x, y = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
+def corr_from_sums(n: Column, sx: Column, sy: Column, sxx: Column, syy: Column, sxy: Column) -> Column:
+    """Pearson correlation from plain sums over the rows where both values exist."""
+    vx, vy = n * sxx - sx * sx, n * syy - sy * sy
+    return F.when((vx > 0) & (vy > 0), F.try_divide(n * sxy - sx * sy, F.sqrt(vx) * F.sqrt(vy)))
 
 
 def hashed_uniform(seed: int, *keys: Column, resolution: int = 1 << 30) -> Column:

@@ -132,13 +132,10 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 def value_share(df: DataFrame, column: str) -> DataFrame:
-    """Relative counts. The total is a one-row aggregate (one scalar to the
-    driver), not an unpartitioned window, so no single task has to see every
-    distinct value of a high-cardinality column."""
-    present = df.filter(F.col(column).isNotNull())
-    total = present.agg(F.count(F.lit(1))).first()[0]
-    counts = present.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    return (counts.withColumn("share", F.col("n") / F.lit(total).cast("bigint"))
+    """Relative counts: the total is a scalar subquery over the counts, whose
+    shuffle Spark reuses, so the table is scanned once."""
+    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    return (counts.withColumn("share", F.col("n") / counts.agg(F.sum("n")).scalar())
                   .orderBy(F.col("n").desc(), F.col(column)))
 
 
@@ -169,14 +166,17 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 30,
 
     One scan of the data; each distinct value is binned once against its
     column's min and max (the maximum lands in the last bin, a constant
-    column in bin 1) and the counts summed per bin.
+    column in bin 1) and the counts summed per bin. Empty bins are rows too.
     """
     counts = counts if counts is not None else value_count_table(df, columns)
-    per_var = Window.partitionBy("variable")
-    binned = (counts.withColumn("lo", F.min("value").over(per_var))
-                    .withColumn("hi", F.max("value").over(per_var))
+    # the range comes from a partial aggregate, so no task holds all values of a column
+    edges = counts.groupBy("variable").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    binned = (counts.join(edges, "variable")
                     .withColumn("bin", equal_width_bin(F.col("value"), F.col("lo"), F.col("hi"), bins)))
-    return binned.groupBy("variable", "bin", "lo", "hi").agg(F.sum("n").cast("bigint").alias("n"))
+    every = edges.select("variable", F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(bins).cast("bigint"))).alias("bin"),
+                         "lo", "hi", F.lit(0).cast("bigint").alias("n"))
+    return (binned.select("variable", "bin", "lo", "hi", "n").unionByName(every)
+            .groupBy("variable", "bin", "lo", "hi").agg(F.sum("n").cast("bigint").alias("n")))
 
 
 def outlier_count(df: DataFrame, column: str, above: float) -> DataFrame:

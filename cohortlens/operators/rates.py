@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from ..functions.reshape import stack_long
 
 
-
-
 def score_gradient(df: DataFrame, target: str, score: str) -> DataFrame:
     """Per score level: non-null target count, mean, percent."""
     return (df.groupBy(score)
@@ -43,26 +41,36 @@ def group_rate(df: DataFrame, keys: Sequence[str], target: str, drop_null_keys:
 def _factor_counts(df: DataFrame, variables: Sequence[str], target: str) -> DataFrame:
     """(variable, value, n, cases) by pre-aggregating on all the variables first.
 
+    ``n`` counts rows with a target, so cases / n is the mean of the target;
+    null keys are left out; keys keep their values (as doubles).
+
     The first aggregate has at most prod(distinct values) groups (2^k for k
     binaries), so every row is hashed once, not k times; only that small
     result is unpivoted and re-aggregated.
     """
-    pre = (df.select(*[F.col(v).cast("int").alias(v) for v in variables],
+    pre = (df.select(*[F.col(v).cast("double").alias(v) for v in variables],
                      F.col(target).cast("bigint").alias("_y"))
              .groupBy(*variables)
-             .agg(F.count(F.lit(1)).alias("_n"), F.sum("_y").alias("_c")))
+             .agg(F.count("_y").alias("_n"), F.sum("_y").alias("_c")))
     long = stack_long(pre, [([v], [v]) for v in variables], ["variable", "value"], keep=["_n", "_c"])
-    return (long.groupBy("variable", "value")
-                .agg(F.sum("_n").cast("bigint").alias("n"), F.sum("_c").cast("bigint").alias("cases")))
+    return (long.filter(F.col("value").isNotNull()).groupBy("variable", "value")
+                .agg(F.sum("_n").cast("bigint").alias("n"),
+                     F.coalesce(F.sum("_c"), F.lit(0)).cast("bigint").alias("cases"))
+                .filter("n > 0"))
 
 
 def prevalence_by_factor(df: DataFrame, variables: Sequence[str], target: str) -> DataFrame:
     """Target rate for every value of every listed variable, sorted."""
-    return (_factor_counts(df, variables, target)
+    return (_factor_counts(df, variables, target).withColumn("value", F.col("value").cast("int"))
             .withColumn("rate", F.col("cases") / F.col("n"))
             .orderBy("variable", "value"))
 
 
+def rounded_report(df: DataFrame, rate: str = "rate", digits: int = 2) -> DataFrame:
+    """Report form of a rate table: the percent, rounded."""
+    return df.withColumn(f"{rate}_pct", F.round(F.col(rate) * 100, digits)).drop(rate)
+
+
 def binary_only(variables: Sequence[str], binary: Sequence[str]) -> list[str]:
     """Restrict a variable list to the known 0/1 columns, keeping its order."""
     known = set(binary)

@@ -1,7 +1,7 @@
 """Scoring requests with a saved pipeline: batch or stream, same transform.
 
 A request is ``(request_id, features map<string,double>)``. Requests missing
-any required feature are routed to the rejected output with the missing
+any required feature, or holding null or NaN for it, are rejected with those
 names; extra keys are ignored and key order does not matter, because values
 are looked up by name and assembled in the model's own feature order.
 """
@@ -20,36 +20,33 @@ OUTPUT_COLUMNS = ["request_id", "status", "model", "prediction", "risk", "probab
 
 
 def missing_features(map_col: str, required: Sequence[str]):
+    """Required names that the map lacks or holds as null or NaN."""
     need = F.array(*[F.lit(c) for c in required])
-    return F.array_except(need, F.map_keys(F.col(map_col)))
-
-
-def split_requests(requests: DataFrame, required: Sequence[str], map_col: str = "features"):
-    """(valid, rejected): one predicate on the missing-name list, no join."""
-    tagged = requests.withColumn("missing", missing_features(map_col, required))
-    ok = F.size("missing") == 0
-    return tagged.filter(ok), tagged.filter(~ok)
+    value = lambda name: F.element_at(F.col(map_col), name)
+    return F.filter(need, lambda name: F.coalesce(value(name).isNull() | F.isnan(value(name)), F.lit(True)))
 
 
 def score(model: PipelineModel, name: str, requests: DataFrame, required: Sequence[str],
           map_col: str = "features") -> DataFrame:
-    """Scored and rejected requests in one frame; valid + rejected = input."""
-    valid, rejected = split_requests(requests, required, map_col)
-    wide = valid.select("request_id", *[F.element_at(F.col(map_col), F.lit(c)).alias(c) for c in required])
+    """Scored and rejected requests in one frame; scored + rejected = input.
+
+    One pass: a rejected request goes through the model with zeros in the
+    gaps, and its outputs are set to null. No value of a request can fail
+    the job.
+    """
+    tagged = requests.select("request_id", missing_features(map_col, required).alias("missing"), F.col(map_col).alias("_m"))
+    value = lambda c: F.element_at("_m", F.lit(c))
+    wide = tagged.select("request_id", "missing", *[
+        F.when(F.array_contains("missing", F.lit(c)), F.lit(0.0)).otherwise(value(c)).alias(c) for c in required])
     pred = model.transform(wide)
+    ok = F.size("missing") == 0
     prob = (F.get(vector_to_array(F.col("probability")), 1) if "probability" in pred.columns
             else F.lit(None).cast("double"))
-    scored = pred.select(
-        "request_id", F.lit("scored").alias("status"), F.lit(name).alias("model"),
-        F.col("prediction").cast("int").alias("prediction"),
-        (F.col("prediction") == 1).alias("risk"),
-        F.round(prob, 4).alias("probability"),
-        F.array().cast("array<string>").alias("missing"))
-    bad = rejected.select(
-        "request_id", F.lit("rejected").alias("status"), F.lit(name).alias("model"),
-        F.lit(None).cast("int").alias("prediction"), F.lit(None).cast("boolean").alias("risk"),
-        F.lit(None).cast("double").alias("probability"), F.col("missing"))
-    return scored.unionByName(bad)
+    return pred.select(
+        "request_id", F.when(ok, "scored").otherwise("rejected").alias("status"), F.lit(name).alias("model"),
+        F.when(ok, F.col("prediction").cast("int")).alias("prediction"),
+        F.when(ok, F.col("prediction") == 1).alias("risk"),
+        F.when(ok, F.round(prob, 4)).alias("probability"), "missing")
 
 
 def requests_from_json(df: DataFrame, body_col: str = "body", id_col: str = "request_id") -> DataFrame:

@@ -41,18 +41,19 @@ class SearchConfig:
     mutation: float = 0.05      # per-gene flip probability, applied to every row
     folds: int = 3
     max_depth: int = 5
-    max_bins: int = 64          # above any coded column's distinct values: exact splits
+    max_bins: int | None = None  # None: the most distinct values of any predictor, so splits are exact
     seed: int = 42
     parallelism: int = 4
     protect: int = 0            # rows exempt from mutation (0 = as the source)
-    fold_method: str = "stratified"   # or "hash": window-free, stratified in expectation
+    fold_method: str = "hash"   # window-free, stratified in expectation; or "stratified"
+    dedup: bool = False         # replace repeated masks of a generation by fresh random ones
 
 
 class FitnessData:
     """Assembled predictors + label + fold + per-fold balanced weights, persisted."""
 
     def __init__(self, df: DataFrame, predictors: Sequence[str], label: str, k: int, seed: int,
-                 fold_keys: Sequence[str] | None = None, fold_method: str = "stratified"):
+                 fold_keys: Sequence[str] | None = None, fold_method: str = "hash"):
         self.predictors = list(predictors)
         self.label = label
         self.k = k
@@ -60,8 +61,14 @@ class FitnessData:
         keys = fold_keys or [*self.predictors, "label"]
         folded = (hash_folds(base, k, seed, keys=keys) if fold_method == "hash"
                   else stratified_folds(base, "label", k, seed, keys=keys))
+        vec = VectorAssembler(inputCols=self.predictors, outputCol="all_features").transform(folded)
+        # persisted before anything is counted: the input is read once
+        self.data = vec.select("all_features", "label", "fold", *self.predictors).persist(StorageLevel.MEMORY_AND_DISK)
         counts = {(r["fold"], r["label"]): r["n"] for r in
-                  folded.groupBy("fold", "label").agg(F.count(F.lit(1)).alias("n")).collect()}
+                  self.data.groupBy("fold", "label").agg(F.count(F.lit(1)).alias("n")).collect()}
+        # a few more bins than an approximate count asks for
+        distinct = self.data.agg(*[F.approx_count_distinct(c, 0.02) for c in self.predictors]).first()
+        self.bins = int(max(32, 1.1 * max(distinct) + 2))
         weights = {}
         for f in range(k):
             n0 = sum(v for (fo, y), v in counts.items() if fo != f and y == 0.0)
@@ -70,22 +77,23 @@ class FitnessData:
                 raise ValueError(f"fold {f}: training side lacks a class (n0={n0}, n1={n1})")
             # balanced: n / (2 * n_class), computed on the training side of the fold
             weights[f] = ((n0 + n1) / (2.0 * n0), (n0 + n1) / (2.0 * n1))
-        vec = VectorAssembler(inputCols=self.predictors, outputCol="all_features").transform(folded)
-        cols = [F.col("all_features"), F.col("label"), F.col("fold")]
-        for f, (w0, w1) in weights.items():
-            cols.append(F.when(F.col("label") == 1.0, F.lit(w1)).otherwise(F.lit(w0)).alias(f"w{f}"))
-        self.data = vec.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+        self.weights = weights
+
+    def weight(self, fold: int):
+        w0, w1 = self.weights[fold]
+        return F.when(F.col("label") == 1.0, F.lit(w1)).otherwise(F.lit(w0))
 
     def release(self):
         self.data.unpersist()
 
 
 def fold_f1(data: FitnessData, indices: Sequence[int], fold: int, cfg: SearchConfig) -> float:
-    sliced = VectorSlicer(inputCol="all_features", outputCol="features", indices=list(indices)).transform(data.data)
-    train = sliced.filter(F.col("fold") != fold)
+    sliced = VectorSlicer(inputCol="all_features", outputCol="features", indices=list(indices)).transform(
+        data.data.select("all_features", "label", "fold"))
+    train = sliced.filter(F.col("fold") != fold).withColumn("weight", data.weight(fold))
     test = sliced.filter(F.col("fold") == fold)
-    tree = DecisionTreeClassifier(featuresCol="features", labelCol="label", weightCol=f"w{fold}",
-                                  maxDepth=cfg.max_depth, maxBins=cfg.max_bins, seed=cfg.seed)
+    tree = DecisionTreeClassifier(featuresCol="features", labelCol="label", weightCol="weight", maxMemoryInMB=1024,
+                                  maxDepth=cfg.max_depth, maxBins=cfg.max_bins or data.bins, seed=cfg.seed)
     pred = tree.fit(train).transform(test)
     return positive_f1(pred)
 
@@ -173,6 +181,14 @@ def mutate(pop: DataFrame, p: float, seed: int, generation: int, protect: int =
     return pop.withColumn("genes", F.transform(F.col("genes"), flip))
 
 
+def fresh_copies(pop: DataFrame, n_genes: int, seed: int, generation: int) -> DataFrame:
+    """Every mask once: a later row with the same genes gets random ones instead."""
+    nth = F.row_number().over(Window.partitionBy("genes").orderBy("cand_id"))
+    u = lambda i: hashed_uniform(seed, F.lit(generation), F.lit(3), F.col("cand_id"), i)
+    other = F.transform(F.sequence(F.lit(0), F.lit(n_genes - 1)), lambda i: (u(i) < 0.5).cast("int"))
+    return pop.withColumn("_nth", nth).select("cand_id", F.when(F.col("_nth") > 1, other).otherwise(F.col("genes")).alias("genes"))
+
+
 def decode(pop: DataFrame, names: Sequence[str]) -> DataFrame:
     """Add the chosen column names, in predictor order."""
     arr = F.array(*[F.lit(n) for n in names])
@@ -188,16 +204,20 @@ def _scored(spark: SparkSession, pop: DataFrame, data: FitnessData, cfg: SearchC
                                  "cand_id bigint, genes array<int>, fitness double")
 
 
-def search(df: DataFrame, predictors: Sequence[str], label: str, cfg: SearchConfig | None = None):
+def search(df: DataFrame, predictors: Sequence[str], label: str, cfg: SearchConfig | None = None,
+           data: FitnessData | None = None):
     """Run the search. Returns (best row dict, history DataFrame, last population).
 
+    ``data`` shares one prepared table with ``baseline``; the caller releases it.
+
     The answer is the best of the last generation, as in the source (its
     "elitism" mutates the kept parents too; set ``protect`` to keep them).
     """
     cfg = cfg or SearchConfig()
     spark = df.sparkSession
     n = len(predictors)
-    data = FitnessData(df, predictors, label, cfg.folds, cfg.seed, fold_method=cfg.fold_method)
+    own = data is None
+    data = data or FitnessData(df, predictors, label, cfg.folds, cfg.seed, fold_method=cfg.fold_method)
     memo: dict = {}
     try:
         t_start = time.perf_counter()
@@ -206,6 +226,8 @@ def search(df: DataFrame, predictors: Sequence[str], label: str, cfg: SearchConf
         for gen in range(1, cfg.generations + 1):
             top = select_top(pop, cfg.keep)
             nxt = mutate(crossover(top, n, cfg.gamma, cfg.seed, gen), cfg.mutation, cfg.seed, gen, cfg.protect)
+            if cfg.dedup:
+                nxt = fresh_copies(nxt, n, cfg.seed, gen)
             pop = _scored(spark, nxt, data, cfg, memo)
             s = pop.agg(F.max("fitness").alias("best"), F.avg("fitness").alias("mean")).first()
             history.append((gen, s["best"], s["mean"], time.perf_counter() - t_start))
@@ -214,7 +236,8 @@ def search(df: DataFrame, predictors: Sequence[str], label: str, cfg: SearchConf
         best = final.orderBy(F.col("fitness").desc(), F.col("cand_id")).first().asDict()
         return best, hist, final
     finally:
-        data.release()
+        if own:
+            data.release()
 
 
 def run_log_summary(history: DataFrame) -> DataFrame:
@@ -224,18 +247,14 @@ def run_log_summary(history: DataFrame) -> DataFrame:
         .withColumn("seconds_per_generation", F.col("total_s") / (F.col("generations") + 1))
 
 
-def speedup(a: DataFrame, b: DataFrame) -> float:
-    """Ratio of two run summaries' totals (a / b); one scalar each."""
-    ta = run_log_summary(a).first()["total_s"]
-    tb = run_log_summary(b).first()["total_s"]
-    return ta / tb
-
-
-def baseline(df: DataFrame, predictors: Sequence[str], label: str, cfg: SearchConfig | None = None) -> float:
+def baseline(df: DataFrame, predictors: Sequence[str], label: str, cfg: SearchConfig | None = None,
+             data: FitnessData | None = None) -> float:
     """Fitness of the all-ones mask (every predictor)."""
     cfg = cfg or SearchConfig()
-    data = FitnessData(df, predictors, label, cfg.folds, cfg.seed, fold_method=cfg.fold_method)
+    own = data is None
+    data = data or FitnessData(df, predictors, label, cfg.folds, cfg.seed, fold_method=cfg.fold_method)
     try:
         return fitness(data, [[1] * len(predictors)], cfg)[0]
     finally:
-        data.release()
+        if own:
+            data.release()

@@ -3,43 +3,68 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import safe_corr
+from ..functions.columns import corr_from_sums
 from ..functions.reshape import stack_long
 
 CORR_DIGITS = 4     # the source rounds correlations to 4 places and ranks those
 MATRIX_DIGITS = 10
 
 
-def corr_target(df: DataFrame, predictors: Sequence[str], target: str,
-                digits: int = CORR_DIGITS) -> DataFrame:
-    """(variable, correlation) for every predictor, one scan."""
-    wide = df.agg(*[F.round(safe_corr(p, target), digits).alias(f"r{i}")
-                    for i, p in enumerate(predictors)])
+def corr_target(df: DataFrame, predictors: Sequence[str], target: str, digits: int = CORR_DIGITS,
+                center: Mapping[str, float] | None = None) -> DataFrame:
+    """(variable, correlation) for every predictor over the rows where it and the target exist.
+
+    One scan of plain sums, which are exact for coded (whole-number) columns.
+    For a column whose mean is far larger than its spread, give a value near
+    the mean in ``center``; it is subtracted first.
+    """
+    value = lambda c: F.col(c).cast("double") - F.lit(float((center or {}).get(c, 0.0)))
+    y, aggs, out = value(target), [], []
+    for i, p in enumerate(predictors):
+        x = F.when(y.isNotNull(), value(p))
+        of_x = F.when(x.isNotNull(), y)
+        aggs += [F.count(x).alias(f"n{i}"), F.sum(x).alias(f"x{i}"), F.sum(of_x).alias(f"y{i}"),
+                 F.sum(x * x).alias(f"xx{i}"), F.sum(of_x * of_x).alias(f"yy{i}"), F.sum(x * y).alias(f"xy{i}")]
+        r = corr_from_sums(*[F.col(f"{s}{i}") for s in ("n", "x", "y", "xx", "yy", "xy")])
+        out.append((F.round(r, digits) + F.lit(0.0)).alias(f"r{i}"))     # + 0.0: no negative zero
+    wide = df.agg(*aggs).select(*out)
     return stack_long(wide, [([p], [f"r{i}"]) for i, p in enumerate(predictors)],
                       ["variable", "correlation"])
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str], digits: int = MATRIX_DIGITS) -> DataFrame:
-    """Upper triangle of the correlation matrix as (var_a, var_b, r).
+    """Upper triangle of the correlation matrix as (var_a, var_b, r), pair by pair:
+    a row counts for every pair of columns that both have a value in it.
 
-    The columns are assembled into one vector and ``ml.stat.Correlation``
-    aggregates the Gram matrix in a single tree aggregation; only the k x k
-    matrix reaches the driver. A constant column gives NaN there and null
-    here. (231 separate covariance aggregates were 7x slower.)
+    Values (null as 0), squares and presence flags form one vector, and its
+    Gram matrix, a single tree aggregation, holds all pairwise sums; only that
+    3k x 3k matrix reaches the driver. A constant column gives null.
     """
-    spark = df.sparkSession
-    vec = VectorAssembler(inputCols=list(columns), outputCol="_v", handleInvalid="skip").transform(
-        df.select(*[F.col(c).cast("double").alias(c) for c in columns])).select("_v")
-    m = Correlation.corr(vec, "_v").first()[0].toArray()
-    rows = [(a, b, None if math.isnan(m[i][j]) else float(m[i][j]))
-            for i, a in enumerate(columns) for j, b in enumerate(columns) if j > i]
+    spark, k = df.sparkSession, len(columns)
+    x = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in columns]
+    parts = [*x, *[v * v for v in x], *[F.col(c).isNotNull().cast("double") for c in columns]]
+    wide = df.select(*[p.alias(f"c{i}") for i, p in enumerate(parts)])
+    vec = VectorAssembler(inputCols=wide.columns, outputCol="v").transform(wide).select("v")
+    vec = MLUtils.convertVectorColumnsFromML(vec, "v")
+    gram = RowMatrix(vec).computeGramianMatrix().toArray() if not df.isEmpty() else None
+    rows = []
+    for i, a in enumerate(columns):
+        for j in range(i + 1, k):
+            r = None
+            if gram is not None:
+                n, sx, sy = gram[2 * k + i][2 * k + j], gram[i][2 * k + j], gram[j][2 * k + i]
+                sxx, syy, sxy = gram[k + i][2 * k + j], gram[k + j][2 * k + i], gram[i][j]
+                vx, vy = n * sxx - sx * sx, n * syy - sy * sy
+                r = float((n * sxy - sx * sy) / (math.sqrt(vx) * math.sqrt(vy))) if vx > 0 and vy > 0 else None
+            rows.append((a, columns[j], r))
     out = spark.createDataFrame(rows, "var_a string, var_b string, r double")
     return out.withColumn("r", F.round("r", digits))
 

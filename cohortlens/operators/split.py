@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SPLIT_BUCKETS = 10_000
+FOLD_BUCKET_ROWS = 100_000
 
 
 def hash_bucket(seed: int, keys: Sequence[str | Column], buckets: int = SPLIT_BUCKETS) -> Column:
@@ -43,33 +44,48 @@ def complement(full: DataFrame, part: DataFrame, key: str | Sequence[str]) -> Da
     return full.join(part.select(*keys), on=keys, how="left_anti")
 
 
+def sample_split(df: DataFrame, label: str, key: str, train_fraction: float = 0.8,
+                 seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """(train, test) by ``sampleBy`` within each label value; test is the complement.
+
+    Unlike ``hash_split`` the sample depends on the layout, so store ``df`` first.
+    """
+    values = [r[0] for r in df.select(label).distinct().collect()]       # the classes
+    train = df.sampleBy(label, {v: train_fraction for v in values}, seed)
+    return train, complement(df, train, key)
+
+
 def hash_folds(df: DataFrame, k: int = 3, seed: int = 42, keys: Sequence[str] | None = None,
-               fold_col: str = "fold") -> DataFrame:
+               fold_col: str = "fold", bucket: Column | None = None) -> DataFrame:
     """Fold = hash of the row's columns mod k: no shuffle, no window.
 
+    ``bucket`` overrides the hash with any whole-number expression.
     Stratified only in expectation (each class splits about evenly); the
     choice when even a (class, bucket) window is too much, e.g. when one
     group of identical rows holds a large share of the table.
     """
     cols = [F.col(c) for c in (keys or [c for c in df.columns if c != fold_col])]
-    return df.withColumn(fold_col, F.pmod(F.xxhash64(F.lit(seed), *cols), F.lit(k)).cast("int"))
+    number = bucket if bucket is not None else F.xxhash64(F.lit(seed), *cols)
+    return df.withColumn(fold_col, F.pmod(number, F.lit(k)).cast("int"))
 
 
 def stratified_folds(df: DataFrame, label: str, k: int = 3, seed: int = 42,
-                     keys: Sequence[str] | None = None, buckets: int = 64,
+                     keys: Sequence[str] | None = None, buckets: int | None = None,
                      fold_col: str = "fold") -> DataFrame:
     """Assign each row a fold 0..k-1, balanced within every class.
 
-    Rows are spread over ``buckets`` hash buckets per class; inside a
+    Rows are spread over ``buckets`` hash buckets per class (by default one
+    per ``FOLD_BUCKET_ROWS`` rows, from one count); inside a
     (class, bucket) window rows are numbered in hash order and dealt round
-    robin, with the start rotated by bucket so the remainders even out. Each
-    window holds about rows / (2 * buckets) rows, so no task sees a whole
-    class. Identical rows hash alike and share a bucket; they are
+    robin, with the start rotated by bucket so the remainders even out.
+    Identical rows hash alike and share a bucket; they are
     interchangeable, so which copy gets which fold does not change results,
     but a copy group holding a large share of the table makes one large
     window task (it spills, it does not fail); ``hash_folds`` avoids it.
     """
     cols = [F.col(c) for c in (keys or [c for c in df.columns if c != fold_col])]
+    if buckets is None:
+        buckets = max(8, df.count() // FOLD_BUCKET_ROWS)
     h = F.xxhash64(F.lit(seed), *cols)
     w = Window.partitionBy(F.col(label), F.col("_b")).orderBy(F.col("_h"))
     return (df.withColumn("_h", h)

@@ -4,11 +4,7 @@ from __future__ import annotations
 
 
 def all_queries():
-    from . import catalog
-    try:
-        from . import modelling  # noqa: F401  (registers the ML, scoring and search keys)
-    except ImportError:
-        pass
+    from . import catalog, modelling  # noqa: F401  (modelling registers the ML, scoring and search keys)
     return dict(catalog.QUERIES)
 
 

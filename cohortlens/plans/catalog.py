@@ -2,8 +2,8 @@
 
 Every query reads the driver tables (through the survey analog) so its work
 grows with them. Keys with an entry in ``ORACLE`` are checked value by value
-against DuckDB; the others (model training, scoring, the subset search) are
-checked for rows and by the unit tests.
+against DuckDB; the others (fitted models and the subset search) are checked
+for rows and by the unit tests.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from ..operators import select as SEL
 from ..operators import split as SP
 from ..sources import analog
 from ..sources import files as IO
-from ..session import relax_constraint_propagation, work_path
+from ..session import planning_session, work_path
 from ..spec import ANALOG
 from . import oracle as O
 
@@ -29,7 +29,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
-GRADIENT_MIN_N = 1000          # groups below this are noise at sf0.01 (SURVEY 7.2)
+GROUP_MIN_N = 100              # smaller groups are left out of a report
+FINE_KEYS = (S.score_col, S.age, S.sex)
 RATE_KEYS = ("GenHlth", "Age", "Income")
 ZERO_SHARE_COLS = ("MentHlth", "PhysHlth")
 SCORE_PARTS = ("Smoker", "PhysActivity", "Fruits", "Veggies", "HighBP", "HighChol", "Diabetes")
@@ -48,8 +49,7 @@ def register(name: str, sql: str | None = None):
 # -- shared frames --------------------------------------------------------------
 
 def raw(spark: SparkSession, sf: str) -> DataFrame:
-    relax_constraint_propagation(spark)
-    return analog.raw_analog(spark, sf)
+    return analog.raw_analog(planning_session(spark), sf)
 
 
 def clean(spark: SparkSession, sf: str) -> DataFrame:
@@ -60,12 +60,11 @@ def curated(spark: SparkSession, sf: str) -> DataFrame:
     return C.narrow_curated(clean(spark, sf), S)
 
 
-def write_curated(spark: SparkSession, sf: str) -> tuple[str, int]:
-    """Write the curated table partitioned by age band; return (path, rows)."""
+def write_curated(spark: SparkSession, sf: str) -> str:
+    """Write the curated table partitioned by age band; return its path."""
     path = work_path(spark, "curated")
     IO.write_partitioned(curated(spark, sf), path, S.band_col)
-    rows = spark.read.parquet(path).count()      # footers only: no column data is read
-    return path, rows
+    return path
 
 
 # -- projections, filters, derived columns ---------------------------------------
@@ -79,9 +78,17 @@ def q_score_gradient(spark, sf):
 
 @register("score_gradient_having", O.with_ctes(
     f"SELECT {S.score_col}, COUNT(*) AS n, AVG({O.T}) AS rate, AVG({O.T}) * 100 AS rate_pct "
-    f"FROM curated GROUP BY {S.score_col} HAVING COUNT(*) >= {GRADIENT_MIN_N} ORDER BY {S.score_col}"))
+    f"FROM curated GROUP BY {S.score_col} HAVING COUNT(*) >= {GROUP_MIN_N} ORDER BY {S.score_col}"))
 def q_score_gradient_having(spark, sf):
-    return R.score_gradient_having(curated(spark, sf), S.target, S.score_col, GRADIENT_MIN_N)
+    return R.score_gradient_having(curated(spark, sf), S.target, S.score_col, GROUP_MIN_N)
+
+
+@register("fine_rate_having", O.with_ctes(
+    f"SELECT {', '.join(FINE_KEYS)}, COUNT(*) AS n, AVG({O.T}) AS rate FROM curated "
+    f"GROUP BY {', '.join(FINE_KEYS)} HAVING COUNT(*) >= {GROUP_MIN_N}"))
+def q_fine_rate_having(spark, sf):
+    """Groups on both sides of the limit at every scale."""
+    return R.group_rate(curated(spark, sf), FINE_KEYS, S.target).filter(F.col("n") >= GROUP_MIN_N)
 
 
 @register("band_sex_rate", O.with_ctes(
@@ -229,6 +236,26 @@ def q_rate_by_key(spark, sf):
     return R.rate_by_key(clean(spark, sf), RATE_KEYS, S.target)
 
 
+@register("rate_by_key_nulls", O.with_ctes(O.factor_counts_sql("raw", ["MentHlth", S.age])))
+def q_rate_by_key_nulls(spark, sf):
+    """Before cleaning, where a key has nulls."""
+    return R.rate_by_key(raw(spark, sf), ["MentHlth", S.age], S.target)
+
+
+@register("prevalence_selected", f"""SELECT * FROM ({O.prevalence_sql()}) p
+WHERE variable IN (SELECT variable FROM ({O.feature_rank_sql(10)}) f WHERE selected)""")
+def q_prevalence_selected(spark, sf):
+    """Prevalence of the selected features that are binary."""
+    chosen = SEL.selected_list(SEL.select_features(clean(spark, sf), S.predictors, S.target, 10))
+    return R.prevalence_by_factor(curated(spark, sf), R.binary_only(chosen, S.binary), S.target)
+
+
+@register("prevalence_report", f"""SELECT variable, value, n, cases, round(rate * 100, 2) AS rate_pct
+FROM ({O.prevalence_sql()}) p""")
+def q_prevalence_report(spark, sf):
+    return R.rounded_report(R.prevalence_by_factor(curated(spark, sf), S.binary, S.target))
+
+
 @register("factor_gap", O.factor_gap_sql(12))
 def q_factor_gap(spark, sf):
     return R.factor_gap(R.prevalence_by_factor(curated(spark, sf), S.binary, S.target), 12)
@@ -260,6 +287,12 @@ def q_corr_target(spark, sf):
     return SEL.corr_target(clean(spark, sf), S.predictors, S.target)
 
 
+@register("corr_target_nulls", O.corr_nulls_sql())
+def q_corr_target_nulls(spark, sf):
+    """Before cleaning, where predictors have nulls: pair by pair."""
+    return SEL.corr_target(raw(spark, sf), S.predictors, S.target)
+
+
 @register("feature_selection", O.feature_rank_sql(10))
 def q_feature_selection(spark, sf):
     return (SEL.select_features(clean(spark, sf), S.predictors, S.target, 10)
@@ -289,11 +322,12 @@ def q_split_anti(spark, sf):
     return SP.complement(cur, train, S.id_col)
 
 
-@register("split_hash")
+@register("split_hash", O.with_ctes(
+    f"SELECT *, CASE WHEN {SPLIT_BUCKET_SQL} < 80 THEN 'train' ELSE 'test' END AS side FROM curated"))
 def q_split_hash(spark, sf):
-    """The scale form: one pass, a hash predicate per side, no join."""
+    """The scale form: one pass, a predicate per side, no join."""
     cur = curated(spark, sf)
-    train, test = SP.hash_split(cur, S.columns, 0.8, seed=42)
+    train, test = SP.hash_split(cur, [], 0.8, bucket=F.expr(SPLIT_BUCKET_SQL), buckets=100)
     return (train.withColumn("side", F.lit("train"))
                  .unionByName(test.withColumn("side", F.lit("test"))))
 
@@ -327,30 +361,30 @@ def q_scan_csv(spark, sf):
     return IO.scan_csv(spark, _write_raw_csv(spark, sf), S)
 
 
-@register("schema_contract", "SELECT COUNT(*) AS rows, true AS header_ok FROM lineitem")
+@register("schema_contract", "SELECT COUNT(*) AS rows, CAST(0 AS BIGINT) AS corrupt, true AS header_ok FROM lineitem")
 def q_schema_contract(spark, sf):
     path = _write_raw_csv(spark, sf)
-    IO.check_contract(IO.csv_header(spark, path), S)      # raises on a mismatch
-    return IO.scan_csv(spark, path, S).agg(F.count(F.lit(1)).alias("rows")).withColumn("header_ok", F.lit(True))
+    ok = not IO.header_report(IO.csv_headers(spark, path), S)
+    return (IO.scan_csv(spark, path, S, corrupt_col="_corrupt")
+            .select(S.target, "_corrupt")                # the reader gives the raw text only beside a column
+            .agg(F.sum(F.lit(1).cast("long") + F.col(S.target).cast("long") * 0).alias("rows"),
+                 F.count("_corrupt").alias("corrupt")).withColumn("header_ok", F.lit(ok)))
 
 
 @register("curated_roundtrip", O.with_ctes("SELECT * FROM curated"))
 def q_curated_roundtrip(spark, sf):
-    path, _ = write_curated(spark, sf)
-    return IO.scan_parquet(spark, path)
+    return IO.scan_parquet(spark, write_curated(spark, sf))
 
 
 @register("scan_parquet", O.with_ctes(f"SELECT {O.T}, {S.measure}, {S.band_col} FROM curated"))
 def q_scan_parquet(spark, sf):
-    path, _ = write_curated(spark, sf)
-    return IO.scan_parquet(spark, path, S.curated_schema).select(S.target, S.measure, S.band_col)
+    return IO.scan_parquet(spark, write_curated(spark, sf), S.curated_schema).select(S.target, S.measure, S.band_col)
 
 
 @register("partition_pruned", O.with_ctes(f"SELECT * FROM curated WHERE {S.band_col} = '{S.age_labels[-1]}'"))
 def q_partition_pruned(spark, sf):
     from ..operators.quality import assert_partition_pruned
-    path, _ = write_curated(spark, sf)
-    df = IO.scan_parquet(spark, path).filter(F.col(S.band_col) == S.age_labels[-1])
+    df = IO.scan_parquet(spark, write_curated(spark, sf)).filter(F.col(S.band_col) == S.age_labels[-1])
     assert_partition_pruned(df, S.band_col)
     return df
 
@@ -358,12 +392,15 @@ def q_partition_pruned(spark, sf):
 @register("reconcile", O.with_ctes(
     "SELECT 'curated' AS dataset, COUNT(*) AS expected, COUNT(*) AS actual, true AS ok FROM curated"))
 def q_reconcile(spark, sf):
-    from ..operators.quality import reconcile
-    path, rows = write_curated(spark, sf)
+    from ..operators.quality import assert_reconciled, reconcile
+    rows = curated(spark, sf).count()                    # the producer's own count, before the write
+    path = write_curated(spark, sf)
     mpath = work_path(spark, "manifest")
     IO.write_manifest(spark, mpath, "curated", rows, spark.read.parquet(path).schema)
     actual = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows")).withColumn("dataset", F.lit("curated"))
-    return reconcile(IO.read_manifest(spark, mpath), actual)
+    report = reconcile(IO.read_manifest(spark, mpath), actual)
+    assert_reconciled(report)
+    return report
 
 
 @register("prevalence_roundtrip", O.prevalence_sql())
@@ -373,7 +410,7 @@ def q_prevalence_roundtrip(spark, sf):
     return IO.scan_parquet(spark, path)
 
 
-@register("report_guard")
+@register("report_guard", ORACLE["score_gradient"])
 def q_report_guard(spark, sf):
     from ..operators.quality import report_guard
     return report_guard(R.score_gradient(clean(spark, sf), S.target, S.score_col))

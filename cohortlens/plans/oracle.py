@@ -72,20 +72,62 @@ def union_from_row(row_cte: str, rows: Sequence[tuple[Sequence[str], Sequence[st
     return "\nUNION ALL ".join(sels)
 
 
-def factor_counts_sql(src: str, variables: Sequence[str]) -> str:
+def factor_counts_sql(src: str, variables: Sequence[str], kind: str = "DOUBLE") -> str:
     on = ", ".join(variables)
-    return f"""SELECT variable, CAST(value AS INTEGER) AS value, COUNT(*) AS n,
-       CAST(SUM({T}) AS BIGINT) AS cases, CAST(SUM({T}) AS DOUBLE) / COUNT(*) AS rate
+    return f"""SELECT variable, CAST(value AS {kind}) AS value, COUNT({T}) AS n,
+       CAST(SUM({T}) AS BIGINT) AS cases, CAST(AVG({T}) AS DOUBLE) AS rate
 FROM (UNPIVOT (SELECT {on}, {T} FROM {src}) ON {on} INTO NAME variable VALUE value)
-GROUP BY variable, value"""
+WHERE {T} IS NOT NULL GROUP BY variable, value"""
 
 
 def corr_target_sql() -> str:
-    cols = ", ".join(f"round({safe_corr_sql(p, T)}, {CORR_DIGITS}) AS r{i}" for i, p in enumerate(PRED))
+    cols = ", ".join(f"round({safe_corr_sql(p, T)}, {CORR_DIGITS}) + CAST(0 AS DOUBLE) AS r{i}" for i, p in enumerate(PRED))
     body = union_from_row("w", [([p], [f"r{i}"]) for i, p in enumerate(PRED)], ["variable", "correlation"])
     return with_ctes(body, f"\nw AS (SELECT {cols} FROM clean)")
 
 
+def corr_nulls_sql() -> str:
+    """Pairwise over rows before cleaning, by the engine's own correlation."""
+    cols = ", ".join(f"round(corr({p}, {T}), {CORR_DIGITS}) + CAST(0 AS DOUBLE) AS r{i}" for i, p in enumerate(PRED))
+    body = union_from_row("w", [([p], [f"r{i}"]) for i, p in enumerate(PRED)], ["variable", "correlation"])
+    return with_ctes(body, f"\nw AS (SELECT {cols} FROM raw)")
+
+
+def assembled_sql(top_n: int = 10) -> str:
+    """(id, position, value) of the selected features in rank order."""
+    wide = ", ".join(f"CAST({p} AS DOUBLE) AS {p}" for p in PRED)
+    return f"""SELECT v.{S.id_col}, CAST(f.rank - 1 AS INTEGER) AS position, v.value
+FROM ({with_ctes(f"SELECT * FROM (UNPIVOT (SELECT {S.id_col}, {wide} FROM curated) ON {', '.join(PRED)} INTO NAME variable VALUE value)")}) v
+JOIN ({feature_rank_sql(top_n)}) f ON v.variable = f.variable AND f.selected"""
+
+
+def request_status_sql() -> str:
+    """Status and missing names of the requests of ``modelling.requests``."""
+    name = lambda k: f"(SELECT variable FROM ({feature_rank_sql(10)}) f WHERE rank = {k})"
+    return f"""SELECT request_id, CASE WHEN missing = '' THEN 'scored' ELSE 'rejected' END AS status, missing
+FROM (SELECT {S.id_col} AS request_id, concat_ws(',', CASE WHEN {S.id_col} % 97 = 0 THEN a END,
+        CASE WHEN {S.id_col} % 89 = 1 THEN b END, CASE WHEN {S.id_col} % 83 = 2 THEN c END) AS missing
+      FROM ({with_ctes(f"SELECT {S.id_col} FROM curated")}) r,
+        (SELECT {name(1)} AS a, {name(2)} AS b, {name(3)} AS c) n) s"""
+
+
+def rule_metrics_sql(rule: str) -> str:
+    """Classification metrics of the 0/1 prediction ``rule``."""
+    return with_ctes("""SELECT
+  (n11 + n00) / n AS accuracy,
+  (n1 * p1 + n0 * p0) / n AS precision, (n1 * r1 + n0 * r0) / n AS recall,
+  (n1 * 2 * p1 * r1 / (p1 + r1) + n0 * 2 * p0 * r0 / (p0 + r0)) / n AS f1,
+  r1 AS recall_pos, 2 * p1 * r1 / (p1 + r1) AS f1_pos
+FROM (SELECT *, n11 / (n11 + n01) AS p1, n11 / n1 AS r1, n00 / (n00 + n10) AS p0, n00 / n0 AS r0 FROM t)""", f"""
+t AS (SELECT CAST(COUNT(*) AS DOUBLE) AS n, CAST(COUNT(*) FILTER (WHERE y = 1) AS DOUBLE) AS n1,
+        CAST(COUNT(*) FILTER (WHERE y = 0) AS DOUBLE) AS n0,
+        CAST(COUNT(*) FILTER (WHERE y = 1 AND p = 1) AS DOUBLE) AS n11,
+        CAST(COUNT(*) FILTER (WHERE y = 0 AND p = 0) AS DOUBLE) AS n00,
+        CAST(COUNT(*) FILTER (WHERE y = 0 AND p = 1) AS DOUBLE) AS n01,
+        CAST(COUNT(*) FILTER (WHERE y = 1 AND p = 0) AS DOUBLE) AS n10
+      FROM (SELECT {T} AS y, CASE WHEN {rule} THEN 1 ELSE 0 END AS p FROM clean))""")
+
+
 def feature_rank_sql(top_n: int = 10) -> str:
     inner = corr_target_sql()
     return f"""SELECT variable, correlation,
@@ -139,8 +181,11 @@ def histogram_sql(bins: int = 30) -> str:
         b = (f"CASE WHEN {c} IS NULL THEN NULL WHEN hi{i} = lo{i} THEN CAST(1 AS BIGINT) "
              f"ELSE LEAST(CAST(floor({bins} * ({x} - lo{i}) / (hi{i} - lo{i})) AS BIGINT) + 1, {bins}) END")
         sels.append(f"SELECT '{c}' AS variable, {b} AS bin, lo{i} AS lo, hi{i} AS hi FROM clean, r")
-    body = f"""SELECT variable, bin, COUNT(*) AS n, lo, hi
-FROM ({' UNION ALL '.join(sels)}) t WHERE bin IS NOT NULL GROUP BY variable, bin, lo, hi"""
+    every = " UNION ALL ".join(f"SELECT '{c}' AS variable, bin, lo{i} AS lo, hi{i} AS hi FROM r, range(1, {bins + 1}) b(bin)"
+                               for i, c in enumerate(ALL))
+    body = f"""SELECT variable, bin, CAST(SUM(k) AS BIGINT) AS n, lo, hi
+FROM (SELECT *, 1 AS k FROM ({' UNION ALL '.join(sels)}) t WHERE bin IS NOT NULL
+      UNION ALL SELECT *, 0 AS k FROM ({every}) e) u GROUP BY variable, bin, lo, hi"""
     return with_ctes(body, f"\nr AS (SELECT {rng} FROM clean)")
 
 
@@ -151,11 +196,11 @@ def zero_share_sql(columns: Sequence[str]) -> str:
 
 
 def prevalence_sql(src: str = "curated", variables: Sequence[str] = S.binary) -> str:
-    return with_ctes(factor_counts_sql(src, variables) + "\nORDER BY variable, value")
+    return with_ctes(factor_counts_sql(src, variables, "INTEGER") + "\nORDER BY variable, value")
 
 
 def factor_gap_sql(top: int = 12) -> str:
-    p = factor_counts_sql("curated", S.binary)
+    p = factor_counts_sql("curated", S.binary, "INTEGER")
     return with_ctes(f"""SELECT variable, rate_0, rate_1, abs(rate_1 - rate_0) AS gap
 FROM (SELECT variable, MAX(CASE WHEN value = 0 THEN rate END) AS rate_0,
              MAX(CASE WHEN value = 1 THEN rate END) AS rate_1

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import csv
 import json
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,24 +18,39 @@ class ContractError(ValueError):
     """The file's header does not match the table contract."""
 
 
-def csv_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names from the CSV header line(s) only.
+def csv_headers(spark: SparkSession, path: str, per_job: int = 64) -> dict[str, list[str]]:
+    """{file: column names} from the first line of every CSV file under ``path``.
 
-    ``samplingRatio`` keeps the read to a few rows; no data job over the
-    whole input runs before the contract is settled.
+    The files are listed without reading them, and each gives its first row
+    only (``limit(1)``), ``per_job`` files to a job: no data job over the
+    input runs before the contract is settled.
     """
-    return (spark.read.option("header", True).option("inferSchema", False)
-                 .option("samplingRatio", 0.0001).csv(path).columns)
-
-
-def check_contract(header: Sequence[str], spec: SurveySpec) -> None:
-    """Names and order must equal the contract exactly."""
-    if list(header) != list(spec.columns):
-        missing = [c for c in spec.columns if c not in header]
-        extra = [c for c in header if c not in spec.columns]
-        raise ContractError(
-            f"header does not match the contract: missing={missing} extra={extra} "
-            f"order_ok={not missing and not extra}; got {list(header)}")
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv*").load(path).select("path")
+    files = sorted(r["path"] for r in listed.collect())                  # one short row a file
+    found: dict[str, list[str]] = {}
+    for i in range(0, len(files), per_job):
+        firsts = [spark.read.text(f).limit(1).select(F.lit(f).alias("file"), "value") for f in files[i:i + per_job]]
+        for r in reduce(DataFrame.unionByName, firsts).collect():
+            found[r["file"]] = next(csv.reader([r["value"]]), [])
+    return found
+
+
+def header_report(headers: Mapping[str, Sequence[str]], spec: SurveySpec) -> dict[str, str]:
+    """{file: what is wrong} for the headers that differ from the contract's names and order."""
+    wrong = {}
+    for file, header in headers.items():
+        if list(header) != list(spec.columns):
+            missing = [c for c in spec.columns if c not in header]
+            extra = [c for c in header if c not in spec.columns]
+            wrong[file] = f"missing={missing} extra={extra} order_ok={bool(missing or extra)}; got {list(header)}"
+    return wrong
+
+
+def check_contract(headers: Mapping[str, Sequence[str]], spec: SurveySpec) -> None:
+    """Names and order of every file's header must equal the contract exactly."""
+    wrong = header_report(headers, spec)
+    if wrong or not headers:
+        raise ContractError(f"headers do not match the contract: {wrong or 'no CSV file'}")
 
 
 def scan_csv(spark: SparkSession, path: str, spec: SurveySpec, corrupt_col: str | None = None) -> DataFrame:
@@ -44,7 +61,7 @@ def scan_csv(spark: SparkSession, path: str, spec: SurveySpec, corrupt_col: str
     ``enforceSchema=False`` makes the reader itself also verify each file's
     header against the schema when rows are read.
     """
-    check_contract(csv_header(spark, path), spec)
+    check_contract(csv_headers(spark, path), spec)
     schema = spec.raw_schema
     reader = spark.read.option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE")
     if corrupt_col:
@@ -117,6 +134,3 @@ def write_manifest(spark: SparkSession, path: str, dataset: str, rows: int, sche
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MANIFEST_SCHEMA).parquet(path)
 
-
-def schema_from_json(text: str) -> T.StructType:
-    return T.StructType.fromJson(json.loads(text))

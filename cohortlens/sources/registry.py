@@ -13,6 +13,7 @@ import datetime as dt
 import json
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassificationModel,
@@ -46,12 +47,19 @@ def entries(spark: SparkSession, registry: str) -> DataFrame:
     return spark.read.schema(REGISTRY_SCHEMA).parquet(registry)
 
 
+def _newest(spark: SparkSession, registry: str) -> DataFrame:
+    """The newest row; of rows with one time, the largest path."""
+    return entries(spark, registry).agg(F.max_by(F.struct("*"), F.struct("trained_at", "path")).alias("r"))
+
+
 def latest(spark: SparkSession, registry: str) -> dict:
     """Newest registry row as a dict (one aggregate, one row to the driver)."""
     try:
-        row = entries(spark, registry).agg(F.max_by(F.struct("*"), "trained_at").alias("r")).first()
-    except Exception as e:  # noqa: BLE001  (missing folder)
-        raise RegistryError(f"no model registered under {registry}: {e}") from e
+        row = _newest(spark, registry).first()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise RegistryError(f"no model registered under {registry}") from e
     if row is None or row["r"] is None:
         raise RegistryError(f"no model registered under {registry}")
     r = row["r"].asDict()
@@ -69,8 +77,6 @@ def load_latest(spark: SparkSession, registry: str) -> tuple[dict, PipelineModel
 
 def model_card(spark: SparkSession, registry: str) -> DataFrame:
     """Newest model: name, ordered features, target, selection metric."""
-    e = entries(spark, registry)
-    newest = e.agg(F.max("trained_at").alias("trained_at"))
-    return (e.join(newest, "trained_at")
-             .select("model", F.from_json("features", "array<string>").alias("features"),
-                     "target", "metric", "value", "trained_at"))
+    return (_newest(spark, registry).filter("r is not null").select("r.*")
+            .select("model", F.from_json("features", "array<string>").alias("features"),
+                    "target", "metric", "value", "trained_at"))

@@ -23,6 +23,14 @@ HEART_COLUMNS = (
     "PhysHlth", "DiffWalk", "Sex", "Age", "Education", "Income",
 )
 HEART_TARGET = "HeartDiseaseorAttack"
+# The diabetes table (the subset search's): the same survey with another target.
+DIABETES_TARGET = "Diabetes_binary"
+DIABETES_COLUMNS = (
+    "Diabetes_binary", "HighBP", "HighChol", "CholCheck", "BMI", "Smoker",
+    "Stroke", "HeartDiseaseorAttack", "PhysActivity", "Fruits", "Veggies",
+    "HvyAlcoholConsump", "AnyHealthcare", "NoDocbcCost", "GenHlth", "MentHlth",
+    "PhysHlth", "DiffWalk", "Sex", "Age", "Education", "Income",
+)
 # Columns whose only values are 0 and 1 (the prevalence-by-factor set).
 HEART_BINARY = (
     "HighBP", "HighChol", "CholCheck", "Smoker", "Stroke", "PhysActivity",
@@ -105,3 +113,6 @@ HEART = SurveySpec(
 
 # The lineitem analog: same names; l_quantity (1-50) plays BMI, kept 2-48.
 ANALOG = HEART.with_(measure_range=(2.0, 48.0), id_col="respondent_id")
+
+DIABETES = HEART.with_(columns=DIABETES_COLUMNS, target=DIABETES_TARGET,
+                       binary=(*HEART_BINARY, "HeartDiseaseorAttack"))

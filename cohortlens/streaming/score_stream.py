@@ -32,10 +32,15 @@ def start(spark: SparkSession, model: PipelineModel, name: str, required: Sequen
 
 
 def run_available(spark: SparkSession, model: PipelineModel, name: str, required: Sequence[str],
-                  source: str, sink: str, checkpoint: str, timeout_s: int = 600) -> DataFrame:
-    """Drain the source once and return the sink as a batch DataFrame."""
+                  source: str, sink: str, checkpoint: str, timeout_s: int | None = None) -> DataFrame:
+    """Drain the source once and return the sink as a batch DataFrame.
+
+    Without ``timeout_s`` it takes as long as the backlog needs.
+    """
     q = start(spark, model, name, required, source, sink, checkpoint, available_now=True)
-    if not q.awaitTermination(timeout_s):
+    if timeout_s is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_s):
         q.stop()
         raise TimeoutError(f"stream did not drain within {timeout_s} s")
     if q.exception():

@@ -19,9 +19,52 @@ def _data(spark, n=600):
 
 def test_assemble_with_string_indexer(spark):
     df = _data(spark)
-    out = M.assembled(df, ["a", "b", "band"], "y", categorical=["band"])
-    v = out.first()["features"]
-    assert v.size == 3 and out.count() == df.count()
+    out = M.assembled(df, ["a", "band", "b"], "y", keep=["id"])
+    rows = {r["id"]: r["features"] for r in out.collect()}
+    assert len(rows) == df.count() and rows[13].size == 3 and (rows[13][0], rows[13][2]) == (3.0, 1.0)
+    assert {v[1] for v in rows.values()} == {0.0, 1.0}
+
+
+def test_learners_can_be_extended(spark):
+    from pyspark.ml.classification import DecisionTreeClassifier
+    own = M.LEARNERS | {"Stump": M.Learner(DecisionTreeClassifier, {"maxDepth": 1})}
+    board, best, fitted = M.train_leaderboard(_data(spark), ["a", "b"], "y", ["id"], models=["Stump"], learners=own)
+    assert best == "Stump" and fitted["Stump"].stages[-1].depth == 1 and board.count() == 1
+
+
+def test_confusion_metrics_match_spark(spark):
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator as E
+    df = spark.createDataFrame([(float(i % 3 == 0), float(i % 4 == 0)) for i in range(50)], "y double, prediction double")
+    got = M.confusion_metrics(df, "y")
+    for name, metric in (("accuracy", "accuracy"), ("precision", "weightedPrecision"), ("recall", "weightedRecall"), ("f1", "f1")):
+        assert got[name] == pytest.approx(E(labelCol="y", metricName=metric).evaluate(df))
+    none = M.confusion_metrics(df.withColumn("prediction", F.lit(0.0)), "y")
+    assert none["recall_pos"] == none["f1_pos"] == 0.0
+
+
+def test_the_winner_is_saved(spark, tmp_dir):
+    reg = os.path.join(tmp_dir, "registry")
+    board = M.train_and_save(_data(spark), ["a", "b"], "y", ["id"], reg, os.path.join(tmp_dir, "m"),
+                             models=["NaiveBayes", "LogisticRegression"])
+    info, model = REG.load_latest(spark, reg)
+    assert info["model"] == board.filter("best").first().model == board.first().model
+    assert info["value"] == board.first().accuracy
+
+
+def test_bad_requests_are_rejected_in_batch_and_stream(spark, tmp_dir):
+    from cohortlens.streaming import score_stream
+    _, best, fitted = M.train_leaderboard(_data(spark), ["a", "b"], "y", ["id"], models=["LogisticRegression"])
+    rows = [(1, {"a": 9.0, "b": 1.0}), (2, {"a": None, "b": 1.0}), (3, {"a": float("nan"), "b": 1.0}), (4, {}), (5, None)]
+    req = spark.createDataFrame(rows, SC.REQUEST_SCHEMA)
+    req.write.parquet(os.path.join(tmp_dir, "src"))
+    batch = SC.score(fitted[best], best, req, ["a", "b"])
+    streamed = score_stream.run_available(spark, fitted[best], best, ["a", "b"], os.path.join(tmp_dir, "src"),
+                                          os.path.join(tmp_dir, "sink"), os.path.join(tmp_dir, "ckpt"))
+    want = {1: [], 2: ["a"], 3: ["a"], 4: ["a", "b"], 5: ["a", "b"]}
+    for out in (batch, streamed):
+        got = {r.request_id: r for r in out.collect()}
+        assert {i: r.missing for i, r in got.items()} == want
+        assert all((r.status == "scored") == (i == 1) and (r.prediction is None) == (i != 1) for i, r in got.items())
 
 
 def test_leaderboard_all_models(spark):
