@@ -63,18 +63,19 @@ class Words:
         self.numbers = (inverse + 1).astype(np.int32)
         self.slots = np.concatenate(([0], slots_of(self.hashes, known)))
         # every byte of a word with its neighbours; beyond the word's ends there is nothing
-        code = np.where(_BREAKS[buf], 0, buf).astype(np.uint32)
-        before, after = np.concatenate(([0], code[:-1])).astype(np.uint32), np.concatenate((code[1:], [0])).astype(np.uint32)
+        code = np.where(_BREAKS[buf], 0, buf).astype(np.uint8)
         sizes = ends[one] - starts[one]
         at = ranges(starts[one], sizes)
-        grams = (before[at] << np.uint32(16)) | (code[at] << np.uint32(8)) | after[at]
+        near = [code[at + k].astype(np.uint32) for k in (-1, 0, 1)]       # the last byte is a break
+        grams = (near[0] << np.uint32(16)) | (near[1] << np.uint32(8)) | near[2]
         self.grams = (1 + (grams * np.uint32(0x9E3779B1) >> np.uint32(8)) % np.uint32(CHAR_SLOTS - 1)).astype(np.int64)
         self.sizes = np.concatenate(([0], sizes))
+        self.starts = np.cumsum(self.sizes) - self.sizes
 
     def part(self, used: np.ndarray) -> tuple[np.ndarray, ...]:
         """(word slot, trigram slots flat, word of each, share of each) of some numbers."""
         sizes = self.sizes[used]
-        starts = (np.cumsum(self.sizes) - self.sizes)[used]
+        starts = self.starts[used]
         owner = np.repeat(np.arange(len(used)), sizes)
         return self.slots[used], self.grams[ranges(starts, sizes)], owner, (1 / np.maximum(sizes, 1))[owner].astype(np.float32)
 
@@ -233,18 +234,20 @@ class BiGru:
         return sigmoid(self.slope * self.raw(texts).astype(float) + self.offset)
 
 
-def _surprise(slots: np.ndarray, owner: np.ndarray, labels: np.ndarray, n_slots: int):
+def _surprise(slots_by_doc, labels: np.ndarray, n_slots: int):
     """(how much oftener each slot is in documents of label 1 than its share of all, in
     deviations; whether ``MIN_DOCUMENTS`` hold it)."""
-    pairs = np.unique(owner * n_slots + slots)
-    slot, y = pairs % n_slots, labels[pairs // n_slots]
-    total, ones = np.bincount(slot, minlength=n_slots), np.bincount(slot, y, n_slots)
+    total, ones = np.zeros(n_slots), np.zeros(n_slots)
+    for slots, y in zip(slots_by_doc, labels, strict=True):
+        slots = np.unique(slots)
+        total[slots] += 1
+        ones[slots] += y
     expected = total * labels.mean()
     common = total >= MIN_DOCUMENTS
     return np.where(common, np.clip((ones - expected) / np.sqrt(expected + 1) / 3, -2, 4), 0), common
 
 
-def train(texts: list[str], labels: np.ndarray, passes: int = 6, batch: int = 256, seed: int = 1,
+def train(texts: list[str], labels: np.ndarray, passes: int = 8, batch: int = 256, seed: int = 1,
           rate: float = 0.01) -> BiGru:
     """Train on documents; a quarter of them, if enough, calibrates the scores.
 
@@ -257,12 +260,11 @@ def train(texts: list[str], labels: np.ndarray, passes: int = 6, batch: int = 25
     if min(labels[held].sum(), (1 - labels[held]).sum()) < MIN_HELD:
         held[:] = False                                   # too few: calibrate on what was learned from
     own = Words([t for t, h in zip(texts, held, strict=True) if not h], np.zeros(0, np.uint64))
-    doc = np.repeat(np.arange(len(own.first) - 1), np.diff(own.first))
-    start, common = _surprise(own.numbers - 1, doc, labels[~held], len(own.hashes))
+    of_docs = [np.unique(x) for x in np.split(own.numbers, own.first[1:-1])]
+    start, common = _surprise((x - 1 for x in of_docs), labels[~held], len(own.hashes))
     net = BiGru(own.hashes[common], seed)
     net.params["word"][1:, 0] += start[common]
-    _, grams, owner, _ = own.part(own.numbers)
-    start, common = _surprise(grams, doc[owner], labels[~held], CHAR_SLOTS)
+    start, common = _surprise((own.part(x)[1] for x in of_docs), labels[~held], CHAR_SLOTS)
     net.params["char"][:, 0] += start
     net.params["char"] *= common[:, None]
     net.params["word"][0] = 0
@@ -297,7 +299,7 @@ def train(texts: list[str], labels: np.ndarray, passes: int = 6, batch: int = 25
     return net
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = 800, most_words: int = 3000, seed: int = 1) -> BiGru | None:
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2500, most_words: int = 3000, seed: int = 1) -> BiGru | None:
     """Train on about ``per_class`` documents of each label (``most_words`` words at most)."""
     known = (docs.filter(F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), FOLDS) != HELD_OUT)).select("doc_id"))
     ids = {}
