@@ -35,11 +35,11 @@ from .graph import stored
 from .text import mix
 
 DEGREE = 32                     # neighbours kept of a node
-PIVOT_SETS = 6
+PIVOT_SETS = 8
 CELL_ROWS = 600                 # nodes of a cell that are compared with each other, about
-SAMPLE = 14                     # neighbours, and as many listing nodes, that meet in a round
-ROUNDS = 4
-BEAM, EXPAND, HOPS = 96, 24, 6
+SAMPLE = 16                     # neighbours, and as many listing nodes, that meet in a round
+ROUNDS = 8
+BEAM, EXPAND, HOPS = 256, 64, 6
 BLOCK_ROWS = 2000
 MIN_BLOCKS = 32
 MAX_PIVOTS = 4096
