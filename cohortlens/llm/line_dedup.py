@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .graph import stored
 from .text import SPACES, fresh
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -45,14 +46,13 @@ def repeated_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> D
                      F.xxhash64(F.lit(7), F.reverse("key")).alias("h2")))
     ranged = (lines.repartitionByRange("h1", "h2", F.col("doc_id").desc())
               .sortWithinPartitions("h1", "h2", F.col("doc_id").desc(), "pos"))
-    per_doc = (ranged.groupBy("h1", "h2", "doc_id")        # within the range, no further shuffle
-               .agg(F.collect_set("pos").alias("places")))
-    # n_places keeps both uses of per_doc the same sub-plan, so the range shuffle runs once
-    common = (per_doc.groupBy("h1", "h2")
-              .agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("keep_doc"),
-                   F.sum(F.size("places")).alias("n_places"))
-              .filter((F.col("n_docs") >= min_docs) & (F.col("n_places") >= min_docs))
-              .select("h1", "h2", "keep_doc"))
+    per_doc = stored(ranged.groupBy("h1", "h2", "doc_id")  # within the range, no further shuffle
+                     .agg(F.collect_set("pos").alias("places")), "lines")
+    # stored too, so that the join has a shuffle of its own on either side and Spark
+    # can split the rows of one very common line over several tasks
+    common = stored(per_doc.groupBy("h1", "h2")
+                    .agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("keep_doc"))
+                    .filter(F.col("n_docs") >= min_docs).select("h1", "h2", "keep_doc"), "common-lines")
     return per_doc.join(common, ["h1", "h2"])
 
 
