@@ -251,8 +251,9 @@ def jaccard_join(docs: DataFrame, size: int = 5, percent: int = 80, chunk_bytes:
         F.col("prefix").alias("token"), F.col("places").alias("place"), "id", "n")
     # step 3: every list's documents against the one that holds the shingle earliest,
     # which has the fewest shingles of its own and so stands in the middle of its copies
-    leaders = posts.groupBy("token").agg(F.min(F.struct("place", "id", "n")).alias("lead"),
-                                         F.count(F.lit(1)).alias("m")).filter("m > 1")
+    # (stored, as are the split lists below: then a join can split the rows of a long list)
+    leaders = stored(posts.groupBy("token").agg(F.min(F.struct("place", "id", "n")).alias("lead"),
+                                                F.count(F.lit(1)).alias("m")).filter("m > 1"), "leaders")
     tied = (posts.join(leaders, "token")
             .filter((F.col("id") != F.col("lead.id"))
                     & _may_link(F.col("n"), F.col("place"), F.col("lead.n"), F.col("lead.place"), percent))
@@ -262,9 +263,9 @@ def jaccard_join(docs: DataFrame, size: int = 5, percent: int = 80, chunk_bytes:
 
     # step 4: lists that still hold several components
     lists = posts.join(comp, "id")
-    split = (lists.groupBy("token").agg(F.mode("comp", deterministic=True).alias("main"),
-                                        F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-             .filter("lo < hi").select("token", "main"))
+    split = stored(lists.groupBy("token").agg(F.mode("comp", deterministic=True).alias("main"),
+                                              F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+                   .filter("lo < hi").select("token", "main"), "split-lists")
     rest = stored(lists.join(split, "token"), "lists")
     asked = rest.filter(F.col("comp") != F.col("main")).select(
         "token", *[F.col(c).alias(f"{c}_a") for c in ("id", "n", "place", "comp")])
