@@ -48,6 +48,7 @@ from .substring_dedup import split_by_bucket
 from .text import chunk_number, count_chunks, mix, text_bytes, window_hashes, window_starts, word_hashes
 
 ORDERS = 3
+CARRIED = 64                    # prefixes up to this length travel with their lists; longer ones do without
 BUCKET_BYTES = 16 << 20
 MIN_BUCKETS = 48
 _SEEDS = np.random.default_rng(11).integers(1, 2**63, 8, dtype=np.uint64)
@@ -225,6 +226,17 @@ def _may_link(n_x, place_x, n_y, place_y, percent: int):
     return F.least(n_x - place_x, n_y - place_y) >= need
 
 
+def _first_meeting(percent: int):
+    """For prefixes that are carried: a pair meets at its first shared shingle only, and
+    only if the shared ones and all that follows the shorter prefix can make a link."""
+    common = F.array_intersect("prefix_a", "prefix_b")    # in the first order, as the prefixes are
+    after = lambda n: F.ceil(F.lit(percent) * F.col(n) / 100) - 1
+    need = F.ceil(F.lit(percent) * (F.col("n_a") + F.col("n_b")) / F.lit(100 + percent))
+    return F.when(F.col("prefix_a").isNotNull() & F.col("prefix_b").isNotNull(),
+                  (F.get(common, F.lit(0)) == F.col("token"))
+                  & (F.size(common) + F.greatest(after("n_a"), after("n_b")) >= need)).otherwise(True)
+
+
 def jaccard_join(docs: DataFrame, size: int = 5, percent: int = 80, chunk_bytes: int | None = None) -> DataFrame:
     """(doc_id, n_shingles, component_id, representative) of every row of ``docs``."""
     _, n_bytes = text_bytes(docs)
@@ -266,12 +278,14 @@ def jaccard_join(docs: DataFrame, size: int = 5, percent: int = 80, chunk_bytes:
     split = stored(lists.groupBy("token").agg(F.mode("comp", deterministic=True).alias("main"),
                                               F.min("comp").alias("lo"), F.max("comp").alias("hi"))
                    .filter("lo < hi").select("token", "main"), "split-lists")
-    rest = stored(lists.join(split, "token"), "lists")
+    carried = kept.select("id", F.when(F.size("prefix") <= CARRIED, F.col("prefix")).alias("prefix"))
+    rest = stored(lists.join(split, "token").join(carried, "id"), "lists")
     asked = rest.filter(F.col("comp") != F.col("main")).select(
-        "token", *[F.col(c).alias(f"{c}_a") for c in ("id", "n", "place", "comp")])
-    against = rest.select("token", "main", *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "place", "comp")])
+        "token", *[F.col(c).alias(f"{c}_a") for c in ("id", "n", "place", "comp", "prefix")])
+    against = rest.select("token", "main", *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "place", "comp", "prefix")])
     meets = ((F.col("comp_a") != F.col("comp_b"))
              & _may_link(F.col("n_a"), F.col("place_a"), F.col("n_b"), F.col("place_b"), percent)
+             & _first_meeting(percent)
              # two documents that both ask meet once
              & ((F.col("comp_b") == F.col("main")) | (F.col("id_a") < F.col("id_b"))))
     more = (asked.join(against, "token").filter(meets)
