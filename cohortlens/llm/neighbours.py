@@ -2,16 +2,20 @@
 
 Method: every distinct vector is a node with its ``degree`` nearest known nodes.
 The graph starts from random pivots: a node meets the nodes of its nearest
-pivot's cell, for several sets of pivots (a bounded sample of the vectors; every
-vector is indexed). Then NN-descent rounds join neighbours of neighbours: each
-node gathers a sample of its neighbours and of the nodes that list it, the
-members' vectors meet at that node, and every member learns of closer ones. A
-query is a node; its greedy search starts there, expands the best unexpanded
-nodes of its beam, and stops when no expansion is left that improves it.
+pivot's cell, for several sets of pivots (their number grows with that of the
+vectors; every vector is indexed). A cell with too many nodes is divided by
+further pivots of its own, so near nodes stay together; only nodes that no pivot
+tells apart (all alike in single precision) are divided by hash. Then NN-descent
+rounds join neighbours of neighbours: each node gathers a sample of its
+neighbours and of the nodes that list it, the members' vectors meet at that
+node, and every member learns of closer ones. Rounds go on until one changes less
+than the share ``settled`` of all list entries. A query is a node; its greedy
+search starts there and expands the best unexpanded nodes in hops. It goes on for
+as long as hops find nodes among its best ``k``, and stops after ``PATIENCE`` hops
+in a row that found none; other queries do not matter to it.
 
 Nodes live in hashed blocks, messages between blocks are packed rows, so each
-step is a Spark shuffle by block and numpy inside a block. Cells with many
-vectors are divided by hash, so a very common region is many tasks.
+step is a Spark shuffle by block and numpy inside a block.
 
 Measure: Euclidean distance in double precision on the original vectors; ties
 go to the smaller id. Copies of one vector are one node that keeps its smallest
@@ -27,6 +31,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -38,12 +43,12 @@ DEGREE = 32                     # neighbours kept of a node
 PIVOT_SETS = 8
 CELL_ROWS = 600                 # nodes of a cell that are compared with each other, about
 SAMPLE = 16                     # neighbours, and as many listing nodes, that meet in a round
-ROUNDS = 8
-BEAM, EXPAND, HOPS = 256, 64, 6
+SETTLED = 0.005                 # rounds end when one changes fewer of the list entries
+EXPAND, PATIENCE = 64, 2         # nodes expanded in a hop; hops without a better result, then a query is done
 BLOCK_ROWS = 2000
 MIN_BLOCKS = 32
-MAX_PIVOTS = 4096
-_GRAPH = "blk int, id long, vec binary, near binary, dist binary"
+FAN = 256                       # pivots that divide one cell, at most; their cells are divided further
+_GRAPH = "blk int, id long, vec binary, near binary, dist binary, fresh int"
 
 
 def block_of(ids: np.ndarray, blocks: int) -> np.ndarray:
@@ -73,33 +78,133 @@ def matrix(column) -> np.ndarray:
 
 
 def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Squared distances of rows (batched)."""
+    """Squared distances of rows (batched), from offsets to a row of ``y``: tight groups far from 0 keep their order."""
+    x, y = x - y[..., :1, :], y - y[..., :1, :]
     xx, yy = (x * x).sum(-1), (y * y).sum(-1)
     return np.maximum(xx[..., :, None] + yy[..., None, :] - 2 * (x @ np.swapaxes(y, -1, -2)), 0)
 
 
-def _cells(pivots: list[np.ndarray], divide: dict[tuple[int, int], int] | None):
+def _leaves(x: np.ndarray, tree: dict[int, tuple[np.ndarray, int]]) -> np.ndarray:
+    """The cell of each row, from cell 0 on to the nearest pivot's while a cell is divided."""
+    cell = np.zeros(len(x), dtype=np.int32)
+    going = np.unique(cell)
+    while len(going := [c for c in going if c in tree]):
+        reached = []
+        for c in going:
+            rows = np.flatnonzero(cell == c)
+            points, first = tree[c]
+            cell[rows] = first + distances(x[rows], points).argmin(axis=1)
+            reached.append(np.unique(cell[rows]))
+        going = np.concatenate(reached)
+    return cell
+
+
+class _Tree:
+    """Nested pivots, drawn from a sample of the nodes: each divides the cell it lies in."""
+
+    def __init__(self, sample: np.ndarray, rng: np.random.Generator):
+        self.pivots: dict[int, tuple[np.ndarray, int]] = {}
+        self.sample, self.rng, self.next = sample, rng, 1
+        self.cell = np.zeros(len(sample), dtype=np.int32)
+
+    def add(self, more: np.ndarray) -> None:
+        self.sample = np.concatenate((self.sample, more))
+        self.cell = np.concatenate((self.cell, _leaves(more, self.pivots)))
+
+    def divide(self, cell: int, wanted: int) -> bool:
+        """Divide a cell by about ``wanted`` of its own nodes; False if they do not tell its nodes apart."""
+        rows = np.flatnonzero(self.cell == cell)
+        if len(rows) < 2:
+            return False
+        points = np.unique(self.sample[self.rng.choice(rows, min(wanted, len(rows)), replace=False)], axis=0)
+        if len(points) == 1:                              # drawn alike; any other one will do
+            others = rows[(self.sample[rows] != points[0]).any(axis=1)]
+            points = np.concatenate((points, self.sample[others[:1]]))
+        to = distances(self.sample[rows], points).argmin(axis=1)
+        if (to == to[0]).all():
+            return False
+        self.pivots[cell] = points, self.next
+        self.cell[rows] = self.next + to
+        self.next += len(points)
+        return True
+
+
+def _cells(trees: list[dict], divide: dict[tuple[int, int], int] | None):
     def cells(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
             x, ids = matrix(batch.column("vec")), batch.column("id").to_numpy()
             salt = mix(ids.astype(np.uint64) + np.uint64(17))
-            for number, points in enumerate(pivots):
-                cell = distances(x, points).argmin(axis=1).astype(np.int32)
+            for number, tree in enumerate(trees):
+                cell = _leaves(x, tree)
                 names, columns = ["pivots", "cell"], [pa.array(np.full(len(x), number), pa.int32()), pa.array(cell)]
+                values, inverse, counts = np.unique(cell, return_inverse=True, return_counts=True)
                 if divide is None:
-                    values, counts = np.unique(cell, return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), number), pa.int32()),
                                                       pa.array(values), pa.array(counts, pa.int64())], [*names, "n"])
                     continue
-                parts = np.array([divide.get((number, c), 1) for c in range(len(points))], dtype=np.uint64)[cell]
+                parts = np.array([divide.get((number, int(c)), 1) for c in values], dtype=np.uint64)[inverse]
                 part = (mix(salt + np.uint64(number)) % parts).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(part), batch.column("id"), batch.column("vec")],
                                                  [*names, "part", "id", "vec"])
     return cells
 
 
+def _members(trees: list[dict], big: set[tuple[int, int]]):
+    def members(batches):
+        for batch in batches:
+            if batch.num_rows:
+                x = matrix(batch.column("vec"))
+                for number, tree in enumerate(trees):
+                    rows = np.flatnonzero([(number, int(c)) in big for c in _leaves(x, tree)])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), number), pa.int32()),
+                                                      batch.column("vec").take(pa.array(rows))], ["pivots", "vec"])
+    return members
+
+
+def pivot_trees(points: DataFrame, n: int, sets: int, cell_rows: int, seed: int):
+    """(nested pivots of each set, parts of the cells that no pivot divides): cells of at most ``2 * cell_rows`` nodes.
+
+    The cells are divided by their size in a sample first, then counted and divided until all fit.
+    """
+    most = 2 * cell_rows
+    if n <= most:
+        return [{}], {}                                   # one cell holds all
+    rate = min(1.0, 8 / cell_rows)
+    slot = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 20))
+    drawn = points.filter(slot < int(rate * (1 << 20)) + 1).orderBy("id").toArrow()
+    rng = np.random.default_rng(seed)
+    sample = matrix(drawn["vec"]) if len(drawn) else np.zeros((0, 1), np.float32)
+    trees, alike = [_Tree(sample, rng) for _ in range(sets)], set()
+    counts, counted, divided = {(number, 0): n for number in range(sets)}, False, 0
+    while True:
+        big = {k: v for k, v in counts.items() if v > most and k not in alike}
+        if not big and counted:
+            return [t.pivots for t in trees], {k: -(-v // most) for k, v in counts.items() if v > most}
+        if big and counted:                               # few nodes of these cells may be in the sample
+            salt = F.pmod(F.xxhash64("id", F.lit(seed + len(alike) + sum(len(t.pivots) for t in trees))), F.lit(1 << 20))
+            more = points.filter(salt < int(min(1.0, 32 / cell_rows) * (1 << 20)) + 1).mapInArrow(
+                _members([t.pivots for t in trees], set(big)),
+                f"pivots int, vec {points.schema['vec'].dataType.simpleString()}").orderBy("pivots", "vec").toArrow()
+            for number, tree in enumerate(trees):
+                mine = more.filter(pa.compute.equal(more["pivots"], number))
+                if len(mine):
+                    tree.add(matrix(mine["vec"]))
+        for (number, cell), size in sorted(big.items()):
+            if not trees[number].divide(cell, max(2, min(FAN, size // cell_rows))) and counted:
+                alike.add((number, cell))
+        if not counted and (done := sum(len(t.pivots) for t in trees)) > divided:
+            divided = done
+            counts = {(number, int(c)): round(v / rate) for number, t in enumerate(trees)
+                      for c, v in zip(*np.unique(t.cell, return_counts=True), strict=True)}
+            continue
+        counted = True
+        counts = {(r["pivots"], r["cell"]): r["n"] for r in points.mapInArrow(
+            _cells([t.pivots for t in trees], None), "pivots int, cell int, n long")
+            .groupBy("pivots", "cell").agg(F.sum("n").alias("n")).collect()}
+
+
 def _top(owner: np.ndarray, other: np.ndarray, dist: np.ndarray, most: int):
     """The ``most`` nearest distinct others of each owner, as sorted parallel arrays."""
     order = np.lexsort((other, owner))
@@ -171,11 +276,13 @@ class _Block:
         return np.searchsorted(self.ids, ids)
 
 
-def _graph_rows(blk: int, ids: np.ndarray, vec_bytes, owner, near, dist) -> pa.Table:
+def _graph_rows(blk: int, ids: np.ndarray, vec_bytes, owner, near, dist, fresh) -> pa.Table:
     start, end = np.searchsorted(owner, ids), np.searchsorted(owner, ids, side="right")
+    fresh = np.concatenate(([0], np.cumsum(fresh)))
     return pa.table({"blk": pa.array(np.full(len(ids), blk), pa.int32()), "id": ids, "vec": vec_bytes,
                      "near": pa.array([near[a:b].astype("<i8").tobytes() for a, b in zip(start, end, strict=True)], pa.binary()),
-                     "dist": pa.array([dist[a:b].tobytes() for a, b in zip(start, end, strict=True)], pa.binary())})
+                     "dist": pa.array([dist[a:b].tobytes() for a, b in zip(start, end, strict=True)], pa.binary()),
+                     "fresh": pa.array(fresh[end] - fresh[start], pa.int32())})
 
 
 def _learn(degree: int):
@@ -185,7 +292,10 @@ def _learn(degree: int):
         owner, near, dist = _top(np.concatenate((b.owner, _joined(found, "owner", "<i8"))),
                                  np.concatenate((b.near, _joined(found, "other", "<i8"))),
                                  np.concatenate((b.dist, _joined(found, "dist", np.float32))), degree)
-        return _graph_rows(key[0].as_py(), b.ids, b.vec_bytes, owner, near, dist)
+        pair = np.dtype([("owner", "<i8"), ("near", "<i8")])
+        now, known = np.empty(len(owner), pair), np.empty(len(b.owner), pair)
+        now["owner"], now["near"], known["owner"], known["near"] = owner, near, b.owner, b.near
+        return _graph_rows(key[0].as_py(), b.ids, b.vec_bytes, owner, near, dist, ~np.isin(now, known))
     return learn
 
 
@@ -275,7 +385,7 @@ def _meet(blocks: int, sample: int, turn: int, best: int = 5):
 class Index:
     """NN-descent graph over the distinct vectors of ``table``."""
 
-    def __init__(self, table: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS, copies: int = 11,
+    def __init__(self, table: DataFrame, degree: int = DEGREE, settled: float = SETTLED, copies: int = 11,
                  pivot_sets: int = PIVOT_SETS, cell_rows: int = CELL_ROWS, seed: int = 3):
         spark = table.sparkSession
         self.copies = copies
@@ -292,17 +402,7 @@ class Index:
         points = self.nodes.select(F.col("node").alias("id"), "vec")
 
         # starting neighbours, from cells of random pivots
-        wanted = int(np.clip(n // cell_rows, 1, MAX_PIVOTS)) if n else 0
-        rate = min(1.0, 3.0 * wanted * pivot_sets / max(n, 1))
-        slot = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 20))
-        sample = points.filter(slot < max(1, int(rate * (1 << 20)))).orderBy("id").limit(4 * wanted * pivot_sets).collect() if n else []
-        sample = sample or (points.orderBy("id").limit(1).collect() if n else [])
-        rng = np.random.default_rng(seed)
-        drawn = np.array([r["vec"] for r in sample], dtype=np.float32)
-        pivots = [drawn[rng.choice(len(drawn), min(wanted, len(drawn)), replace=False)] for _ in range(pivot_sets)] if n else []
-        counts = {(r["pivots"], r["cell"]): r["n"] for r in points.mapInArrow(
-            _cells(pivots, None), "pivots int, cell int, n long").groupBy("pivots", "cell").agg(F.sum("n").alias("n")).collect()} if n else {}
-        divide = {k: -(-v // (2 * cell_rows)) for k, v in counts.items() if v > 2 * cell_rows}
+        pivots, divide = pivot_trees(points, n, pivot_sets, cell_rows, seed)
         vec_type = points.schema["vec"].dataType.simpleString()
         cells = points.mapInArrow(_cells(pivots, divide), f"pivots int, cell int, part int, id long, vec {vec_type}")
         found = cells.groupBy("pivots", "cell", "part").applyInArrow(_meet_in_cell(degree, blocks), _MESSAGES)
@@ -314,19 +414,23 @@ class Index:
                     empty = pa.array([b""] * len(ids), pa.binary())
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(block_of(ids, blocks)), batch.column("id"), pa.array([v.tobytes() for v in x], pa.binary()),
-                         empty, empty], ["blk", "id", "vec", "near", "dist"])
+                         empty, empty, pa.array(np.zeros(len(ids)), pa.int32())],
+                        ["blk", "id", "vec", "near", "dist", "fresh"])
 
         graph = points.mapInArrow(bare, _GRAPH)
         self.graph = stored(graph.groupBy("blk").cogroup(found.groupBy("blk")).applyInArrow(_learn(degree), _GRAPH), "graph")
-        for turn in range(rounds):
+        self.changes: list[int] = []                      # list entries that each round changed
+        while not self.changes or self.changes[-1] > settled * n * degree:
+            turn = len(self.changes)
             told = self.graph.groupBy("blk").applyInArrow(_tell(blocks, SAMPLE, turn), _MESSAGES)
             sent = self.graph.groupBy("blk").cogroup(told.groupBy("blk")).applyInArrow(
                 _send_vectors(blocks, SAMPLE, turn), "blk int, centre binary, member binary, last binary, vec binary")
             found = sent.groupBy("blk").applyInArrow(_meet(blocks, SAMPLE, turn), _MESSAGES)
             self.graph = stored(self.graph.groupBy("blk").cogroup(found.groupBy("blk")).applyInArrow(
                 _learn(degree), _GRAPH), "graph")
+            self.changes.append(self.graph.agg(F.coalesce(F.sum("fresh"), F.lit(0))).first()[0])
 
-    def search(self, queries: DataFrame, k: int = 10, beam: int = BEAM, expand: int = EXPAND, hops: int = HOPS) -> DataFrame:
+    def search(self, queries: DataFrame, k: int = 10, expand: int = EXPAND, patience: int = PATIENCE) -> DataFrame:
         """(query_id, rank, vec_id, score) for ``queries(id)``, ids of the table."""
         asked = stored(self.hashed.join(queries.select("id").distinct(), "id", "left_semi")
                        .join(self.nodes.select("h1", "h2", "node"), ["h1", "h2"]).select("id", "node"), "queries")
@@ -337,31 +441,34 @@ class Index:
                 near = batch.column("near").to_pylist()
                 sizes = [len(x) // 8 for x in near]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(batch.column("id").to_numpy(), sizes)),
-                     pa.array(np.frombuffer(b"".join(near), "<i8"))], ["node", "near"])
+                    [pa.array(np.repeat(batch.column("q").to_numpy(), sizes)),
+                     pa.array(np.frombuffer(b"".join(near), "<i8"))], ["q", "node"])
 
-        edges = self.graph.select("id", "near").mapInArrow(unpack, "node long, near long")
+        lists = self.graph.select(F.col("id").alias("node"), "near")
         origin = vecs.join(asked.select("node").distinct(), "node").select(F.col("node").alias("q"), F.col("vec").alias("q_vec"))
         origin = stored(origin, "origin")
         square = F.aggregate(F.zip_with("q_vec", "vec", lambda a, b: (a.cast("double") - b.cast("double"))
                                         * (a.cast("double") - b.cast("double"))), F.lit(0.0), lambda s, x: s + x)
-        state = origin.select("q", F.col("q").alias("node"), F.lit(0.0).alias("d"), F.lit(False).alias("done"))
+        # every measured node is remembered, with the hop that found it
+        state = origin.select("q", F.col("q").alias("node"), F.lit(0.0).alias("d"), F.lit(False).alias("done"), F.lit(0).alias("hop"))
         nearest = Window.partitionBy("q").orderBy("d", "node")
-        for _ in range(hops):
-            open_nodes = (state.filter("not done").withColumn("nth", F.row_number().over(nearest))
-                          .filter(F.col("nth") <= expand).select("q", "node"))
-            reached = (open_nodes.join(edges, "node").select("q", F.col("near").alias("node")).distinct()
+        hop = 0
+        while True:
+            hop += 1
+            ranked = state.withColumn("nth", F.row_number().over(nearest)).withColumn(
+                "better", F.max(F.when(F.col("nth") <= k + 1, F.col("hop"))).over(Window.partitionBy("q")))
+            open_nodes = stored(ranked.filter((F.col("better") >= hop - patience) & ~F.col("done"))
+                                .withColumn("nth", F.row_number().over(nearest))
+                                .filter(F.col("nth") <= expand).select("q", "node"), "open")
+            if open_nodes.isEmpty():
+                break
+            reached = (open_nodes.join(lists, "node").select("q", "near").mapInArrow(unpack, "q long, node long").distinct()
                        .join(state.select("q", "node"), ["q", "node"], "left_anti"))
             measured = (reached.join(vecs, "node").join(origin, "q")
-                        .select("q", "node", square.alias("d"), F.lit(False).alias("done")))
+                        .select("q", "node", square.alias("d"), F.lit(False).alias("done"), F.lit(hop).alias("hop")))
             marked = state.join(open_nodes.withColumn("_now", F.lit(True)), ["q", "node"], "left").select(
-                "q", "node", "d", (F.col("done") | F.coalesce("_now", F.lit(False))).alias("done"))
-            state = stored(marked.unionByName(measured).withColumn("nth", F.row_number().over(nearest))
-                           .filter((F.col("nth") <= beam) | F.col("done")).drop("nth"), "beam")
-            # done nodes beyond the beam are only remembered as visited
-            left = (state.withColumn("nth", F.row_number().over(nearest)).filter((F.col("nth") <= k) & ~F.col("done")))
-            if left.isEmpty():
-                break
+                "q", "node", "d", (F.col("done") | F.coalesce("_now", F.lit(False))).alias("done"), "hop")
+            state = stored(marked.unionByName(measured), "reached")
         hits = (state.withColumn("nth", F.row_number().over(nearest)).filter(F.col("nth") <= k + 1)
                 .join(self.nodes.select("node", "copies"), "node")
                 .select("q", "d", F.explode("copies").alias("vec_id")))

@@ -196,3 +196,26 @@ def test_few_neighbours(spark, n):
     vecs = spark.createDataFrame([(100 * i, [float(i), 1.0]) for i in range(n)], "vec_id long, embedding array<float>")
     got = neighbours.Index(vecs).search(vecs.select(F.col("vec_id").alias("id"))).collect()
     assert len(got) == n * max(n - 1, 0)
+
+
+def test_cells_are_divided_by_pivots_and_keep_near_nodes_together(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "FAN", 4)             # several levels
+    rng = np.random.default_rng(4)
+    x = np.repeat(rng.standard_normal((1500, 8)), 2, axis=0)
+    x[1::2] += 1e-4                                       # pairs
+    x[:2400] = 50 + x[:2400] / 100                        # most of them in one tight region
+    points = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "id long, vec array<float>")
+    trees, divide = neighbours.pivot_trees(points, len(x), 3, 100, 3)
+    assert len(trees) == 3 and divide == {}
+    cells = [neighbours._leaves(x.astype(np.float32), tree) for tree in trees]
+    assert max(np.bincount(cell).max() for cell in cells) <= 200
+    assert np.any([cell[::2] == cell[1::2] for cell in cells], axis=0).mean() > 0.95
+    alike = spark.range(500).selectExpr("id", "array(cast(1 as float), cast(2 as float)) as vec")
+    assert neighbours.pivot_trees(alike, 500, 2, 100, 3) == ([{}, {}], {(0, 0): 3, (1, 0): 3})
+
+
+def test_rounds_go_on_until_few_lists_change(spark):
+    x = np.random.default_rng(6).standard_normal((1500, 12))
+    vecs = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<float>")
+    index = neighbours.Index(vecs, degree=10, settled=0.01, pivot_sets=1, cell_rows=50)
+    assert len(index.changes) > 1 and index.changes[-1] <= 0.01 * 10 * len(x) < index.changes[-2]
