@@ -219,3 +219,13 @@ def test_rounds_go_on_until_few_lists_change(spark):
     vecs = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<float>")
     index = neighbours.Index(vecs, degree=10, settled=0.01, pivot_sets=1, cell_rows=50)
     assert len(index.changes) > 1 and index.changes[-1] <= 0.01 * 10 * len(x) < index.changes[-2]
+
+
+def test_secret_findings_are_bounded_for_each_label(spark, make):
+    rng = random.Random(8)
+    hexes = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    many = [(0, " ".join(hexes(40) for _ in range(300)))]
+    docs = make(many + [(i, f"{prose(rng, 20)} order-{rng.randrange(10**6)} {prose(rng, 5)}") for i in range(1, 40)])
+    assert secret_scan.fit(docs, most_findings=60, steps=30).threshold < 2       # negatives are left
+    with pytest.warns(UserWarning, match="not trained"):
+        assert secret_scan.fit(make(many), steps=30).threshold == 2
