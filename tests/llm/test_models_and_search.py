@@ -229,3 +229,23 @@ def test_secret_findings_are_bounded_for_each_label(spark, make):
     assert secret_scan.fit(docs, most_findings=60, steps=30).threshold < 2       # negatives are left
     with pytest.warns(UserWarning, match="not trained"):
         assert secret_scan.fit(make(many), steps=30).threshold == 2
+
+
+def test_secret_keys_without_digits(spark, make):
+    rng = random.Random(9)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    key = lambda n: "".join(rng.choice(letters) for _ in range(n))
+    text = 'private_key = "QwErTyUiOpAsDfGhJkLz"'
+    assert secret_scan.scan(text)[1] == [(0, 11), (15, 35)]
+    long = ["international", "understanding", "nevertheless", "documentation", "something", "beautiful", "experience"]
+    rows = [(i, f"{prose(rng, 20)} {rng.choice(long)} no. 20{rng.randrange(10**7)} {rng.choice(long)} {prose(rng, 5)}") for i in range(200)]
+    keys = [(1000 + i, f'{prose(rng, 10)} private_key = "{key(24)}" {prose(rng, 10)}') for i in range(20)]
+    model = secret_scan.fit(make(rows))
+    got = secret_scan.find_secrets(make(rows + keys), model).collect()
+    found = 0
+    for r in got:
+        if r.doc_id >= 1000:
+            at = dict(keys)[r.doc_id].index('"') + 1
+            found += f"model:{at}:{at + 24}" in r.spans.split(",")
+    assert found >= 16
+    assert sum(r.n_model > 0 for r in got if r.doc_id < 1000) <= 20
