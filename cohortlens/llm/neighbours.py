@@ -330,7 +330,6 @@ def _send_vectors(blocks: int, sample: int, turn: int):
         last = np.full(len(b.ids), np.inf, dtype=np.float32)
         full = b.sizes > 0
         last[full] = np.maximum.reduceat(b.dist, (np.cumsum(b.sizes) - b.sizes)[full])
-        half = b.vec.astype(np.float16)
         blk = block_of(centre, blocks)
         order = np.argsort(blk, kind="stable")
         cuts = np.flatnonzero(np.diff(blk[order])) + 1
@@ -339,7 +338,7 @@ def _send_vectors(blocks: int, sample: int, turn: int):
                          "centre": pa.array([centre[p].astype("<i8").tobytes() for p in parts], pa.binary()),
                          "member": pa.array([member[p].astype("<i8").tobytes() for p in parts], pa.binary()),
                          "last": pa.array([last[rows[p]].tobytes() for p in parts], pa.binary()),
-                         "vec": pa.array([half[rows[p]].tobytes() for p in parts], pa.binary())})
+                         "vec": pa.array([b.vec[rows[p]].tobytes() for p in parts], pa.binary())})
     return send
 
 
@@ -347,7 +346,7 @@ def _meet(blocks: int, sample: int, turn: int, best: int = 5):
     def meet(key: tuple, group: pa.Table) -> pa.Table:
         """Members of a centre compare; each learns of those closer than its farthest neighbour."""
         centre, member = _joined(group, "centre", "<i8"), _joined(group, "member", "<i8")
-        last, vec = _joined(group, "last", np.float32), _joined(group, "vec", np.float16)
+        last, vec = _joined(group, "last", np.float32), _joined(group, "vec", np.float32)
         vec = vec.reshape(len(centre), -1)
         # a much listed centre takes a sample of its members
         draw = mix(mix(centre.astype(np.uint64) + np.uint64(turn)) ^ member.astype(np.uint64))
@@ -364,7 +363,7 @@ def _meet(blocks: int, sample: int, turn: int, best: int = 5):
             for at in range(0, len(these), max(1, 200_000 // int(size * size))):
                 part = these[at:at + max(1, 200_000 // int(size * size))]
                 index = part[:, None] + np.arange(size)
-                x = vec[index].astype(np.float32)
+                x = vec[index]
                 d = distances(x, x)
                 d[:, np.arange(size), np.arange(size)] = np.inf
                 most = min(best, size - 1)

@@ -217,7 +217,7 @@ def test_cells_are_divided_by_pivots_and_keep_near_nodes_together(spark, monkeyp
 def test_rounds_go_on_until_few_lists_change(spark):
     x = np.random.default_rng(6).standard_normal((1500, 12))
     vecs = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<float>")
-    index = neighbours.Index(vecs, degree=10, settled=0.01, pivot_sets=1, cell_rows=50)
+    index = neighbours.Index(vecs, degree=10, settled=0.01, pivot_sets=2, cell_rows=50)
     assert len(index.changes) > 1 and index.changes[-1] <= 0.01 * 10 * len(x) < index.changes[-2]
 
 
@@ -249,3 +249,15 @@ def test_secret_keys_without_digits(spark, make):
             found += f"model:{at}:{at + 24}" in r.spans.split(",")
     assert found >= 16
     assert sum(r.n_model > 0 for r in got if r.doc_id < 1000) <= 20
+
+
+def test_rounds_learn_the_same_at_any_scale(spark):
+    x = np.random.default_rng(7).standard_normal((400, 8)).astype(np.float32)
+    lists = []
+    for scale in (1.0, 2.0 ** 20):                        # beyond half precision
+        vecs = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x * np.float32(scale))],
+                                     "vec_id long, embedding array<float>")
+        index = neighbours.Index(vecs, degree=8, settled=0.05, pivot_sets=2, cell_rows=40)
+        lists.append({r.id: bytes(r.near) for r in index.graph.select("id", "near").collect()})
+        assert index.changes[0] > 0
+    assert lists[0] == lists[1]
