@@ -7,7 +7,21 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, jaccard_join, line_dedup, mixing, neighbours, packing, quality, secret_scan, substring_dedup, toxicity
+from . import (
+    bpe,
+    conversations,
+    fingerprints,
+    jaccard_join,
+    line_dedup,
+    mixing,
+    neighbours,
+    packing,
+    periodic_runs,
+    quality,
+    secret_scan,
+    substring_dedup,
+    toxicity,
+)
 from .text import table
 
 QUERIES = {}
@@ -85,3 +99,31 @@ def op8_nn_descent(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     asked = vectors.select(F.col("vec_id").alias("id")).filter(F.col("vec_id") % 100 == 0)
     return neighbours.Index(vectors).search(asked)
+
+
+@register
+def op11_conversations(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations")
+    return conversations.repair(conversations.damaged(rows), rows)
+
+
+@register
+def op12_bpe(spark, sf_dir):
+    tokens = bpe.encode(table(spark, sf_dir, "documents"))
+    texts = bpe.decode(tokens.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens")),
+                       keep=("doc_id", "n_tokens", "ids"))
+    return texts.select("doc_id", "n_tokens", F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@register
+def op13_periodic_runs(spark, sf_dir):
+    found = periodic_runs.periodic_runs(periodic_runs.repeated_tails(table(spark, sf_dir, "documents")))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period)), "\n")
+    best = F.col("strongest")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"),
+        *[best[c].alias(c) for c in ("start", "length", "period")],
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise(""), 256).alias("runs_sha256"),
+        F.sha2("collapsed_text", 256).alias("collapsed_sha256"))
