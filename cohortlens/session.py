@@ -56,6 +56,16 @@ def planning_session(spark: SparkSession) -> SparkSession:
     return child
 
 
+def counting_session(spark: SparkSession) -> SparkSession:
+    """A further session like ``planning_session``'s, for jobs that observe metrics: what such a job
+    leaves behind in its session cannot reach the caller's."""
+    child = planning_session(spark).newSession()
+    for key, value in planning_session(spark).conf.getAll.items():
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
+            child.conf.set(key, value)
+    return child
+
+
 class StorageError(RuntimeError):
     pass
 

@@ -4,10 +4,8 @@ from __future__ import annotations
 
 import csv
 import json
-from collections.abc import Mapping, Sequence
-from functools import reduce
-
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,39 +16,52 @@ class ContractError(ValueError):
     """The file's header does not match the table contract."""
 
 
-def csv_headers(spark: SparkSession, path: str, per_job: int = 64) -> dict[str, list[str]]:
-    """{file: column names} from the first line of every CSV file under ``path``.
+def csv_headers(spark: SparkSession, path: str) -> DataFrame:
+    """(file, header): the names in the first line of every file that a scan of ``path`` reads.
 
-    The files are listed without reading them, and each gives its first row
-    only (``limit(1)``), ``per_job`` files to a job: no data job over the
-    input runs before the contract is settled.
+    One job, with one task per file that stops after the file's first line: no data is read before
+    the contract is settled. Every file counts, whatever its name; empty files have no header.
     """
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv*").load(path).select("path")
-    files = sorted(r["path"] for r in listed.collect())                  # one short row a file
-    found: dict[str, list[str]] = {}
-    for i in range(0, len(files), per_job):
-        firsts = [spark.read.text(f).limit(1).select(F.lit(f).alias("file"), "value") for f in files[i:i + per_job]]
-        for r in reduce(DataFrame.unionByName, firsts).collect():
-            found[r["file"]] = next(csv.reader([r["value"]]), [])
-    return found
-
-
-def header_report(headers: Mapping[str, Sequence[str]], spec: SurveySpec) -> dict[str, str]:
-    """{file: what is wrong} for the headers that differ from the contract's names and order."""
+    child = spark.newSession()                            # the caller's split sizes stay as they are
+    for key, value in {"spark.sql.files.maxPartitionBytes": str(1 << 50), "spark.sql.files.openCostInBytes": str(1 << 50),
+                       "spark.sql.execution.arrow.maxRecordsPerBatch": "1"}.items():
+        child.conf.set(key, value)
+
+    def first_line(batches):
+        for batch in batches:
+            if batch.num_rows:
+                names = next(csv.reader([batch.column(1)[0].as_py()]), [])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(0, 1), pa.array([names], pa.list_(pa.string()))],
+                                                 ["file", "header"])
+                return
+
+    lines = child.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    return lines.mapInArrow(first_line, "file string, header array<string>")
+
+
+def header_report(headers: DataFrame, spec: SurveySpec, most: int = 20) -> dict[str, str]:
+    """{a file: what is wrong with its header and how many files share that} for the headers that differ from the
+    contract's names and order, up to ``most`` different ones. Raises where no file has a header."""
+    groups = headers.groupBy("header").agg(F.count(F.lit(1)).alias("n"), F.min("file").alias("file"))
+    right = F.col("header") == F.array(*[F.lit(c) for c in spec.columns])
+    rows = groups.orderBy(right, "header").limit(most + 1).collect()
+    if not rows:
+        raise ContractError("headers do not match the contract: no CSV file")
     wrong = {}
-    for file, header in headers.items():
-        if list(header) != list(spec.columns):
-            missing = [c for c in spec.columns if c not in header]
-            extra = [c for c in header if c not in spec.columns]
-            wrong[file] = f"missing={missing} extra={extra} order_ok={bool(missing or extra)}; got {list(header)}"
+    for r in rows:
+        if r["header"] != list(spec.columns):
+            missing = [c for c in spec.columns if c not in r["header"]]
+            extra = [c for c in r["header"] if c not in spec.columns]
+            wrong[r["file"]] = (f"missing={missing} extra={extra} order_ok={bool(missing or extra)}; got {r['header']} "
+                                f"in {r['n']} file(s)")
     return wrong
 
 
-def check_contract(headers: Mapping[str, Sequence[str]], spec: SurveySpec) -> None:
+def check_contract(headers: DataFrame, spec: SurveySpec) -> None:
     """Names and order of every file's header must equal the contract exactly."""
     wrong = header_report(headers, spec)
-    if wrong or not headers:
-        raise ContractError(f"headers do not match the contract: {wrong or 'no CSV file'}")
+    if wrong:
+        raise ContractError(f"headers do not match the contract: {wrong}")
 
 
 def scan_csv(spark: SparkSession, path: str, spec: SurveySpec, corrupt_col: str | None = None) -> DataFrame:
@@ -81,14 +92,30 @@ def write_partitioned(df: DataFrame, path: str, key: str) -> None:
     The ``rebalance`` hint shuffles on the key with AQE splitting large
     partitions, so each key value lands in a few well-sized files instead of
     one file per (task, value), and a dominant value is still split.
-    (Counting rows with ``DataFrame.observe`` during the write was tried: on
-    PySpark 4.1 it left later MLlib evaluations in the same session failing
-    with "Task not serializable", so the count is a separate read.)
     """
     (df.hint("rebalance", key).write.mode("overwrite")
        .option("compression", "snappy").partitionBy(key).parquet(path))
 
 
+def write_counted(df: DataFrame, path: str, key: str) -> int:
+    """``write_partitioned``, and the rows that went into it, counted inside the write job.
+
+    Give it a frame of a session of its own (``session.counting_session``): on PySpark 4.1 an observed
+    frame leaves later MLlib evaluations of its session failing with "Task not serializable".
+    """
+    seen = Observation()
+    write_partitioned(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, key)
+    return int(seen.get["rows"])
+
+
+def stored_rows(spark: SparkSession, path: str) -> int:
+    """The rows of a Parquet folder from its footers: the count is pushed into the scan, no column is read."""
+    child = spark.newSession()
+    child.conf.set("spark.sql.sources.useV1SourceList", "")             # the pushed count needs the newer reader
+    child.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return int(child.read.parquet(path).agg(F.count(F.lit(1))).first()[0])
+
+
 def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 

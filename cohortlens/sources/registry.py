@@ -67,12 +67,17 @@ def latest(spark: SparkSession, registry: str) -> dict:
     return r
 
 
-def load_latest(spark: SparkSession, registry: str) -> tuple[dict, PipelineModel]:
-    info = latest(spark, registry)
-    model = PipelineModel.load(info["path"])
+def load(path: str) -> PipelineModel:
+    """A saved pipeline that ends in a supported classifier."""
+    model = PipelineModel.load(path)
     if not isinstance(model.stages[-1], SUPPORTED):
         raise RegistryError(f"unsupported model type: {type(model.stages[-1]).__name__}")
-    return info, model
+    return model
+
+
+def load_latest(spark: SparkSession, registry: str) -> tuple[dict, PipelineModel]:
+    info = latest(spark, registry)
+    return info, load(info["path"])
 
 
 def model_card(spark: SparkSession, registry: str) -> DataFrame:
