@@ -59,10 +59,23 @@ def safe_corr(a: str | Column, b: str | Column) -> Column:
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
+NO_SPREAD = 1e-13       # a variance under this share of the mean square is rounding, not spread
+
+
 def corr_from_sums(n: Column, sx: Column, sy: Column, sxx: Column, syy: Column, sxy: Column) -> Column:
-    """Pearson correlation from plain sums over the rows where both values exist."""
+    """Pearson correlation from sums of offsets over the rows where both values exist; null without spread."""
     vx, vy = n * sxx - sx * sx, n * syy - sy * sy
-    return F.when((vx > 0) & (vy > 0), F.try_divide(n * sxy - sx * sy, F.sqrt(vx) * F.sqrt(vy)))
+    varies = (vx > F.lit(NO_SPREAD) * n * sxx) & (vy > F.lit(NO_SPREAD) * n * syy)
+    return F.when(varies, F.try_divide(n * sxy - sx * sy, F.sqrt(vx) * F.sqrt(vy)))
+
+
+def portable_uniform(seed: int, *keys: Column) -> Column:
+    """Uniform [0, 1) from the md5 of the keys' text, in steps of 2^-32: any engine computes the same value.
+
+    For small tables such as a search's population; ``hashed_uniform`` is cheaper for data.
+    """
+    text = F.concat_ws("|", F.lit(str(seed)), *[k.cast("string") for k in keys])
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
 
 
 def hashed_uniform(seed: int, *keys: Column, resolution: int = 1 << 30) -> Column:

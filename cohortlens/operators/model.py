@@ -178,3 +178,11 @@ def train_and_save(df: DataFrame, features: Sequence[str], label: str, split_key
     value = board.filter(F.col("model") == best).first()[metric]
     REG.register(df.sparkSession, registry, fitted[best], best, model_path, features, label, metric, value)
     return board.withColumn("best", F.col("model") == F.lit(best))
+
+
+def naive_bayes_parameters(fitted, features: Sequence[str], spark) -> DataFrame:
+    """(label, feature, mean, variance, log_prior) of a fitted Gaussian naive Bayes model; classes x features rows."""
+    means, variances, priors = fitted.theta.toArray(), fitted.sigma.toArray(), fitted.pi.toArray()
+    rows = [(label, f, float(means[label][i]), float(variances[label][i]), float(priors[label]))
+            for label in range(len(priors)) for i, f in enumerate(features)]
+    return spark.createDataFrame(rows, "label int, feature string, mean double, variance double, log_prior double")

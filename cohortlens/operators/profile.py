@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import equal_width_bin
 from ..functions.reshape import stack_long
 from ..spec import SurveySpec
+from .quantiles import exact_quantiles, long_values
 
 STAT_DIGITS = 9  # non-exact statistics (deviations, interpolated quantiles)
 
@@ -54,60 +55,80 @@ def value_count_table(df: DataFrame, columns: Sequence[str], by: str | None = No
     rows whatever the table size. Nulls and NaN are left out.
     """
     keep = [by] if by else []
-    wide = df.select(*keep, *[F.col(c).cast("double").alias(c) for c in columns])
-    long = stack_long(wide, [([c], [c]) for c in columns], ["variable", "value"], keep=keep)
-    return (long.filter(F.col("value").isNotNull() & ~F.isnan("value"))
-                .groupBy(*keep, "variable", "value").agg(F.count(F.lit(1)).alias("n")))
+    return long_values(df, columns, keep).groupBy(*keep, "variable", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _quantile(counts_w: DataFrame, p: float):
-    """Aggregates giving the two order statistics around position (N-1)p."""
-    h = (F.col("total") - 1) * F.lit(p)
-    lo_i, hi_i = F.floor(h), F.ceil(h)
-    inside = lambda i: (F.col("cum_start") <= i) & (i < F.col("cum_end"))
-    return (F.max(F.when(inside(lo_i), F.col("value"))), F.max(F.when(inside(hi_i), F.col("value"))),
-            F.first(h - lo_i))
+QUARTILES = (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))
+CODED_SPAN = 65_536     # whole-number columns of at most this span are read off their value counts
 
 
-def describe(df: DataFrame, columns: Sequence[str], by: str | None = None,
+def coded_columns(df: DataFrame, columns: Sequence[str], span: int = CODED_SPAN) -> list[str]:
+    """The columns that hold whole numbers only, of a span that bounds their distinct values; one scan, one row."""
+    x = {i: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for i, c in enumerate(columns)}
+    row = df.agg(*[a for i in x for a in (F.min(x[i]).alias(f"lo{i}"), F.max(x[i]).alias(f"hi{i}"),
+                                          F.count_if(x[i] != F.floor(x[i])).alias(f"broken{i}"))]).first()
+    return [c for i, c in enumerate(columns)
+            if not row[f"broken{i}"] and (row[f"lo{i}"] is None or row[f"hi{i}"] - row[f"lo{i}"] < span)]
+
+
+def describe(df: DataFrame, columns: Sequence[str], by: str | None = None, coded: Sequence[str] | None = None,
              approx_accuracy: int | None = None) -> DataFrame:
-    """count, mean, sample std, min, quartiles, max per column (optionally per group).
-
-    Computed from ``value_count_table``: one scan of the data, then small
-    arithmetic on (value, count) pairs. Quartiles are exact with linear
-    interpolation between the order statistics around (N-1)p, as pandas
-    does. The per-variable window runs over distinct values only, which is
-    right for coded survey columns; for a continuous high-cardinality column
-    pass ``approx_accuracy`` to use the bounded-memory ``percentile_approx``.
+    """count, mean, sample std, min, quartiles, max per column (optionally per group); nulls and NaN are left out.
+
+    Quartiles are exact, with linear interpolation between the order statistics around (N-1)p, as pandas
+    does. Columns of whole numbers with a bounded span (``coded``; found out by a scan if None) are read off
+    ``value_count_table``, one scan of the data and arithmetic on (value, count) pairs. Any other
+    column's quartiles come from ``exact_quantiles``, which narrows ranges and never sorts or shuffles its values. ``approx_accuracy`` asks for ``percentile_approx`` instead.
     """
     if approx_accuracy:
         return _describe_approx(df, columns, by, approx_accuracy)
-    keep = [by] if by else []
-    counts = value_count_table(df, columns, by)
-    part = [*keep, "variable"]
+    coded = coded_columns(df, columns) if coded is None else [c for c in columns if c in coded]
+    free = [c for c in columns if c not in coded]
+    parts = ([_describe_coded(df, coded, by)] if coded else []) + ([_describe_free(df, free, by)] if free else [])
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def _describe_coded(df: DataFrame, columns: Sequence[str], by: str | None) -> DataFrame:
+    part = [*([by] if by else []), "variable"]
     per_var = Window.partitionBy(*part)
     w = per_var.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # every per-variable quantity is a window over the small count table, so
     # the data is scanned once and nothing is joined back
-    cw = (counts.withColumn("cum_end", F.sum("n").over(w))
-                .withColumn("cum_start", F.col("cum_end") - F.col("n"))
-                .withColumn("total", F.sum("n").over(per_var))
-                .withColumn("_mean", F.sum(F.col("value") * F.col("n")).over(per_var) / F.col("total")))
-    aggs, names = [], []
-    for tag, p in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75)):
-        lo, hi, frac = _quantile(cw, p)
-        aggs += [lo.alias(f"{tag}_lo"), hi.alias(f"{tag}_hi"), frac.alias(f"{tag}_f")]
-        names.append(tag)
+    cw = (value_count_table(df, columns, by).withColumn("cum_end", F.sum("n").over(w))
+          .withColumn("cum_start", F.col("cum_end") - F.col("n"))
+          .withColumn("total", F.sum("n").over(per_var))
+          .withColumn("_mean", F.sum(F.col("value") * F.col("n")).over(per_var) / F.col("total")))
+    aggs = []
+    for tag, p in QUARTILES:
+        h = (F.col("total") - 1) * F.lit(p)
+        at = lambda i: F.max(F.when((F.col("cum_start") <= i) & (i < F.col("cum_end")), F.col("value")))
+        aggs += [at(F.floor(h)).alias(f"{tag}_lo"), at(F.ceil(h)).alias(f"{tag}_hi"), F.first(h - F.floor(h)).alias(f"{tag}_f")]
     out = cw.groupBy(*part).agg(
         F.sum("n").alias("count"),
         F.first("_mean").alias("mean"),
         F.min("value").alias("min"), F.max("value").alias("max"),
         F.sum(F.col("n") * (F.col("value") - F.col("_mean")) ** 2).alias("_ss"), *aggs)
     out = out.withColumn("std", F.round(F.sqrt(F.try_divide(F.col("_ss"), F.col("count") - 1)), STAT_DIGITS))
-    for tag in names:
+    for tag, _ in QUARTILES:
         lo, hi, fr = F.col(f"{tag}_lo"), F.col(f"{tag}_hi"), F.col(f"{tag}_f")
         out = out.withColumn(tag, F.round(lo + fr * (hi - lo), STAT_DIGITS))
-    return out.select(*part, "count", "mean", "std", "min", *names, "max")
+    return out.select(*part, "count", "mean", "std", "min", *[t for t, _ in QUARTILES], "max")
+
+
+def _describe_free(df: DataFrame, columns: Sequence[str], by: str | None) -> DataFrame:
+    keep = [by] if by else []
+    values = long_values(df, columns, keep)
+    moments = values.groupBy(*keep, "variable").agg(
+        F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"),
+        F.round(F.stddev_samp("value"), STAT_DIGITS).alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
+    tags = {p: t for t, p in QUARTILES}
+    quartiles = (exact_quantiles(values, list(tags), keep).groupBy(*keep, "variable")
+                 .agg(*[F.round(F.max(F.when(F.col("p") == p, F.col("quantile"))), STAT_DIGITS).alias(t) for p, t in tags.items()]))
+    right = quartiles.withColumnsRenamed({k: f"_{k}" for k in [*keep, "variable"]})
+    on = F.col("variable") == F.col("_variable")
+    for k in keep:
+        on = on & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return moments.join(right, on).select(*keep, "variable", "count", "mean", "std", "min", *tags.values(), "max")
 
 
 def _describe_approx(df: DataFrame, columns: Sequence[str], by: str | None, accuracy: int) -> DataFrame:
@@ -160,23 +181,27 @@ def label_conflicts(df: DataFrame, features: Sequence[str], target: str) -> Data
                       F.sum((F.col("lo") != F.col("hi")).cast("int")).cast("bigint").alias("conflicting"))
 
 
-def histogram(df: DataFrame, columns: Sequence[str], bins: int = 30,
-              counts: DataFrame | None = None) -> DataFrame:
-    """Equal-width histogram of every column from ``value_count_table``.
+def histogram(df: DataFrame, columns: Sequence[str], bins: int = 30) -> DataFrame:
+    """Equal-width histogram of every column: (variable, bin from 1, lo, hi, n).
 
-    One scan of the data; each distinct value is binned once against its
-    column's min and max (the maximum lands in the last bin, a constant
-    column in bin 1) and the counts summed per bin. Empty bins are rows too.
+    Two passes: one row of all minima and maxima, then every value is replaced by its bin before
+    anything is counted, so a task sends at most columns x bins rows whatever the values are. The
+    maximum falls in the last bin, a constant column in bin 1; empty bins are rows too; nulls and NaN
+    are left out, and a column without values has no row.
     """
-    counts = counts if counts is not None else value_count_table(df, columns)
-    # the range comes from a partial aggregate, so no task holds all values of a column
-    edges = counts.groupBy("variable").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-    binned = (counts.join(edges, "variable")
-                    .withColumn("bin", equal_width_bin(F.col("value"), F.col("lo"), F.col("hi"), bins)))
-    every = edges.select("variable", F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(bins).cast("bigint"))).alias("bin"),
-                         "lo", "hi", F.lit(0).cast("bigint").alias("n"))
-    return (binned.select("variable", "bin", "lo", "hi", "n").unionByName(every)
-            .groupBy("variable", "bin", "lo", "hi").agg(F.sum("n").cast("bigint").alias("n")))
+    x = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in columns}
+    row = df.agg(*[a for i, c in enumerate(columns) for a in (F.min(x[c]).alias(f"lo{i}"), F.max(x[c]).alias(f"hi{i}"))]).first()
+    edges = [(c, row[f"lo{i}"], row[f"hi{i}"]) for i, c in enumerate(columns) if row[f"lo{i}"] is not None]
+    spark = df.sparkSession
+    every = (spark.createDataFrame(edges, "variable string, lo double, hi double")
+             .withColumn("bin", F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(bins).cast("bigint")))))
+    if not edges:
+        return every.select("variable", "bin", "lo", "hi", F.lit(0).cast("bigint").alias("n"))
+    wide = df.select(*[equal_width_bin(x[c], F.lit(lo), F.lit(hi), bins).alias(f"b{i}") for i, (c, lo, hi) in enumerate(edges)])
+    counts = (stack_long(wide, [([c], [f"b{i}"]) for i, (c, _, _) in enumerate(edges)], ["_variable", "_bin"])
+              .filter(F.col("_bin").isNotNull()).groupBy("_variable", "_bin").agg(F.count(F.lit(1)).alias("_n")))
+    return (every.join(counts, (F.col("variable") == F.col("_variable")) & (F.col("bin") == F.col("_bin")), "left")
+            .select("variable", "bin", "lo", "hi", F.coalesce("_n", F.lit(0)).cast("bigint").alias("n")))
 
 
 def outlier_count(df: DataFrame, column: str, above: float) -> DataFrame:

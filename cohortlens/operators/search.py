@@ -1,22 +1,26 @@
 """Wrapper feature-subset search by genetic algorithm, on Spark ML.
 
-The data stays in Spark: the predictors are assembled once into a vector,
-folds and per-fold class weights are attached, and the result is persisted.
 A candidate is a 0/1 mask over the predictors; its fitness is the mean
 positive-class F1 of a depth-limited, class-balanced decision tree over k
-stratified folds, using only the masked features (``VectorSlicer``). An
-empty mask scores 0.0. Fits for (candidate, fold) pairs are independent
-Spark jobs and can be submitted concurrently.
+stratified folds, using only the masked features. An empty mask scores 0.0.
+All trees of a generation grow together in one job a level
+(``candidate_trees``). ``FitnessData`` is the other way: the predictors are
+assembled once into a vector and persisted, and every (candidate, fold) pair is
+a Spark ML fit, submitted concurrently.
 
 The population is a small table (``size`` rows): selection, crossover and
-mutation are DataFrame expressions driven by hashed uniforms, so the same
-seed gives the same populations whatever the parallelism or layout.
+mutation are DataFrame expressions driven by uniforms from an md5, so the same
+seed gives the same populations whatever the parallelism, layout or engine.
+
+``MeritScorer`` is the filter form of the fitness: what a mask's predictors tell
+of the target, less what they tell of each other, from one correlation pass over
+the data. With it a full run costs no model fits.
 """
 
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -26,9 +30,12 @@ from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import hashed_uniform
+from ..functions.columns import portable_uniform
+from .candidate_trees import MAX_BINS, CandidateTrees
+from .select import corr_matrix, corr_target
 from .split import hash_folds, stratified_folds
 
+Scorer = Callable[[Sequence[Sequence[int]]], list[float]]
 POP_SCHEMA = "cand_id bigint, genes array<int>"
 
 
@@ -45,7 +52,7 @@ class SearchConfig:
     seed: int = 42
     parallelism: int = 4
     protect: int = 0            # rows exempt from mutation (0 = as the source)
-    fold_method: str = "hash"   # window-free, stratified in expectation; or "stratified"
+    fold_method: str = "stratified"  # exact; or "hash": no shuffle, stratified in expectation
     dedup: bool = False         # replace repeated masks of a generation by fresh random ones
 
 
@@ -133,8 +140,34 @@ def fitness(data: FitnessData, genes_list: Sequence[Sequence[int]], cfg: SearchC
     return [memo.get(tuple(int(x) for x in g), 0.0) if any(g) else 0.0 for g in genes_list]
 
 
+class MeritScorer:
+    """Fitness of a mask from correlations: the sum of its predictors' |r| with the target, less the sum
+    of |r| over its pairs divided by its size. Correlations are whole ten-thousandths, so it is exact; a
+    missing one counts 0, an empty mask scores 0.0."""
+
+    SCALE = 10_000
+
+    def __init__(self, df: DataFrame, predictors: Sequence[str], label: str):
+        whole = lambda c: F.coalesce(F.round(F.abs(F.round(c, 4)) * self.SCALE).cast("long"), F.lit(0))
+        number = {p: i for i, p in enumerate(predictors)}
+        self.relevance = [0] * len(number)
+        for r in corr_target(df, predictors, label).select("variable", whole(F.col("correlation")).alias("w")).collect():
+            self.relevance[number[r["variable"]]] = r["w"]
+        self.redundancy = {(number[r["var_a"]], number[r["var_b"]]): r["w"] for r in
+                           corr_matrix(df, predictors).select("var_a", "var_b", whole(F.col("r")).alias("w")).collect()}
+
+    def __call__(self, genes_list: Sequence[Sequence[int]]) -> list[float]:
+        out = []
+        for genes in genes_list:
+            chosen = [i for i, g in enumerate(genes) if g]
+            told = sum(self.relevance[i] for i in chosen)
+            shared = sum(self.redundancy[a, b] for n, a in enumerate(chosen) for b in chosen[n + 1:])
+            out.append((len(chosen) * told - shared) / len(chosen) if chosen else 0.0)
+        return out
+
+
 def initial_population(spark: SparkSession, size: int, n_genes: int, seed: int) -> DataFrame:
-    u = lambda i: hashed_uniform(seed, F.lit(0), F.col("cand_id"), i)
+    u = lambda i: portable_uniform(seed, F.lit(0), F.col("cand_id"), i)
     return (spark.range(size).withColumnRenamed("id", "cand_id")
                  .withColumn("genes", F.transform(F.sequence(F.lit(0), F.lit(n_genes - 1)),
                                                   lambda i: (u(i) < 0.5).cast("int"))))
@@ -158,7 +191,7 @@ def crossover(top: DataFrame, n_genes: int, gamma: float, seed: int, generation:
     seq = F.sequence(F.lit(0), F.lit(n_genes - 1))
 
     def swap(i):
-        return hashed_uniform(seed, F.lit(generation), F.lit(1), F.col("pair"), i) <= gamma
+        return portable_uniform(seed, F.lit(generation), F.lit(1), F.col("pair"), i) <= gamma
 
     joined = a.join(b, "pair", "left")
     has_b = F.col("gb").isNotNull()
@@ -176,7 +209,7 @@ def crossover(top: DataFrame, n_genes: int, gamma: float, seed: int, generation:
 def mutate(pop: DataFrame, p: float, seed: int, generation: int, protect: int = 0) -> DataFrame:
     """Flip each gene with probability ``p`` (rows with id < ``protect`` exempt)."""
     def flip(g, i):
-        u = hashed_uniform(seed, F.lit(generation), F.lit(2), F.col("cand_id"), i)
+        u = portable_uniform(seed, F.lit(generation), F.lit(2), F.col("cand_id"), i)
         return F.when((u <= p) & (F.col("cand_id") >= protect), F.lit(1) - g).otherwise(g)
     return pop.withColumn("genes", F.transform(F.col("genes"), flip))
 
@@ -184,7 +217,7 @@ def mutate(pop: DataFrame, p: float, seed: int, generation: int, protect: int =
 def fresh_copies(pop: DataFrame, n_genes: int, seed: int, generation: int) -> DataFrame:
     """Every mask once: a later row with the same genes gets random ones instead."""
     nth = F.row_number().over(Window.partitionBy("genes").orderBy("cand_id"))
-    u = lambda i: hashed_uniform(seed, F.lit(generation), F.lit(3), F.col("cand_id"), i)
+    u = lambda i: portable_uniform(seed, F.lit(generation), F.lit(3), F.col("cand_id"), i)
     other = F.transform(F.sequence(F.lit(0), F.lit(n_genes - 1)), lambda i: (u(i) < 0.5).cast("int"))
     return pop.withColumn("_nth", nth).select("cand_id", F.when(F.col("_nth") > 1, other).otherwise(F.col("genes")).alias("genes"))
 
@@ -197,18 +230,28 @@ def decode(pop: DataFrame, names: Sequence[str]) -> DataFrame:
     return pop.withColumn("selected", F.filter(picked, lambda x: x.isNotNull()))
 
 
-def _scored(spark: SparkSession, pop: DataFrame, data: FitnessData, cfg: SearchConfig, memo: dict) -> DataFrame:
+def scored(spark: SparkSession, pop: DataFrame, score: Scorer) -> DataFrame:
+    """The population with the fitness of every candidate."""
     rows = pop.orderBy("cand_id").collect()           # size rows: the population, not data
-    fit = fitness(data, [r["genes"] for r in rows], cfg, memo)
+    fit = score([r["genes"] for r in rows])
     return spark.createDataFrame([(r["cand_id"], list(r["genes"]), f) for r, f in zip(rows, fit)],
                                  "cand_id bigint, genes array<int>, fitness double")
 
 
+def next_population(pop: DataFrame, n_genes: int, cfg: SearchConfig, generation: int) -> DataFrame:
+    """Selection, crossover and mutation."""
+    top = select_top(pop, cfg.keep)
+    new = mutate(crossover(top, n_genes, cfg.gamma, cfg.seed, generation), cfg.mutation, cfg.seed, generation, cfg.protect)
+    return fresh_copies(new, n_genes, cfg.seed, generation) if cfg.dedup else new
+
+
 def search(df: DataFrame, predictors: Sequence[str], label: str, cfg: SearchConfig | None = None,
-           data: FitnessData | None = None):
+           data: FitnessData | None = None, score: Scorer | None = None):
     """Run the search. Returns (best row dict, history DataFrame, last population).
 
-    ``data`` shares one prepared table with ``baseline``; the caller releases it.
+    Trees of a generation grow together (``candidate_trees``) unless ``data`` asks for one Spark ML fit per
+    candidate and fold; the caller releases ``data``. ``score`` replaces the fitness: prepared
+    ``CandidateTrees`` to share with ``baseline``, or a ``MeritScorer``.
 
     The answer is the best of the last generation, as in the source (its
     "elitism" mutates the kept parents too; set ``protect`` to keep them).
@@ -216,28 +259,19 @@ def search(df: DataFrame, predictors: Sequence[str], label: str, cfg: SearchConf
     cfg = cfg or SearchConfig()
     spark = df.sparkSession
     n = len(predictors)
-    own = data is None
-    data = data or FitnessData(df, predictors, label, cfg.folds, cfg.seed, fold_method=cfg.fold_method)
     memo: dict = {}
-    try:
-        t_start = time.perf_counter()
-        pop = _scored(spark, initial_population(spark, cfg.size, n, cfg.seed), data, cfg, memo)
-        history = []
-        for gen in range(1, cfg.generations + 1):
-            top = select_top(pop, cfg.keep)
-            nxt = mutate(crossover(top, n, cfg.gamma, cfg.seed, gen), cfg.mutation, cfg.seed, gen, cfg.protect)
-            if cfg.dedup:
-                nxt = fresh_copies(nxt, n, cfg.seed, gen)
-            pop = _scored(spark, nxt, data, cfg, memo)
-            s = pop.agg(F.max("fitness").alias("best"), F.avg("fitness").alias("mean")).first()
-            history.append((gen, s["best"], s["mean"], time.perf_counter() - t_start))
-        hist = spark.createDataFrame(history, "generation int, best double, mean double, elapsed_s double")
-        final = decode(pop, predictors)
-        best = final.orderBy(F.col("fitness").desc(), F.col("cand_id")).first().asDict()
-        return best, hist, final
-    finally:
-        if own:
-            data.release()
+    t_start = time.perf_counter()
+    score = score or scorer(df, predictors, label, cfg, data, memo)
+    pop = scored(spark, initial_population(spark, cfg.size, n, cfg.seed), score)
+    history = []
+    for gen in range(1, cfg.generations + 1):
+        pop = scored(spark, next_population(pop, n, cfg, gen), score)
+        s = pop.agg(F.max("fitness").alias("best"), F.avg("fitness").alias("mean")).first()
+        history.append((gen, s["best"], s["mean"], time.perf_counter() - t_start))
+    hist = spark.createDataFrame(history, "generation int, best double, mean double, elapsed_s double")
+    final = decode(pop, predictors)
+    best = final.orderBy(F.col("fitness").desc(), F.col("cand_id")).first().asDict()
+    return best, hist, final
 
 
 def run_log_summary(history: DataFrame) -> DataFrame:
@@ -247,14 +281,27 @@ def run_log_summary(history: DataFrame) -> DataFrame:
         .withColumn("seconds_per_generation", F.col("total_s") / (F.col("generations") + 1))
 
 
+def speed_up(logs: DataFrame, first: str, second: str) -> DataFrame:
+    """Seconds per generation of two named runs of ``logs(run, generation, elapsed_s)``, and how many times
+    faster the second one is."""
+    per_run = logs.groupBy("run").agg((F.max("elapsed_s") / (F.max("generation") + 1)).alias("s"))
+    of = lambda name: F.max(F.when(F.col("run") == name, F.col("s")))
+    return per_run.agg(of(first).alias("first_s"), of(second).alias("second_s")).withColumn(
+        "speed_up", F.try_divide("first_s", "second_s"))
+
+
 def baseline(df: DataFrame, predictors: Sequence[str], label: str, cfg: SearchConfig | None = None,
-             data: FitnessData | None = None) -> float:
+             data: FitnessData | None = None, score: Scorer | None = None) -> float:
     """Fitness of the all-ones mask (every predictor)."""
     cfg = cfg or SearchConfig()
-    own = data is None
-    data = data or FitnessData(df, predictors, label, cfg.folds, cfg.seed, fold_method=cfg.fold_method)
-    try:
-        return fitness(data, [[1] * len(predictors)], cfg)[0]
-    finally:
-        if own:
-            data.release()
+    score = score or scorer(df, predictors, label, cfg, data, {})
+    return score([[1] * len(predictors)])[0]
+
+
+def scorer(df: DataFrame, predictors: Sequence[str], label: str, cfg: SearchConfig, data: FitnessData | None = None,
+           memo: dict | None = None) -> Scorer:
+    """The fitness by trees: grown together, or one Spark ML fit each over ``data``."""
+    if data is not None:
+        return lambda genes: fitness(data, genes, cfg, memo)
+    return CandidateTrees(df, predictors, label, cfg.folds, cfg.max_depth, cfg.seed, cfg.fold_method,
+                          cfg.max_bins or MAX_BINS)

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .rank import rank_within
+
 SPLIT_BUCKETS = 10_000
-FOLD_BUCKET_ROWS = 100_000
 
 
 def hash_bucket(seed: int, keys: Sequence[str | Column], buckets: int = SPLIT_BUCKETS) -> Column:
@@ -60,9 +61,8 @@ def hash_folds(df: DataFrame, k: int = 3, seed: int = 42, keys: Sequence[str] |
     """Fold = hash of the row's columns mod k: no shuffle, no window.
 
     ``bucket`` overrides the hash with any whole-number expression.
-    Stratified only in expectation (each class splits about evenly); the
-    choice when even a (class, bucket) window is too much, e.g. when one
-    group of identical rows holds a large share of the table.
+    Stratified only in expectation (each class splits about evenly), and
+    identical rows share a fold; ``stratified_folds`` is exact.
     """
     cols = [F.col(c) for c in (keys or [c for c in df.columns if c != fold_col])]
     number = bucket if bucket is not None else F.xxhash64(F.lit(seed), *cols)
@@ -70,25 +70,14 @@ def hash_folds(df: DataFrame, k: int = 3, seed: int = 42, keys: Sequence[str] |
 
 
 def stratified_folds(df: DataFrame, label: str, k: int = 3, seed: int = 42,
-                     keys: Sequence[str] | None = None, buckets: int | None = None,
-                     fold_col: str = "fold") -> DataFrame:
-    """Assign each row a fold 0..k-1, balanced within every class.
-
-    Rows are spread over ``buckets`` hash buckets per class (by default one
-    per ``FOLD_BUCKET_ROWS`` rows, from one count); inside a
-    (class, bucket) window rows are numbered in hash order and dealt round
-    robin, with the start rotated by bucket so the remainders even out.
-    Identical rows hash alike and share a bucket; they are
-    interchangeable, so which copy gets which fold does not change results,
-    but a copy group holding a large share of the table makes one large
-    window task (it spills, it does not fail); ``hash_folds`` avoids it.
+                     keys: Sequence[str] | None = None, order: Sequence[str | Column] | None = None,
+                     fold_col: str = "fold", ranges: int | None = None) -> DataFrame:
+    """Assign each row a fold 0..k-1; the folds of every class differ by at most one row.
+
+    A row's fold is its position among the rows of its class modulo k. The order is a hash of
+    ``keys`` (all columns), or ``order``; positions come from ``rank``, so no task
+    holds a class or a group of equal rows, however large.
     """
-    cols = [F.col(c) for c in (keys or [c for c in df.columns if c != fold_col])]
-    if buckets is None:
-        buckets = max(8, df.count() // FOLD_BUCKET_ROWS)
-    h = F.xxhash64(F.lit(seed), *cols)
-    w = Window.partitionBy(F.col(label), F.col("_b")).orderBy(F.col("_h"))
-    return (df.withColumn("_h", h)
-              .withColumn("_b", F.pmod(F.col("_h"), F.lit(buckets)))
-              .withColumn(fold_col, F.pmod(F.row_number().over(w) + F.col("_b"), F.lit(k)).cast("int"))
-              .drop("_h", "_b"))
+    by = list(order) if order else [F.xxhash64(F.lit(seed), *(keys or [c for c in df.columns if c != fold_col]))]
+    ranked = rank_within(df, [label], by, "_position", ranges)
+    return ranked.withColumn(fold_col, F.pmod("_position", F.lit(k)).cast("int")).drop("_position")

@@ -1,10 +1,10 @@
-"""Registered queries (``catalog``, ``modelling``) and their DuckDB twins (``oracle``)."""
+"""Registered queries (``catalog``, ``exact``, ``modelling``) and their DuckDB twins (``oracle``)."""
 
 from __future__ import annotations
 
 
 def all_queries():
-    from . import catalog, modelling  # noqa: F401  (modelling registers the ML, scoring and search keys)
+    from . import catalog, exact, modelling  # noqa: F401  (the others register further keys)
     return dict(catalog.QUERIES)
 
 

@@ -20,7 +20,7 @@ from ..operators import select as SEL
 from ..operators import split as SP
 from ..sources import analog
 from ..sources import files as IO
-from ..session import planning_session, work_path
+from ..session import counting_session, planning_session, work_path
 from ..spec import ANALOG
 from . import oracle as O
 
@@ -173,12 +173,12 @@ def q_null_counts(spark, sf):
 
 @register("describe", O.describe_sql(O.ALL))
 def q_describe(spark, sf):
-    return P.describe(clean(spark, sf), S.columns)
+    return P.describe(clean(spark, sf), S.columns, coded=S.columns)       # the contract's columns are codes
 
 
 @register("describe_by_target", O.describe_sql([S.measure], by=O.T))
 def q_describe_by_target(spark, sf):
-    return P.describe(clean(spark, sf), [S.measure], by=S.target)
+    return P.describe(clean(spark, sf), [S.measure], by=S.target, coded=S.columns)
 
 
 @register("value_counts", O.with_ctes(
@@ -393,11 +393,11 @@ def q_partition_pruned(spark, sf):
     "SELECT 'curated' AS dataset, COUNT(*) AS expected, COUNT(*) AS actual, true AS ok FROM curated"))
 def q_reconcile(spark, sf):
     from ..operators.quality import assert_reconciled, reconcile
-    rows = curated(spark, sf).count()                    # the producer's own count, before the write
-    path = write_curated(spark, sf)
-    mpath = work_path(spark, "manifest")
-    IO.write_manifest(spark, mpath, "curated", rows, spark.read.parquet(path).schema)
-    actual = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows")).withColumn("dataset", F.lit("curated"))
+    path, mpath = work_path(spark, "curated"), work_path(spark, "manifest")
+    # the producer counts in the write job, the consumer in the files' footers
+    rows = IO.write_counted(curated(counting_session(spark), sf), path, S.band_col)
+    IO.write_manifest(spark, mpath, "curated", rows, S.curated_schema)
+    actual = spark.createDataFrame([("curated", IO.stored_rows(spark, path))], "dataset string, rows bigint")
     report = reconcile(IO.read_manifest(spark, mpath), actual)
     assert_reconciled(report)
     return report

@@ -34,11 +34,11 @@ def test_complement_equals_predicate_side(spark):
 
 def test_stratified_folds_balanced(spark):
     df = _table(spark, 3000)
-    f = SP.stratified_folds(df, "y", k=3, seed=42, keys=["id", "a", "b", "y"], buckets=8)
+    f = SP.stratified_folds(df, "y", k=3, seed=42, keys=["id", "a", "b", "y"], ranges=8)
     counts = {(r.fold, r.y): r.n for r in f.groupBy("fold", "y").agg(F.count(F.lit(1)).alias("n")).collect()}
     for y in (0, 1):
         per = [counts[(k, y)] for k in range(3)]
-        assert max(per) - min(per) <= 8
+        assert max(per) - min(per) <= 1
 
 
 def _model(spark):
