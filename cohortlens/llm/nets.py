@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_SLOTS = 1 << 20
+_SLOTS = 1 << 62
 
 
 def sigmoid(x):
@@ -52,12 +52,18 @@ def calibrate(scores: np.ndarray, labels: np.ndarray, steps: int = 200) -> tuple
 
 
 def sample_ids(ids: DataFrame, most: int, id_col: str = "doc_id") -> list[int]:
-    """About ``most`` of the ids (all, if fewer), those with the smallest hash slots;
-    never more than twice as many reach the driver."""
-    n = ids.count()
+    """At most ``most`` distinct ids, about that many if there are more: those with the smallest hash slots.
+    Repeated rows of an id count once, and the same table gives the same ids."""
+    n = ids.agg(F.approx_count_distinct(id_col)).first()[0]
     slot = F.pmod(F.xxhash64(F.col(id_col), F.lit(91)), F.lit(_SLOTS))
-    few = ids.filter(slot < max(1, round(_SLOTS * min(1.0, most / max(n, 1))))).select(id_col)
-    return sorted(r[0] for r in few.limit(2 * most).collect())
+    share = min(1.0, 1.25 * most / max(n, 1))             # a little more, as the count is approximate
+    few = ids.filter(slot <= int(share * (_SLOTS - 1))).select(id_col).distinct()
+    return sorted(r[0] for r in few.orderBy(slot, id_col).limit(most).collect())
+
+
+def one_row_each(docs: DataFrame, ids: list[int], text_col: str = "text") -> DataFrame:
+    """(doc_id, text) of the ids, the least text where an id repeats: as many rows as ids at most."""
+    return docs.filter(F.col("doc_id").isin(ids)).groupBy("doc_id").agg(F.min(text_col).alias("text"))
 
 
 def fold(id_col: Column, folds: int) -> Column:

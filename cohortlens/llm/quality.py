@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .nets import Adam, fold, sample_ids, sigmoid
+from .nets import Adam, fold, one_row_each, sample_ids, sigmoid
 from .text import batches_of, word_hashes
 
 FOLDS, HELD_OUT = 5, 0
@@ -147,7 +147,7 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = 3000, unlabelled: i
     ids_u = sample_ids(known.join(labels.select("doc_id"), "doc_id", "left_anti"), unlabelled)
 
     def texts(ids):
-        rows = (docs.filter(F.col("doc_id").isin(ids)).select("doc_id", "text")
+        rows = (one_row_each(docs, ids)
                 .mapInArrow(_statistics_rows, "doc_id long, x array<double>").collect())
         return np.array([r["x"] for r in sorted(rows)])
 

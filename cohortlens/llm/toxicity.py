@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .nets import Adam, calibrate, fold, sample_ids, sigmoid
+from .nets import Adam, calibrate, fold, one_row_each, sample_ids, sigmoid
 from .text import SPACES, batches_of, ranges, span_hashes, word_spans
 
 FOLDS, HELD_OUT = 3, 1
@@ -309,8 +309,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2500, most_words: i
             ids[i] = y
     if len(set(ids.values())) < 2:
         return None
-    rows = (docs.filter(F.col("doc_id").isin(list(ids)) & (F.octet_length("text") <= 12 * most_words))
-            .select("doc_id", "text").collect())
+    rows = one_row_each(docs.filter(F.octet_length("text") <= 12 * most_words), list(ids)).collect()
     rows = sorted((r["doc_id"], r["text"] or "") for r in rows)
     rows = [(i, t) for i, t in rows if len(t.encode().split()) <= most_words]
     y = np.array([ids[i] for i, _ in rows])
