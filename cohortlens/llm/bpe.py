@@ -36,7 +36,8 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 
 from .text import batches_of, ranges
 
-KEPT_WORDS = 500_000            # words whose ids a worker keeps, about
+KEPT_WORDS = 200_000            # words whose ids a worker keeps, about
+ROWS = 500                      # rows of a batch that are Python objects at once
 _NONE = np.iinfo(np.int64).max
 
 # fixed value: the splitter of byte-level vocabularies
@@ -105,17 +106,22 @@ class ByteBpe:
         order = np.argsort(keys)
         self.pair_keys, self.pair_ranks = keys[order], np.array([r for r, _ in self.merge.values()], dtype=np.int64)[order]
 
-        # tokens that their own bytes do not encode to are never proposed
+        self.raw = raw
+        self.words: dict[str, bytes] = {}
+        self.failed = 0                                    # words merged step by step so far
+        self.tokens: dict[bytes, int] = {}                 # filled when something is encoded
+
+    def _ready_to_encode(self) -> None:
+        """Tokens that can be proposed: those that their own bytes encode to."""
         own = np.array([t for _, t in self.merge.values()], dtype=np.int64)
-        proper = np.ones(size, dtype=bool)
+        proper = np.ones(self.size, dtype=bool)
         proper[own] = self.first_crossing(self.left[own], self.right[own]) == self.made[own]
         for t in own[np.argsort(self.made[own])]:
             proper[t] &= proper[self.left[t]] and proper[self.right[t]]
-        self.tokens = {raw[i]: i for i in ids.values() if proper[i] and raw[i]}
+        special = set(self.special.values())
+        self.tokens = {t: i for i, t in enumerate(self.raw) if t and proper[i] and i not in special}
         self.prefixes = {t[:n] for t in self.tokens for n in range(1, len(t))}
         self.bytes_ids = [self.tokens[bytes([i])] for i in range(256)]
-        self.words: dict[str, bytes] = {}
-        self.failed = 0                                    # words merged step by step so far
 
     # ---------------------------------------------------------------- pairs
 
@@ -207,6 +213,8 @@ class ByteBpe:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
+        if not self.tokens:
+            self._ready_to_encode()
         if len(self.words) > KEPT_WORDS:
             self.words = {}
         parts = []                                         # words and special tokens of each text
@@ -254,13 +262,15 @@ def encode(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_col: str =
     def run(batches):
         bpe = _loaded(path)
         for batch in batches:
-            texts = batch.column(len(keep)).to_pylist()
-            for lo, hi in batches_of(texts):
-                ids = bpe.encode(texts[lo:hi])
-                offsets = np.concatenate(([0], np.cumsum([len(x) // 4 for x in ids]))).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), "<i4")))
-                part = batch.slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays([*part.columns[:len(keep)], lists], [*keep, "ids"])
+            for at in range(0, batch.num_rows, ROWS):
+                some = batch.slice(at, ROWS)
+                texts = some.column(len(keep)).to_pylist()
+                for lo, hi in batches_of(texts):
+                    ids = bpe.encode(texts[lo:hi])
+                    offsets = np.concatenate(([0], np.cumsum([len(x) // 4 for x in ids]))).astype(np.int32)
+                    lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), "<i4")))
+                    part = some.slice(lo, hi - lo)
+                    yield pa.RecordBatch.from_arrays([*part.columns[:len(keep)], lists], [*keep, "ids"])
 
     rows = docs.select(*keep, F.col(text_col).cast("string"))
     schema = StructType([*rows.schema.fields[:len(keep)], StructField("ids", ArrayType(IntegerType(), False))])
@@ -275,8 +285,8 @@ def decode(tokens: DataFrame, keep: tuple[str, ...] = ("doc_id",), ids_col: str
     def run(batches):
         bpe = _loaded(path)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
+            for lo in range(0, batch.num_rows, ROWS):
+                part = batch.slice(lo, ROWS)
                 lists = part.column(len(keep))
                 counts = np.asarray(lists.value_lengths().fill_null(0), dtype=np.int64)
                 ids = np.asarray(lists.flatten().cast(pa.int64()).fill_null(-1), dtype=np.int64)

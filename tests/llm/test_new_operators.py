@@ -219,6 +219,7 @@ def test_decoding_odd_ids(spark):
 
 def test_pair_test_agrees_with_merging():
     b = bpe.ByteBpe(bpe.tokenizer_path())
+    b.encode([""])
     raw = {i: t for t, i in b.tokens.items()}
     rng = np.random.default_rng(2)
     x, y = rng.integers(0, 50256, 3000), rng.integers(0, 50256, 3000)
