@@ -3,6 +3,7 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -163,6 +164,54 @@ def test_secret_windows_read_all_of_a_long_candidate():
     assert 10 + 32 * (len(windows) - 1) + windows[-1][1] == 410
 
 
+def test_secret_scores_of_a_text_are_those_of_its_windows():
+    rng = random.Random(3)
+    pieces = ["abcdefgh", "x1" * 100, "é", " ", "key='", "Z9z9Z9z9Z", "\x00", "longer-word_with.marks=", "日本", "\n"]
+    texts = ["", "abcdefgh", "x" * 500, *("".join(rng.choice(pieces) for _ in range(rng.randrange(80))) for _ in range(60))]
+    net = secret_scan.CharConv(1)
+    net.params["bias"][:] = np.random.default_rng(0).standard_normal(len(net.params["bias"])) * 0.1
+    codes, begins = secret_scan.laid_out(texts)
+    at, windows = [], []
+    for begin, text in zip(begins, texts, strict=True):
+        for start, end in secret_scan.scan(text)[1]:
+            at += [(begin + a, begin + b) for a, b in secret_scan.pieces(start, end)]
+            windows += secret_scan.windows_of(text, start, end)
+    got = net.scan_scores(codes, *np.array(at).T)
+    assert np.abs(got - net.raw_scores(*secret_scan._arrays(windows))).max() < 1e-5
+
+
+def test_secret_gradients():
+    net = secret_scan.CharConv(2)
+    net.params = {k: v.astype(np.float64) for k, v in net.params.items()}
+    codes, lengths = secret_scan._arrays(secret_scan.windows_of("say key='a1B2c3D4e5' or", 9, 19) + secret_scan.windows_of("international words", 0, 13))
+    labels, ones = np.array([1.0, 0.0]), np.ones(2)
+
+    def loss():
+        s = net.forward(codes, lengths)[0]
+        return float((np.log1p(np.exp(-s)) * labels + np.log1p(np.exp(s)) * (1 - labels)).mean())
+
+    grads = net.gradients(codes, lengths, labels, ones)
+    for name, at in (("out", 3), ("out", 40), ("bias", 2), ("shift", 0)):
+        net.params[name][at] += 1e-5
+        up = loss()
+        net.params[name][at] -= 2e-5
+        assert (up - loss()) / 2e-5 == pytest.approx(float(grads[name][at]), rel=1e-2, abs=1e-6)
+        net.params[name][at] += 1e-5
+
+
+def test_secrets_leave_junk_words_alone(spark, make):
+    """Capital words and camel case of prose that training has not seen, in a batch with very long texts."""
+    rng = random.Random(11)
+    shout = lambda n: "".join(rng.choice(EN).upper() for _ in range(n))
+    rows = [(i, f"{prose(rng, 30)} {shout(rng.randrange(3, 6))} {prose(rng, 10)} Inter{rng.choice(EN)}Nation no. 20{rng.randrange(10**7)}")
+            for i in range(400)]
+    model = secret_scan.fit(make(rows[:200]))
+    long = [(2000 + i, " ".join(f"{prose(rng, 20)} {shout(4)}" for _ in range(2000))) for i in range(3)]
+    got = secret_scan.find_secrets(make(rows[200:] + long), model).collect()
+    assert sum(r.n_model for r in got if r.doc_id < 2000) <= 4 and sum(r.n_model for r in got) <= 120
+    assert min(model.report.values()) >= 0.95
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(1)
     x = rng.standard_normal((1500, 12)).astype(np.float32)
@@ -199,19 +248,24 @@ def test_few_neighbours(spark, n):
 
 
 def test_cells_are_divided_by_pivots_and_keep_near_nodes_together(spark, monkeypatch):
-    monkeypatch.setattr(neighbours, "FAN", 4)             # several levels
+    monkeypatch.setattr(neighbours, "PART_ROWS", 300)     # big cells meet their pivots in several parts
     rng = np.random.default_rng(4)
     x = np.repeat(rng.standard_normal((1500, 8)), 2, axis=0)
     x[1::2] += 1e-4                                       # pairs
     x[:2400] = 50 + x[:2400] / 100                        # most of them in one tight region
     points = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "id long, vec array<float>")
-    trees, divide = neighbours.pivot_trees(points, len(x), 3, 100, 3)
-    assert len(trees) == 3 and divide == {}
-    cells = [neighbours._leaves(x.astype(np.float32), tree) for tree in trees]
-    assert max(np.bincount(cell).max() for cell in cells) <= 200
-    assert np.any([cell[::2] == cell[1::2] for cell in cells], axis=0).mean() > 0.95
+    rows = neighbours.pivot_cells(points, len(x), 3, 100, 3, fan=4).select("pivots", "cell", "part", "id").collect()
+    together = np.zeros(len(x) // 2, dtype=bool)
+    for number in range(3):
+        mine = {r.id: (r.cell, r.part) for r in rows if r.pivots == number}
+        assert sorted(mine) == list(range(len(x)))        # every node once in every set
+        assert max(Counter(mine.values()).values()) <= 200
+        together |= np.array([mine[i] == mine[i + 1] for i in range(0, len(x), 2)])
+    assert together.mean() > 0.95
+    assert sum(r.part > 0 for r in rows) <= 0.05 * len(rows)
     alike = spark.range(500).selectExpr("id", "array(cast(1 as float), cast(2 as float)) as vec")
-    assert neighbours.pivot_trees(alike, 500, 2, 100, 3) == ([{}, {}], {(0, 0): 3, (1, 0): 3})
+    parts = Counter((r.pivots, r.cell, r.part) for r in neighbours.pivot_cells(alike, 500, 2, 100, 3).collect())
+    assert sum(parts.values()) == 1000 and max(parts.values()) <= 200
 
 
 def test_rounds_go_on_until_few_lists_change(spark):

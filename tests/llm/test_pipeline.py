@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_registered():
     names = [k for k in entry.queries() if k.startswith("op") or k == "pipeline"]
-    assert sorted(int(k[2:].split("_")[0]) for k in names if k != "pipeline") == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in names if k != "pipeline") == list(range(1, 14))
     assert "pipeline" in names and {"op2_jaccard_join", "op7_line_dedup", "op9_substring_dedup"} <= set(entry.oracle_sql())
 
 
