@@ -104,15 +104,23 @@ def _added(key: tuple, group: pa.Table) -> pa.Table:
 
 
 class CandidateTrees:
-    """A table prepared for the search; calling it with masks gives their fitness."""
+    """A table prepared for the search; calling it with masks gives their fitness.
+
+    ``fold_col`` names folds 0 .. folds - 1 that the table has already; otherwise they are made by ``fold_method``.
+    """
 
     def __init__(self, df: DataFrame, predictors: Sequence[str], label: str, folds: int = 3, max_depth: int = 5,
-                 seed: int = 42, fold_method: str = "stratified", max_bins: int = MAX_BINS):
+                 seed: int = 42, fold_method: str = "stratified", max_bins: int = MAX_BINS, fold_col: str | None = None):
         self.predictors, self.folds, self.max_depth = list(predictors), folds, max_depth
-        base = df.select(*[F.col(p).cast("double").alias(p) for p in self.predictors], F.col(label).cast("double").alias("label"))
+        own = [F.col(fold_col).cast("int").alias("fold")] if fold_col else []
+        base = df.select(*[F.col(p).cast("double").alias(p) for p in self.predictors], F.col(label).cast("double").alias("label"), *own)
         base = base.filter(F.forall(F.array(*self.predictors, "label"), lambda x: x.isNotNull() & ~F.isnan(x)))
-        folded = (hash_folds(base, folds, seed, keys=[*self.predictors, "label"]) if fold_method == "hash" else
-                  stratified_folds(base, "label", folds, seed))
+        if fold_col:
+            folded = base
+        elif fold_method == "hash":
+            folded = hash_folds(base, folds, seed, keys=[*self.predictors, "label"])
+        else:
+            folded = stratified_folds(base, "label", folds, seed)
         folded = stored(folded, "search-folds")
         self.edges = self._edges(folded, max_bins)
         names = [f"c{i}" for i in range(len(self.predictors))]

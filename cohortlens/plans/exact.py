@@ -6,12 +6,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import clean as C
 from ..operators import model as M
 from ..operators import profile as P
 from ..operators import rank as RK
 from ..operators import search as GA
 from ..operators import select as SEL
 from ..operators import split as SP
+from ..operators.candidate_trees import CandidateTrees
 from ..operators.ranking import ranking_metrics
 from ..session import planning_session
 from ..sources import analog
@@ -167,6 +169,108 @@ def q_naive_bayes_parameters(spark, sf):
         .withColumns({c: F.round(c, 6) for c in ("mean", "variance", "log_prior")})
 
 
+def _bayes_metrics_sql() -> str:
+    """The metrics of that fit's predictions on the other side."""
+    stats = ", ".join(f"AVG({p}) FILTER ({O.T} = {y}) AS m{y}_{i}, var_pop({p}) FILTER ({O.T} = {y}) + 1e-9 * (SELECT largest FROM g) AS v{y}_{i}"
+                      for y in (0, 1) for i, p in enumerate(O.PRED))
+    like = lambda y: f"l{y} + " + " + ".join(
+        f"(-0.5 * ln(2 * pi() * v{y}_{i}) - ({p} - m{y}_{i}) * ({p} - m{y}_{i}) / (2 * v{y}_{i}))" for i, p in enumerate(O.PRED))
+    return O.metrics_sql(f"SELECT {O.T} AS y, CASE WHEN {like(1)} > {like(0)} THEN 1 ELSE 0 END AS p FROM "
+                         f"(SELECT * FROM curated WHERE NOT ({SPLIT_BUCKET_SQL} < 80)) held, s", f"""
+b AS MATERIALIZED (SELECT * FROM curated WHERE {SPLIT_BUCKET_SQL} < 80),
+g AS MATERIALIZED (SELECT greatest({', '.join(f'var_pop({p})' for p in O.PRED)}) AS largest FROM b),
+s AS MATERIALIZED (SELECT ln(COUNT(*) FILTER ({O.T} = 1) / CAST(COUNT(*) AS DOUBLE)) AS l1,
+  ln(COUNT(*) FILTER ({O.T} = 0) / CAST(COUNT(*) AS DOUBLE)) AS l0, {stats} FROM b),""")
+
+
+@register("naive_bayes_metrics", _bayes_metrics_sql())
+def q_naive_bayes_metrics(spark, sf):
+    """Accuracy, weighted precision, recall and F1 of the fitted naive Bayes on the held-out side."""
+    train, test = SP.hash_split(curated(spark, sf), [], 0.8, bucket=F.expr(SPLIT_BUCKET_SQL), buckets=100)
+    fitted = M.LEARNERS["NaiveBayes"].build(S.target, None, M.SEED).fit(M.assembled(train, S.predictors, S.target))
+    found = M.confusion_metrics(fitted.transform(M.assembled(test, S.predictors, S.target)), S.target)
+    return spark.createDataFrame([tuple(found.values())], ", ".join(f"{k} double" for k in found))
+
+
+# -- narrowing and indexing -----------------------------------------------------------
+
+WIDE = {"price": "l_extendedprice", "tenths": "CASE WHEN l_linenumber > 1 THEN l_extendedprice / 10 END",
+        "below": "-l_orderkey * 7.5", "small": "l_quantity / 3"}
+_WIDE_SQL = "SELECT " + ", ".join(f"CAST({e} AS DOUBLE) AS {c}" for c, e in WIDE.items()) + " FROM lineitem"
+
+
+def wide(spark, sf):
+    return analog.table(planning_session(spark), sf, "lineitem").selectExpr(
+        *[f"CAST({e} AS DOUBLE) AS {c}" for c, e in WIDE.items()])
+
+
+@register("narrow_rejects_wide", "\nUNION ALL ".join(
+    f"SELECT '{c}' AS variable, COUNT(*) FILTER (WHERE {c} IS NOT NULL AND TRY_CAST(trunc({c}) AS SMALLINT) IS NULL) AS rejected "
+    f"FROM ({_WIDE_SQL}) w" for c in WIDE))
+def q_narrow_rejects_wide(spark, sf):
+    """Values that do not fit the narrow type, in columns where many do not."""
+    return C.reject_count(wide(spark, sf), list(WIDE))
+
+
+@register("narrow_cast_wide", f"SELECT {', '.join(f'TRY_CAST(trunc({c}) AS SMALLINT) AS {c}' for c in WIDE)} FROM ({_WIDE_SQL}) w")
+def q_narrow_cast_wide(spark, sf):
+    return C.narrow(wide(spark, sf))
+
+
+@register("assemble_text", O.with_ctes(
+    f"SELECT {S.id_col}, CAST(0 AS INTEGER) AS position, CAST(number AS DOUBLE) AS value FROM curated JOIN b USING ({S.band_col}) "
+    f"UNION ALL SELECT {S.id_col}, 1, CAST({S.measure} AS DOUBLE) FROM curated", f"""
+b AS (SELECT {S.band_col}, row_number() OVER (ORDER BY COUNT(*) DESC, {S.band_col}) - 1 AS number FROM curated GROUP BY {S.band_col})"""))
+def q_assemble_text(spark, sf):
+    """A text feature becomes its number by frequency, then name, in the vector."""
+    from pyspark.ml.functions import vector_to_array
+    table = M.assembled(curated(spark, sf), [S.band_col, S.measure], S.target, keep=[S.id_col])
+    return table.select(S.id_col, F.posexplode(vector_to_array(M.FEATURES)).alias("position", "value"))
+
+
+# -- fitness by trees, at depth one ------------------------------------------------------
+
+def _stump_sql() -> str:
+    fold = (f"CAST((row_number() OVER (PARTITION BY {O.T} ORDER BY {SPLIT_BUCKET_SQL}, {S.id_col}, {', '.join(O.PRED)}) - 1) "
+            f"% {FOLDS} AS INTEGER)")                     # ids repeat in the analog
+    number = "CASE variable " + " ".join(f"WHEN '{p}' THEN {i}" for i, p in enumerate(O.PRED)) + " END"
+    impure = lambda a, b: (f"(1 - ({a} * w0 / ({a} * w0 + {b} * w1)) ** 2 - ({b} * w1 / ({a} * w0 + {b} * w1)) ** 2)")
+    size = lambda a, b: f"({a} * w0 + {b} * w1)"
+    best = lambda name, part, by: f"""
+{name} AS (SELECT * FROM s WHERE gain > 0 QUALIFY row_number() OVER (PARTITION BY {part} ORDER BY {by}) = 1)"""
+    f1 = """2 * tp / (2 * tp + fp + fn)"""
+    scored = lambda name: f"""(SELECT *, CASE WHEN l1 * w1 > l0 * w0 THEN tl1 ELSE 0 END + CASE WHEN r1 * w1 > r0 * w0 THEN tr1 ELSE 0 END AS tp,
+    CASE WHEN l1 * w1 > l0 * w0 THEN tl0 ELSE 0 END + CASE WHEN r1 * w1 > r0 * w0 THEN tr0 ELSE 0 END AS fp,
+    CASE WHEN l1 * w1 > l0 * w0 THEN 0 ELSE tl1 END + CASE WHEN r1 * w1 > r0 * w0 THEN 0 ELSE tr1 END AS fn FROM {name})"""
+    return O.with_ctes(f"""SELECT p.variable AS mask, coalesce(x.fitness, CAST(0 AS DOUBLE)) AS fitness
+FROM (VALUES {', '.join(f"('{p}')" for p in O.PRED)}) p(variable)
+LEFT JOIN (SELECT variable, SUM({f1}) / {FOLDS} AS fitness FROM {scored('one')} q GROUP BY variable) x ON p.variable = x.variable
+UNION ALL SELECT 'all', SUM({f1}) / {FOLDS} FROM {scored('every')} q""", f"""
+t AS (SELECT *, {fold} AS fold, CAST({O.T} AS INTEGER) AS y FROM curated),
+c AS (SELECT variable, value, fold, CAST(SUM(y) AS DOUBLE) AS n1, CAST(COUNT(*) - SUM(y) AS DOUBLE) AS n0
+  FROM (UNPIVOT (SELECT fold, y, {', '.join(f'CAST({p} AS DOUBLE) AS {p}' for p in O.PRED)} FROM t) ON {', '.join(O.PRED)}
+        INTO NAME variable VALUE value) GROUP BY variable, value, fold),
+k AS (SELECT f, variable, value, {number} AS number, SUM(CASE WHEN fold <> f THEN n0 ELSE 0 END) AS n0, SUM(CASE WHEN fold <> f THEN n1 ELSE 0 END) AS n1,
+  SUM(CASE WHEN fold = f THEN n0 ELSE 0 END) AS t0, SUM(CASE WHEN fold = f THEN n1 ELSE 0 END) AS t1
+  FROM c, range({FOLDS}) r(f) GROUP BY f, variable, value),
+u AS (SELECT f, variable, value, number, SUM(n0) OVER w AS l0, SUM(n1) OVER w AS l1, SUM(t0) OVER w AS tl0, SUM(t1) OVER w AS tl1,
+  SUM(n0) OVER a AS a0, SUM(n1) OVER a AS a1, SUM(t0) OVER a AS ta0, SUM(t1) OVER a AS ta1
+  FROM k WINDOW w AS (PARTITION BY f, variable ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), a AS (PARTITION BY f, variable)),
+v AS (SELECT *, a0 - l0 AS r0, a1 - l1 AS r1, ta0 - tl0 AS tr0, ta1 - tl1 AS tr1, (a0 + a1) / (2 * a0) AS w0, (a0 + a1) / (2 * a1) AS w1 FROM u),
+s AS (SELECT *, {impure('a0', 'a1')} - ({size('l0', 'l1')} * {impure('l0', 'l1')} + {size('r0', 'r1')} * {impure('r0', 'r1')}) / {size('a0', 'a1')} AS gain
+  FROM v WHERE l0 + l1 > 0 AND r0 + r1 > 0),{best('one', 'f, variable', 'gain DESC, value')},{best('every', 'f', 'gain DESC, number, value')}""")
+
+
+@register("stump_fitness", _stump_sql())
+def q_stump_fitness(spark, sf):
+    """Fitness of every predictor alone, and of all, by trees of depth one over exact stratified folds."""
+    folded = SP.stratified_folds(curated(spark, sf), S.target, FOLDS, order=[F.expr(SPLIT_BUCKET_SQL), S.id_col, *S.predictors])
+    trees = CandidateTrees(folded, S.predictors, S.target, FOLDS, max_depth=1, fold_col="fold")
+    n = len(S.predictors)
+    masks = [[int(i == j) for j in range(n)] for i in range(n)] + [[1] * n]
+    return spark.createDataFrame(list(zip([*S.predictors, "all"], trees(masks), strict=True)), "mask string, fitness double")
+
+
 # -- the subset search by correlations ---------------------------------------------------
 
 def _uniform_sql(*keys: str) -> str:

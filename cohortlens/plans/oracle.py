@@ -113,19 +113,24 @@ FROM (SELECT {S.id_col} AS request_id, concat_ws(',', CASE WHEN {S.id_col} % 97
 
 def rule_metrics_sql(rule: str) -> str:
     """Classification metrics of the 0/1 prediction ``rule``."""
+    return metrics_sql(f"SELECT {T} AS y, CASE WHEN {rule} THEN 1 ELSE 0 END AS p FROM clean")
+
+
+def metrics_sql(predicted: str, extra: str = "") -> str:
+    """Classification metrics of ``predicted`` (y, p), a query over the shared CTEs and ``extra`` ones."""
     return with_ctes("""SELECT
   (n11 + n00) / n AS accuracy,
   (n1 * p1 + n0 * p0) / n AS precision, (n1 * r1 + n0 * r0) / n AS recall,
   (n1 * 2 * p1 * r1 / (p1 + r1) + n0 * 2 * p0 * r0 / (p0 + r0)) / n AS f1,
   r1 AS recall_pos, 2 * p1 * r1 / (p1 + r1) AS f1_pos
-FROM (SELECT *, n11 / (n11 + n01) AS p1, n11 / n1 AS r1, n00 / (n00 + n10) AS p0, n00 / n0 AS r0 FROM t)""", f"""
+FROM (SELECT *, n11 / (n11 + n01) AS p1, n11 / n1 AS r1, n00 / (n00 + n10) AS p0, n00 / n0 AS r0 FROM t)""", f"""{extra}
 t AS (SELECT CAST(COUNT(*) AS DOUBLE) AS n, CAST(COUNT(*) FILTER (WHERE y = 1) AS DOUBLE) AS n1,
         CAST(COUNT(*) FILTER (WHERE y = 0) AS DOUBLE) AS n0,
         CAST(COUNT(*) FILTER (WHERE y = 1 AND p = 1) AS DOUBLE) AS n11,
         CAST(COUNT(*) FILTER (WHERE y = 0 AND p = 0) AS DOUBLE) AS n00,
         CAST(COUNT(*) FILTER (WHERE y = 0 AND p = 1) AS DOUBLE) AS n01,
         CAST(COUNT(*) FILTER (WHERE y = 1 AND p = 0) AS DOUBLE) AS n10
-      FROM (SELECT {T} AS y, CASE WHEN {rule} THEN 1 ELSE 0 END AS p FROM clean))""")
+      FROM ({predicted}))""")
 
 
 def feature_rank_sql(top_n: int = 10) -> str:
