@@ -4,7 +4,7 @@ Method: the hashes of long lines are range-partitioned with document and
 position as secondary sort, so one very common line spreads over many ranges.
 Each range streams its sorted rows to one row per (line, document), then to
 one row per line; only those meet again. Documents get back a compressed
-bitmap: the 64-bit words that hold a dropped line, by word number. Texts move
+bitmap: the bits of its dropped lines, up to the last one's 64-bit word. Texts move
 only when a caller asks for the kept text (``apply_bitmaps``).
 
 Everything is a DataFrame or SQL function.
@@ -38,12 +38,13 @@ def line_key(line: Column) -> Column:
 def repeated_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
     """(h1, h2, keep_doc, doc_id, words): the lines held by ``min_docs`` documents or
     more, one row per line and document; ``words`` are the bitmap words of its places."""
-    lines = (docs.filter(F.col("doc_id").isNotNull())
+    # stored before the ranges are sampled, so that no text is split twice
+    lines = stored(docs.filter(F.col("doc_id").isNotNull())
              .select("doc_id", F.posexplode(F.transform(lines_of(F.col("text")), line_key)).alias("pos", "key"))
              .filter(F.char_length("key") >= min_chars)
              # two unrelated 64-bit hashes stand for the line
              .select("doc_id", "pos", F.xxhash64("key").alias("h1"),
-                     F.xxhash64(F.lit(7), F.reverse("key")).alias("h2")))
+                     F.xxhash64(F.lit(7), F.reverse("key")).alias("h2")), "line-hashes")
     ranged = (lines.repartitionByRange("h1", "h2", F.col("doc_id").desc())
               .sortWithinPartitions("h1", "h2", F.col("doc_id").desc(), "pos"))
     per_doc = stored(ranged.groupBy("h1", "h2", "doc_id")  # within the range, no further shuffle
@@ -57,15 +58,19 @@ def repeated_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> D
 
 
 def drop_bitmaps(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
-    """One row per document that loses a line: (doc_id, n_dropped, drop), ``drop`` a
-    map from word number (line number div 64) to the 64 bits of that word."""
+    """One row per document that loses a line: (doc_id, n_dropped, drop), ``drop`` the bits of the
+    dropped lines, 64 to a word, up to the last dropped line's word."""
     hits = (repeated_lines(docs, min_chars, min_docs).filter(F.col("doc_id") < F.col("keep_doc"))
             .select("doc_id", F.explode("places").alias("pos")))
     bits = (hits.groupBy("doc_id", (F.col("pos") / 64).cast("int").alias("word"))
             .agg(F.bit_or(F.expr("shiftleft(1L, pos % 64)")).alias("bits")))
-    return (bits.groupBy("doc_id")
-            .agg(F.sum(F.bit_count("bits")).cast("long").alias("n_dropped"),
-                 F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("drop")))
+    words = (bits.groupBy("doc_id")
+             .agg(F.sum(F.bit_count("bits")).cast("long").alias("n_dropped"),
+                  F.sort_array(F.collect_list(F.struct("word", "bits"))).alias("_words")))
+    # empty words fill the gaps, so that a line's word is found by its number
+    gap = lambda x, i: x["word"] - F.coalesce(F.get("_words", i - 1)["word"], F.lit(-1)) - 1
+    dense = F.flatten(F.transform("_words", lambda x, i: F.concat(F.array_repeat(F.lit(0).cast("long"), gap(x, i)), F.array(x["bits"]))))
+    return words.select("doc_id", "n_dropped", dense.alias("drop"))
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
@@ -75,7 +80,7 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     joined = docs.join(marks, F.col("doc_id") == F.col(key), "left")
     lines = lines_of(F.col("text"))
     kept = F.array_join(F.filter(lines, lambda x, i: F.coalesce(F.getbit(
-        F.element_at(drop, F.floor(i / 64).cast("int")), (i % 64).cast("int")), F.lit(0)) == 0), "\n")
+        F.get(drop, F.floor(i / 64).cast("int")), (i % 64).cast("int")), F.lit(0)) == 0), "\n")
     return (joined
             .withColumn("kept_text", F.when(F.col(drop).isNull(), F.coalesce(F.col("text"), F.lit(""))).otherwise(kept))
             .withColumn("n_lines", F.size(lines).cast("long"))
