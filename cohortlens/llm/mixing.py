@@ -13,7 +13,8 @@ quota / blocks times. Blocks then meet documents in a join by block index.
 
 Places in a source's stream are two-level prefix sums: within hashed groups of
 documents, then over the groups, so a source with a third of all rows is many
-groups.
+groups. Equal rows are one entry with a number of copies, and groups go by id and
+text, so an id or a null id with a third of all rows is many groups too.
 
 Targets: sources by code point, null last, have the weights 5, 2, 1, repeating,
 and share ``share`` times all words; a target stops at ``most`` times its
@@ -46,7 +47,8 @@ SHARD_SLOTS = 512
 GROUP_ROWS = 20_000
 MIN_GROUPS = 64
 RUNS = "_runs of the mix"
-_EXACT = 10**9                  # the largest urn that numpy draws from
+SPREAD = 12                     # standard deviations of a large draw that are worked out
+_NUMPY_URN = 10**9              # numpy draws from smaller urns
 
 
 def targets(sizes: list[int], weights: list[float], share: float, most: float) -> list[float]:
@@ -66,16 +68,39 @@ def targets(sizes: list[int], weights: list[float], share: float, most: float) -
     return out
 
 
+def hypergeometric(good: int, bad: int, draws: int, rng: np.random.Generator) -> int:
+    """How many of ``draws`` balls, drawn without putting back, are of the ``good`` ones.
+
+    numpy draws from urns of under 10^9. For a larger one the probabilities around the mode are worked out
+    from the ratios of neighbours, as far as ``SPREAD`` standard deviations, beyond which less than
+    10^-30 is left, and one uniform number picks the count; its length grows with the root of the draws.
+    """
+    total = good + bad
+    if total < _NUMPY_URN:
+        return int(rng.hypergeometric(good, bad, draws)) if draws else 0
+    lowest, highest = max(0, draws - bad), min(good, draws)
+    mode = min(max(((draws + 1) * (good + 1)) // (total + 2), lowest), highest)
+    deviation = math.sqrt(max(draws * (good / total) * (bad / total) * ((total - draws) / max(total - 1, 1)), 1.0))
+    reach = math.ceil(SPREAD * deviation) + 2
+    lo, hi = max(lowest, mode - reach), min(highest, mode + reach)
+    k = np.arange(lo, hi, dtype=np.float64)               # ratio of the chance of k + 1 to that of k
+    step = np.log(good - k) + np.log(draws - k) - np.log(k + 1) - np.log(bad - draws + k + 1)
+    log_chance = np.concatenate(([0.0], np.cumsum(step)))
+    total_chance = np.cumsum(np.exp(log_chance - log_chance.max()))
+    return lo + int(np.searchsorted(total_chance, rng.random() * total_chance[-1], side="right"))
+
+
 def split_counts(counts: np.ndarray, draws: int, seed: tuple[int, ...]) -> np.ndarray:
-    """How many of ``draws`` slots each source gets out of its remaining counts."""
-    total = int(counts.sum())
-    if total >= _EXACT:                                   # there the draw is its mean
-        exact = counts * (draws / total)
-        out = np.floor(exact).astype(np.int64)
-        out[np.argsort(out - exact, kind="stable")[:draws - int(out.sum())]] += 1
-        return out
+    """How many of ``draws`` slots each source gets out of its remaining counts, source by source."""
     rng = np.random.default_rng(seed)
-    return rng.multivariate_hypergeometric(counts, draws, method="marginals")
+    if int(counts.sum()) < _NUMPY_URN:
+        return rng.multivariate_hypergeometric(counts, draws, method="marginals")
+    out, rest = np.zeros_like(counts), int(counts.sum())
+    for i, n in enumerate(counts.tolist()):
+        rest -= n
+        out[i] = hypergeometric(n, rest, draws, rng)
+        draws -= int(out[i])
+    return out
 
 
 def shard_counts(quotas: np.ndarray, shard_slots: int, seed: int, lo: int, hi: int):
@@ -138,8 +163,12 @@ class Mix:
                  shard_slots: int = SHARD_SLOTS, seed: int = 7):
         spark = docs.sparkSession
         self._docs = docs
-        sized = stored(docs.select("doc_id", "source", word_count("text").alias("size")), "sized")
-        rows = sized.groupBy("source").agg(F.sum("size").alias("n"), F.count(F.lit(1)).alias("rows")).collect()
+        # equal rows are one entry with a number of copies, so no group holds many rows of one id
+        each = docs.select("doc_id", "source", word_count("text").alias("size"),
+                           F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
+        entries = stored(each.groupBy("doc_id", "source", "size", "text_hash").agg(F.count(F.lit(1)).alias("copies")), "sized")
+        rows = entries.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("n"),
+                                             F.count(F.lit(1)).alias("rows")).collect()
         rows.sort(key=lambda r: (r["source"] is None, (r["source"] or "").encode()))
         sizes = [int(r["n"]) for r in rows]
         wanted = targets(sizes, [WEIGHTS[i % len(WEIGHTS)] for i in range(len(rows))], share, most)
@@ -152,17 +181,21 @@ class Mix:
                           T.StructField("source_size", T.LongType()), T.StructField("target", T.DoubleType())]))
 
         groups = max(MIN_GROUPS, sum(r["rows"] for r in rows) // GROUP_ROWS)
-        known = (sized.join(sources, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-                 .withColumn("grp", F.pmod(F.xxhash64("doc_id"), F.lit(groups)).cast("int")))
-        inside = Window.partitionBy("source_no", "grp").orderBy("doc_id", "size")
-        local = known.withColumn("row", F.row_number().over(inside)).withColumn(
-            "before", F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
+        known = (entries.join(sources, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+                 .withColumn("grp", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(groups)).cast("int"))
+                 .withColumn("words", F.col("size") * F.col("copies")))
+        inside = Window.partitionBy("source_no", "grp").orderBy("doc_id", "size", "text_hash")
+        local = known.withColumn("entry", F.row_number().over(inside)).withColumn(
+            "before", F.sum("words").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("words"))
         over_groups = Window.partitionBy("source_no").orderBy("grp")
-        bases = (known.groupBy("source_no", "grp").agg(F.sum("size").alias("n"))
+        bases = (known.groupBy("source_no", "grp").agg(F.sum("words").alias("n"))
                  .withColumn("base", F.sum("n").over(over_groups.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n"))
                  .drop("n"))
-        self._placed = stored(local.join(bases, ["source_no", "grp"]).withColumn(
-            "start", F.col("before") + F.col("base")).drop("before", "base"), "placed")
+        every = local.join(bases, ["source_no", "grp"]).withColumn(
+            "copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+        self._placed = stored(every.select(
+            "doc_id", "source", "size", "text_hash", "copy", "source_no", "source_size", "target", "grp", "entry",
+            (F.col("before") + F.col("base") + (F.col("copy") - 1) * F.col("size")).alias("start")), "placed")
         n_shards = -(-sum(quotas) // shard_slots)
         parts = max(1, min(n_shards, -(-n_shards // 64)))
         self.slots = spark.range(0, n_shards, 1, parts).mapInArrow(
@@ -173,9 +206,9 @@ class Mix:
         """Each document's part of each block it touches, with the times the mix takes the block."""
         n = self._block_words
         touched = (self._placed.filter("size > 0")
-                   .select("source_no", "grp", "row", "start", "size", F.explode(F.sequence(
+                   .select("source_no", "grp", "entry", "copy", "start", "size", F.explode(F.sequence(
                        F.floor(F.col("start") / n), F.floor((F.col("start") + F.col("size") - 1) / n))).alias("block"))
-                   .select("source_no", "grp", "row", "block",
+                   .select("source_no", "grp", "entry", "copy", "block",
                            F.greatest(F.col("block") * n - F.col("start"), F.lit(0)).alias("lo"),
                            F.least((F.col("block") + 1) * n - F.col("start"), F.col("size")).alias("hi")))
         taken = self.slots.groupBy("source_no", "block").agg(F.count(F.lit(1)).alias("times"))
@@ -184,25 +217,27 @@ class Mix:
 
     def documents(self) -> DataFrame:
         """doc_id, size, source_size, target, taken."""
-        words = self._spans().groupBy("source_no", "grp", "row").agg(
+        words = self._spans().groupBy("source_no", "grp", "entry", "copy").agg(
             F.sum((F.col("hi") - F.col("lo")) * F.col("times")).alias("taken"))
-        return self._placed.join(words, ["source_no", "grp", "row"], "left").select(
+        return self._placed.join(words, ["source_no", "grp", "entry", "copy"], "left").select(
             "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
     def texts(self) -> DataFrame:
         """The documents that the mix takes words of, in the columns of ``docs``, ``text``
         being those words: the taken runs in order, then those taken again."""
-        runs = self._spans().groupBy("source_no", "grp", "row").agg(
+        runs = self._spans().groupBy("source_no", "grp", "entry", "copy").agg(
             F.sort_array(F.collect_list(F.struct("lo", "hi", "times"))).alias("_runs"))
-        # rows that repeat an id are told apart by their place among them
-        size, copy, key, taken_copy = fresh(self._docs, "_size", "_copy", "_id", "_taken_copy")
-        among = F.row_number().over(Window.partitionBy("doc_id").orderBy("source", size))
-        taken = (self._placed.withColumnRenamed("size", size).withColumn(taken_copy, among)
-                 .join(runs, ["source_no", "grp", "row"])
-                 .select(F.col("doc_id").alias(key), taken_copy, F.col("_runs").alias(RUNS)))
-        numbered = self._docs.withColumn(size, word_count("text")).withColumn(copy, among)
-        joined = numbered.join(taken, F.col("doc_id").eqNullSafe(F.col(key)) & (F.col(copy) == F.col(taken_copy))).select(
-            *self._docs.columns, RUNS)
+        # equal rows are told apart by their number among them
+        copy, text_hash, key, from_source, taken_hash, taken_copy = fresh(
+            self._docs, "_copy", "_hash", "_id", "_source", "_taken_hash", "_taken_copy")
+        taken = (self._placed.join(runs, ["source_no", "grp", "entry", "copy"])
+                 .select(F.col("doc_id").alias(key), F.col("source").alias(from_source), F.col("text_hash").alias(taken_hash),
+                         F.col("copy").alias(taken_copy), F.col("_runs").alias(RUNS)))
+        hashed = self._docs.withColumn(text_hash, F.xxhash64(F.coalesce("text", F.lit(""))))
+        among = F.row_number().over(Window.partitionBy("doc_id", "source", text_hash).orderBy(text_hash)).cast("long")
+        joined = hashed.withColumn(copy, among).join(
+            taken, F.col("doc_id").eqNullSafe(F.col(key)) & F.col("source").eqNullSafe(F.col(from_source))
+            & (F.col(text_hash) == F.col(taken_hash)) & (F.col(copy) == F.col(taken_copy))).select(*self._docs.columns, RUNS)
         return joined.mapInArrow(_take_runs, self._docs.schema)
 
 
