@@ -4,8 +4,9 @@ Method: hierarchical residual packing. Each partition tokenises its documents
 and packs their pieces best-fit, longest first. Nearly full bins are final at
 once. Underfull bins go on as items of their fill: groups of ``group_bins`` are
 packed best-fit again, nearly full results leave, and the rest meet in fewer
-groups, until one group is left or a round of several groups merges nothing
-more. Only bin numbers and fills move between rounds.
+groups, until one group is left or a round of several groups takes less than
+``least_gain`` of the open bins away (a parameter: 0 goes on until a round takes none
+away). Only bin numbers and fills move between rounds.
 
 Tokens: a text is tokenised word by word (runs between ASCII white space, which
 the vocabulary's splitter never crosses), and a word's ids are kept, so common
@@ -34,6 +35,7 @@ from .text import batches_of
 
 CAPACITY = 2048
 NEARLY_FULL = 0.995
+LEAST_GAIN = 0.005              # share of the open bins that a round must take away to be followed by another
 GROUP_BINS = 256
 KEPT_WORDS = 1_200_000          # words, and parts of words, whose ids a worker keeps, about
 _ITEMS = ("doc_id long, piece int, start long, length long, ids_crc32 long, bin long, offset long, fill int")
@@ -172,7 +174,7 @@ def _merge_group(capacity: int):
 
 
 def merge_bins(bins: DataFrame, capacity: int = CAPACITY, nearly_full: float = NEARLY_FULL,
-               group_bins: int = GROUP_BINS) -> DataFrame:
+               group_bins: int = GROUP_BINS, least_gain: float = LEAST_GAIN) -> DataFrame:
     """(bin, root, base): where each underfull bin of ``bins(root, fill)`` ends up."""
     full = int(nearly_full * capacity)
     place = stored(bins.select(F.col("root").alias("bin"), "root", F.lit(0).cast("long").alias("base")), "bins")
@@ -189,18 +191,18 @@ def merge_bins(bins: DataFrame, capacity: int = CAPACITY, nearly_full: float = N
         open_bins = merged.filter((F.col("new_root") == F.col("root")) & (F.col("fill") < full)).select("root", "fill")
         before, left = left, open_bins.count()
         round_no += 1
-        if groups == 1 or left > 0.98 * before:
+        if groups == 1 or left == before or before - left < least_gain * before:
             break
     return place
 
 
 def pack(docs: DataFrame, capacity: int = CAPACITY, end_id: int = 0, path: str | None = None,
-         nearly_full: float = NEARLY_FULL, group_bins: int = GROUP_BINS) -> DataFrame:
+         nearly_full: float = NEARLY_FULL, group_bins: int = GROUP_BINS, least_gain: float = LEAST_GAIN) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     items = stored(docs.select("doc_id", "text").mapInArrow(
         _pack_partition(path or tokenizer_path(), capacity, end_id), _ITEMS), "items")
     underfull = items.filter((F.col("offset") == 0) & (F.col("fill") < int(nearly_full * capacity)))
-    place = merge_bins(underfull.select(F.col("bin").alias("root"), "fill"), capacity, nearly_full, group_bins)
+    place = merge_bins(underfull.select(F.col("bin").alias("root"), "fill"), capacity, nearly_full, group_bins, least_gain)
     return items.join(place, "bin", "left").select(
         "doc_id", "piece", "start", "length", "ids_crc32",
         F.coalesce("root", "bin").alias("sequence_id"),
