@@ -6,9 +6,9 @@ orders; all put rare shingles first (by the class of their document count) and
 each breaks ties with its own hash. If two sets of sizes m <= n link, they share
 at least ``ceil(percent * n / 100)`` shingles, so under every order the first
 ``n - ceil(percent * n / 100) + 1`` shingles of both have one in common.
-Candidates from the first order's posting lists must share a prefix shingle
-under each of the other orders too; only the pairs in that intersection are
-compared in full.
+Candidates from the first order's posting lists must share prefix shingles
+under each of the other orders too, and enough of them that what follows the
+prefixes can still make a link; only the pairs in that intersection get the full sets.
 
 Steps:
 
@@ -187,22 +187,37 @@ def _share(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.count_nonzero(b[at] == a))
 
 
-def _verify(percent: int):
-    def other_orders_agree(x, y) -> bool:
-        i = j = 0
-        xs, ys = np.frombuffer(x["others"], "<u8"), np.frombuffer(y["others"], "<u8")
-        for p, q in zip(x["lengths"], y["lengths"], strict=True):
-            if not _share(xs[i:i + p], ys[j:j + q]):
-                return False
-            i, j = i + p, j + q
-        return True
+def _need(n_x: int, n_y: int, percent: int) -> int:
+    """Shingles that sets of these sizes must share to link."""
+    return -(-percent * (n_x + n_y) // (100 + percent))
+
+
+def _orders_agree(percent: int):
+    """The pairs whose prefixes share enough under each of the other orders: at least one shingle, and, with
+    all that follows the prefixes, enough for a link."""
+    def agree(batches):
+        for batch in batches:
+            a, b = [], []
+            columns = [batch.column(c).to_pylist() for c in ("a", "b", "n_a", "n_b", "others_a", "others_b", "lengths_a", "lengths_b")]
+            for id_x, id_y, n_x, n_y, xs, ys, p_x, p_y in zip(*columns, strict=True):
+                xs, ys, i, j = np.frombuffer(xs, "<u8"), np.frombuffer(ys, "<u8"), 0, 0
+                least = max(1, _need(n_x, n_y, percent) - max(n_x - prefix_length(n_x, percent), n_y - prefix_length(n_y, percent)))
+                for p, q in zip(p_x, p_y, strict=True):
+                    if _share(xs[i:i + p], ys[j:j + q]) < least:
+                        break
+                    i, j = i + p, j + q
+                else:
+                    a.append(id_x)
+                    b.append(id_y)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+    return agree
 
+
+def _verify(percent: int):
     def verify(batches):
         for batch in batches:
             a, b = [], []
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
-                if not other_orders_agree(x, y):
-                    continue
                 same = _share(np.frombuffer(x["shingles"], "<u8"), np.frombuffer(y["shingles"], "<u8"))
                 if 100 * same >= percent * (x["n"] + y["n"] - same):
                     a.append(x["id"])
@@ -212,11 +227,16 @@ def _verify(percent: int):
 
 
 def _links(pairs: DataFrame, kept: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link."""
-    body = F.struct("id", "n", "others", "lengths", "shingles")
+    """The pairs (a, b) that link. The other orders' prefixes travel first; full sets only to what they leave."""
+    light = lambda side: kept.select(
+        F.col("id").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("n", "others", "lengths")])
+    left = stored(pairs.join(light("a"), "a").join(light("b"), "b").select(
+        "a", "b", "n_a", "n_b", "others_a", "others_b", "lengths_a", "lengths_b")
+        .mapInArrow(_orders_agree(percent), "a long, b long"), "candidates")
+    body = F.struct("id", "n", "shingles")
     x = kept.select(F.col("id").alias("a"), body.alias("x"))
     y = kept.select(F.col("id").alias("b"), body.alias("y"))
-    return pairs.join(x, "a").join(y, "b").select("x", "y").mapInArrow(_verify(percent), "a long, b long")
+    return left.join(x, "a").join(y, "b").select("x", "y").mapInArrow(_verify(percent), "a long, b long")
 
 
 def _may_link(n_x, place_x, n_y, place_y, percent: int):
