@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import clean as C
+from ..operators import digest as D
 from ..operators import model as M
 from ..operators import profile as P
 from ..operators import rank as RK
@@ -18,7 +19,7 @@ from ..operators.ranking import ranking_metrics
 from ..session import planning_session
 from ..sources import analog
 from . import oracle as O
-from .catalog import SCORE_PARTS, SPLIT_BUCKET_SQL, S, clean, curated, register
+from .catalog import ORACLE, SCORE_PARTS, SPLIT_BUCKET_SQL, S, clean, curated, register
 
 FOLDS = 3
 PRICES = ("l_extendedprice", "charge")
@@ -59,6 +60,17 @@ def q_row_numbers(spark, sf):
     return ids.select(S.target, *SCORE_PARTS, F.col("row_id_copy").alias("copy"), unique.scalar().alias("id_is_unique"))
 
 
+@register("duplicate_rows_digest", ORACLE["duplicate_rows"])
+def q_duplicate_rows_digest(spark, sf):
+    """Repeated rows by digests: only rows that share one are grouped on all columns."""
+    return D.duplicate_rows(clean(spark, sf), S.columns)
+
+
+@register("label_conflicts_digest", ORACLE["label_conflicts"])
+def q_label_conflicts_digest(spark, sf):
+    return D.label_conflicts(clean(spark, sf), S.predictors, S.target)
+
+
 # -- continuous columns -----------------------------------------------------------
 
 def _describe_prices_sql(by: str | None) -> str:

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortlens.operators import candidate_trees as CT
+from cohortlens.operators import digest as DG
 from cohortlens.operators import model as M
 from cohortlens.operators import profile as P
 from cohortlens.operators import quantiles as Q
@@ -88,6 +89,24 @@ def test_prefix_sums(spark):
     assert {r.a: r.s for r in RK.prefix_sums(df, ["a"], {"s": "v"}, ranges=7).collect()} == want
 
 
+def test_groups_by_digest_are_exact_even_where_digests_clash(spark, monkeypatch):
+    rows = hot_rows()
+    df = spark.createDataFrame(rows, "a int, b string, y int")
+    want = Counter(rows)
+    seen = defaultdict(set)
+    for a, b, y in rows:
+        seen[a, b].add(y)
+    for clash in (False, True):
+        if clash:                                         # three digests for all rows
+            monkeypatch.setattr(DG, "digest", lambda columns: [F.pmod(F.hash(*columns), F.lit(3)), F.lit(0)])
+        got = DG.duplicate_rows(df, ["a", "b", "y"]).first()
+        assert (got.duplicate_rows, got.distinct_rows) == (len(rows) - len(want), len(want))
+        got = DG.label_conflicts(df, ["a", "b"], "y").first()
+        assert (got.combinations, got.conflicting) == (len(seen), sum(len(v) > 1 for v in seen.values()))
+    empty = DG.duplicate_rows(df.limit(0), ["a", "b"]).first()
+    assert (empty.duplicate_rows, empty.distinct_rows) == (0, 0)
+
+
 # ---------------------------------------------------------------- quantiles and histograms
 
 def quantile(values, p):
