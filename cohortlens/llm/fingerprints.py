@@ -7,17 +7,21 @@ time, and the longest common extension of two places is found by binary search.
 
 A fingerprint is the text's length, its whole-span hash under both primes and
 the hashes of its eight equal parts, as hex. Likeness of two fingerprinted texts
-is (longest common prefix + longest common suffix) / longer length, both found
-by binary search on the prefix arrays; it is 1 for equal texts.
+is the length of their common pieces over the longer length: the longest common
+prefix and suffix, and pieces between scattered edits, whose anchors are found by
+span equality. All are extended by binary search on the prefix arrays. It is 1 for equal
+texts; ``PrefixHashes.likeness`` has the rule.
 
-The neighbour of a document is the next in descending doc_id. Documents are cut
-into chunks of neighbouring ids (bounds from a quantile sketch of the ids);
-only the first document of each chunk is sent twice, to the chunk before it.
+The neighbour of a document is the next in descending doc_id. Documents are sorted
+into ranges of the ids, and of a hash of the text, so that an id with many rows
+spreads over ranges. A range is read as a stream, some megabytes of text at a time,
+and each document meets the next one. Only the first and the last text of each
+range are kept; the last one meets the first one of the range after it in a join.
 
 Defined results: a null text is empty; two empty texts have likeness 1; a null
-doc_id comes after all others; rows with one doc_id are ordered by text; a
-single document is its own neighbour; an empty table gives an empty result;
-further columns are ignored.
+doc_id comes after all others; rows with one doc_id are ordered by the 64-bit hash of
+their text; a single document is its own neighbour, and the last one's is the
+first; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,15 +30,19 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from .graph import stored
 from .text import MIN_CHUNKS, text_bytes
 
-CHUNK_BYTES = 2 << 20
+RANGE_BYTES = 32 << 20          # text of a range, about
+SLAB_CHARS = 2 << 20            # text that is hashed at once
 PARTS = 8
 SLAB = 1 << 20
+ANCHOR, WINDOW = 24, 96         # code points of an anchor, and how far ahead it is looked up
+SKIPS, ROUNDS = (0, 16, 48), 12  # where anchors are taken past a mismatch, and how often
 PRIMES = ((2147483647, 1103515245), (2147483629, 69621069))     # (modulus, base)
 _LOWEST = -(2**63)
 _POWERS: dict[int, np.ndarray] = {}
@@ -110,13 +118,55 @@ class PrefixHashes:
             low, high = np.where(same, middle, low), np.where(same, high, middle - 1)
         return low
 
+    def _first_equal(self, at: np.ndarray, place: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The smallest shift under ``WINDOW`` for which the ``ANCHOR`` code points from ``place`` on (before ``end``)
+        equal those from ``at`` on, or -1."""
+        out = np.full(len(at), -1)
+        prime, powers = PRIMES[0][0], _POWERS[PRIMES[0][0]]
+        for lo in range(0, len(at), 4096):
+            a, e = at[lo:lo + 4096, None], end[lo:lo + 4096, None]
+            spots = place[lo:lo + 4096, None] + np.arange(WINDOW)[None, :]
+            inside = spots + ANCHOR <= e
+            spots = np.where(inside, spots, 0)
+            same = inside & (self._span(0, a, ANCHOR) * powers[spots] % np.uint64(prime)
+                             == self._span(0, spots, ANCHOR) * powers[a] % np.uint64(prime))
+            shift, rows = same.argmax(axis=1), np.arange(len(a))
+            hit = same[rows, shift]
+            hit[hit] = self.equal_spans(a[hit, 0], spots[rows, shift][hit], np.full(int(hit.sum()), ANCHOR))
+            out[lo:lo + 4096] = np.where(hit, shift, -1)
+        return out
+
     def likeness(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """Of texts number x and y: shared prefix and suffix over the longer length."""
+        """Of texts number x and y: code points of common pieces, in order, over the longer length.
+
+        The pieces are the common prefix, the common suffix, and between them those that ``ROUNDS`` rounds find: past a
+        mismatch, an anchor from the first text (its next code points, or those ``SKIPS`` later) is looked
+        up in the second one's next code points, and the piece around it is extended both ways.
+        """
         a, b, n, m = self.start[x], self.start[y], self.length[x], self.length[y]
         short, long = np.minimum(n, m), np.maximum(n, m)
         head = self.extension(a, b, short)
         tail = self.extension(a + n, b + m, short - head, backwards=True)
-        return np.where(long == 0, 1.0, (head + tail) / np.maximum(long, 1))
+        covered = head + tail
+        i, j, end_i, end_j = a + head, b + head, a + n - tail, b + m - tail
+        live = np.flatnonzero(np.minimum(end_i - i, end_j - j) >= ANCHOR)
+        for _ in range(ROUNDS):
+            if not len(live):
+                break
+            skip, shift = np.full(len(live), -1), np.full(len(live), -1)
+            for s in SKIPS:
+                todo = np.flatnonzero((shift < 0) & (end_i[live] - i[live] - s >= ANCHOR))
+                found = self._first_equal(i[live[todo]] + s, j[live[todo]], end_j[live[todo]])
+                skip[todo], shift[todo] = np.where(found >= 0, s, -1), found
+            anchored = shift >= 0
+            live, skip, shift = live[anchored], skip[anchored], shift[anchored]
+            p, q = i[live] + skip, j[live] + shift
+            back = self.extension(p, q, np.minimum(skip, shift), backwards=True)
+            ahead = self.extension(p, q, np.minimum(end_i[live] - p, end_j[live] - q))
+            covered[live] += back + ahead
+            i[live], j[live] = p + ahead, q + ahead
+            live = live[np.minimum(end_i[live] - i[live], end_j[live] - j[live]) >= ANCHOR]
+        return np.where(long == 0, 1.0, covered / np.maximum(long, 1))
 
     def fingerprints(self) -> list[str]:
         columns = [self.length]
@@ -131,62 +181,95 @@ class PrefixHashes:
         return ["-".join(f"{int(v):08x}" for v in row) for row in zip(*columns, strict=True)]
 
 
-def _fingerprint(key: tuple, group: pa.Table) -> pa.Table:
-    texts = [t or "" for t in group["text"].to_pylist()]
-    keys = group["key"].to_pylist()
-    guest = group["guest"].to_pylist()
-    own = sorted((i for i in range(len(keys)) if not guest[i]), key=lambda i: (-keys[i], texts[i]))
-    # of rows with the guest's id, the first in order is the neighbour
-    after = min((i for i in range(len(keys)) if guest[i]), key=lambda i: texts[i], default=None)
-    if not own:
-        return pa.table({f: [] for f in ("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-                                         "near_edited", "near_next", "next_doc_id")}).cast(_ARROW)
-    following = own[1:] + [after if after is not None else own[0]]
+def _results(docs: list[tuple[int, str]], following: list[tuple[int, str]]) -> pa.RecordBatch:
+    """Rows of ``RESULT`` for documents (key, text) and the document after each."""
+    texts, then = [t for _, t in docs], [t for _, t in following]
     edited = []
-    for i, j in zip(own, following, strict=True):
-        n, cut = len(texts[i]), len(texts[i]) // 3
-        edited.append(texts[i][:n - cut] + texts[j][:cut])
-    hashes = PrefixHashes(texts + edited)
+    for text, after in zip(texts, then, strict=True):
+        n, cut = len(text), len(text) // 3
+        edited.append(text[:n - cut] + after[:cut])
+    # the documents after are the documents themselves but for the first, and one more
+    same = [b is a for a, b in zip(texts[1:], then, strict=False)]
+    chained = all(same)
+    hashes = PrefixHashes(texts + edited + ([then[-1]] if chained else then))
     prints = hashes.fingerprints()
-    doc, new, then = np.array(own), len(texts) + np.arange(len(own)), np.array(following)
-    ids = [keys[i] if keys[i] != _LOWEST else None for i in range(len(keys))]
+    n = len(docs)
+    doc, new = np.arange(n), n + np.arange(n)
+    after = np.concatenate((np.arange(1, n), [2 * n])) if chained else 2 * n + np.arange(n)
+    ids = [k if k != _LOWEST else None for k, _ in docs]
     return pa.table({
-        "doc_id": [ids[i] for i in own], "n_chars": hashes.length[doc],
+        "doc_id": ids, "n_chars": hashes.length[doc],
         "edited_sha256": [hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in edited],
-        "fingerprint": [prints[i] for i in own], "edited_fingerprint": [prints[i] for i in new],
-        "near_edited": hashes.likeness(doc, new), "near_next": hashes.likeness(doc, then),
-        "next_doc_id": [ids[j] for j in following]}).cast(_ARROW)
+        "fingerprint": prints[:n], "edited_fingerprint": prints[n:2 * n],
+        "near_edited": hashes.likeness(doc, new), "near_next": hashes.likeness(doc, after),
+        "next_doc_id": [k if k != _LOWEST else None for k, _ in following]}).cast(_ARROW).combine_chunks().to_batches()[0]
 
 
 _ARROW = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()),
                     ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()),
                     ("near_edited", pa.float64()), ("near_next", pa.float64()), ("next_doc_id", pa.int64())])
-
-
-def fingerprints(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+_EDGES = "part int, head boolean, tail boolean, key long, text string"
+
+
+def _stream(slab_chars: int):
+    """Results of a range's documents in order, but for its last; that one and the first are given with their texts."""
+    def stream(batches):
+        part = TaskContext.get().partitionId()
+        none = [pa.nulls(1, f.type) for f in _ARROW]
+        empty_edge = [pa.int32(), pa.bool_(), pa.bool_(), pa.int64(), pa.string()]
+        names = [*_ARROW.names, *[c.split()[0] for c in _EDGES.split(", ")]]
+
+        def edge(head: bool, tail: bool, doc: tuple[int, str]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [*none, *[pa.array([v], t) for v, t in zip((part, head, tail, *doc), empty_edge, strict=True)]], names)
+
+        def done(docs: list, following: list) -> pa.RecordBatch:
+            rows = _results(docs, following)
+            return pa.RecordBatch.from_arrays(
+                [*rows.columns, *[pa.nulls(rows.num_rows, t) for t in empty_edge]], names)
+
+        held: list[tuple[int, str]] = []                  # documents whose successors are not all here
+        size, first = 0, True
+        for batch in batches:
+            for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                text = text or ""
+                if first:
+                    yield edge(True, False, (key, text))
+                    first = False
+                held.append((key, text))
+                size += len(text)
+                if size >= slab_chars and len(held) > 1:
+                    yield done(held[:-1], held[1:])
+                    held = held[-1:]
+                    size = len(text)
+        if len(held) > 1:
+            yield done(held[:-1], held[1:])
+        if held:
+            yield edge(False, True, held[-1])
+    return stream
+
+
+def _last_of_ranges(batches):
+    for batch in batches:
+        for i in range(batch.num_rows):
+            doc = (batch.column("key")[i].as_py(), batch.column("text")[i].as_py())
+            yield _results([doc], [(batch.column("next_key")[i].as_py(), batch.column("next_text")[i].as_py())])
+
+
+def fingerprints(docs: DataFrame, range_bytes: int = RANGE_BYTES, slab_chars: int = SLAB_CHARS) -> DataFrame:
     """Fingerprint of every row of ``docs``, of its edited text, and their likeness (``RESULT``)."""
     n_rows, n_bytes = text_bytes(docs)
-    n_chunks = min(max(MIN_CHUNKS, -(-n_bytes // chunk_bytes)), max(1, n_rows))
-    keyed = docs.select(F.coalesce("doc_id", F.lit(_LOWEST)).alias("key"), "text")
-    bounds = sorted({int(b) for b in keyed.approxQuantile(
-        "key", [i / n_chunks for i in range(1, n_chunks)], 0.2 / n_chunks)}) if n_chunks > 1 and n_rows else []
-
-    @F.pandas_udf(T.IntegerType())
-    def chunk_of(key):
-        import pandas as pd
-        return pd.Series(np.searchsorted(np.array(bounds, dtype=np.int64), key.to_numpy(), side="left").astype(np.int32))
-
-    placed = keyed.withColumn("chunk", chunk_of("key"))
-    heads = sorted(((r["chunk"], r["head"]) for r in placed.groupBy("chunk").agg(F.max("key").alias("head")).collect()),
-                   reverse=True)                          # one id for each chunk
-    visits = {heads[(i + 1) % len(heads)][1]: heads[i][0] for i in range(len(heads))} if len(heads) > 1 else {}
-
-    @F.pandas_udf(T.IntegerType())
-    def visited(key):
-        return key.map(visits).astype(np.int32)
-
-    # one row a chunk: picked by id in the scan, so the texts are shuffled once
-    guests = keyed.filter(F.col("key").isin(list(visits))).select(
-        "key", "text", visited("key").alias("chunk"), F.lit(True).alias("guest"))
-    both = placed.withColumn("guest", F.lit(False)).unionByName(guests)
-    return both.groupBy("chunk").applyInArrow(_fingerprint, RESULT)
+    ranges = min(max(MIN_CHUNKS, -(-n_bytes // range_bytes)), max(1, n_rows))
+    keyed = docs.select(F.coalesce("doc_id", F.lit(_LOWEST)).alias("key"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), "text")
+    order = [F.col("key").desc(), F.col("h")]
+    rows = stored(keyed.repartitionByRange(ranges, *order).sortWithinPartitions(*order).select("key", "text")
+                  .mapInArrow(_stream(slab_chars), f"{RESULT}, {_EDGES}"), "fingerprints")
+    names = _ARROW.names
+    # one head and one tail for each range that has rows; a range's successor is the next such one
+    heads = rows.filter("head").select(F.col("part").alias("next_part"), F.col("key").alias("next_key"), F.col("text").alias("next_text"))
+    numbers = rows.filter("head").select("part")
+    successor = numbers.select("part", F.coalesce(F.lead("part").over(Window.orderBy("part")),
+                                                  numbers.agg(F.min("part")).scalar()).alias("next_part"))
+    last = (rows.filter("tail").select("part", "key", "text").join(stored(successor, "ranges"), "part").join(heads, "next_part")
+            .select("key", "text", "next_key", "next_text").mapInArrow(_last_of_ranges, RESULT))
+    return rows.filter("part IS NULL").select(*names).unionByName(last)

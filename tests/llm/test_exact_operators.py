@@ -60,7 +60,24 @@ def split(text):
 
 
 def test_fingerprints(docs, rows):
-    order = sorted(((i if i is not None else -1, t or "") for i, t, _ in rows), key=lambda r: (-r[0], r[1]))
+    hashed = {r[0]: r[1] for r in docs.selectExpr("coalesce(text, '')", "xxhash64(coalesce(text, ''))").collect()}
+    order = sorted(((i if i is not None else -1, t or "") for i, t, _ in rows), key=lambda r: (-r[0], hashed[r[1]]))
+
+    def between(a, b):
+        i = j = covered = 0
+        for _ in range(fingerprints.ROUNDS):
+            spots = [(s, t) for s in fingerprints.SKIPS for t in range(fingerprints.WINDOW)
+                     if i + s + 24 <= len(a) and j + t + 24 <= len(b) and a[i + s:i + s + 24] == b[j + t:j + t + 24]]
+            if min(len(a) - i, len(b) - j) < 24 or not spots:
+                break
+            s, t = spots[0]
+            p, q = i + s, j + t
+            back = next((k for k in range(min(s, t)) if a[p - 1 - k] != b[q - 1 - k]), min(s, t))
+            most = min(len(a) - p, len(b) - q)
+            ahead = next((k for k in range(most) if a[p + k] != b[q + k]), most)
+            covered += back + ahead
+            i, j = p + ahead, q + ahead
+        return covered
 
     def alike(a, b):
         if not a and not b:
@@ -68,7 +85,7 @@ def test_fingerprints(docs, rows):
         m = min(len(a), len(b))
         head = next((k for k in range(m) if a[k] != b[k]), m)
         tail = next((k for k in range(m - head) if a[-1 - k] != b[-1 - k]), m - head)
-        return (head + tail) / max(len(a), len(b))
+        return (head + tail + between(a[head:len(a) - tail], b[head:len(b) - tail])) / max(len(a), len(b))
 
     want = []
     for k, (i, text) in enumerate(order):
@@ -77,7 +94,7 @@ def test_fingerprints(docs, rows):
         edited = text[:len(text) - cut] + following[:cut]
         want.append((i, len(text), hashlib.sha256(edited.encode()).hexdigest(),
                      round(alike(text, edited), 9), round(alike(text, following), 9)))
-    got = fingerprints.fingerprints(docs, chunk_bytes=500).collect()
+    got = fingerprints.fingerprints(docs, range_bytes=5000, slab_chars=1500).collect()
     assert sorted(want) == sorted((-1 if r.doc_id is None else r.doc_id, r.n_chars, r.edited_sha256,
                                    round(r.near_edited, 9), round(r.near_next, 9)) for r in got)
     prints, text_of = {}, {i: t or "" for i, t, _ in rows}
@@ -97,6 +114,20 @@ def test_span_equality_and_extension():
     assert h.likeness(np.array([2, 0]), np.array([2, 3])).tolist() == [1.0, 3 / 9]
 
 
+def test_likeness_holds_through_scattered_edits():
+    rng = random.Random(9)
+    words_ = [f"word{rng.randrange(500)}" for _ in range(200)]
+    edited = list(words_)
+    for k in (3, 60, 61, 120, 190):
+        edited[k] = "changed"
+    del edited[100]
+    edited.insert(150, "one or two more")
+    texts = [" ".join(words_), " ".join(edited), " ".join(f"else{rng.randrange(500)}" for _ in range(200))]
+    h = fingerprints.PrefixHashes(texts)
+    near, back, far = h.likeness(np.array([0, 1, 0]), np.array([1, 0, 2]))
+    assert 0.9 < near < 1 and 0.9 < back < 1 and far < 0.1
+
+
 def test_jaccard_join(docs, rows):
     sets = {}
     for i, text, _ in rows:

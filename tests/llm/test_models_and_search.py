@@ -67,6 +67,45 @@ def test_toxicity_windows_cover_every_word_and_overlap():
         assert n <= 32 or len(numbers) >= n // 16 - 1
 
 
+def test_toxicity_scores_by_hand():
+    """Every window of a text step by step, both ways, in plain Python; the largest one counts."""
+    rng = random.Random(5)
+    texts = [prose(rng, n) for n in (1, 7, 32, 33, 90)] + ["", None]
+    hashes = np.unique(np.concatenate([toxicity.Words(texts[:3], np.zeros(0, np.uint64)).hashes]))
+    net = toxicity.BiGru(hashes, 3)
+    net.params = {k: v * 3 for k, v in net.params.items()}
+    H, P = toxicity.HIDDEN, net.params
+    words = toxicity.Words(texts, net.known)
+    vectors = net.word_vectors(*words.all())
+    first = [int(x) for x in words.first]
+
+    def states(sequence, d):
+        h, out = np.zeros(H), []
+        for v in sequence:
+            x = v @ P[f"in_{d}"] + P[f"bias_{d}"]
+            g = 1 / (1 + np.exp(-(h @ P[f"gate_{d}"] + x[:2 * H])))
+            z, r = g[:H], g[H:]
+            c = np.tanh((r * h) @ P[f"new_{d}"] + x[2 * H:])
+            h = (1 - z) * h + z * c
+            out.append(h)
+        return out
+
+    want = []
+    for i in range(len(texts)):
+        own = [vectors[n] for n in words.numbers[first[i]:first[i + 1]]]
+        n, best = len(own), -np.inf
+        starts = [0] if n <= toxicity.WINDOW else [*range(0, n - toxicity.WINDOW, toxicity.STRIDE), n - toxicity.WINDOW]
+        for s in starts:
+            part = own[s:s + toxicity.WINDOW]
+            both = [np.concatenate(x) for x in zip(states(part, "f"), states(part[::-1], "b")[::-1], strict=True)]
+            e = np.exp([h @ P["attend"] for h in both])
+            context = sum((w * h for w, h in zip(e / e.sum(), both, strict=True)), np.zeros(2 * H)) if both else np.zeros(2 * H)
+            best = max(best, float(context @ P["out"] + P["shift"][0]))
+        want.append(best)
+    assert np.abs(net.raw(texts) - np.array(want)).max() < 1e-3
+    assert np.allclose(net.scores(texts), 1 / (1 + np.exp(-np.array(want))), atol=1e-3)
+
+
 def test_toxicity_gradients():
     rng = random.Random(0)
     texts = [" ".join(f"w{rng.randrange(20)}" for _ in range(n)) for n in (32, 32, 20, 32)]
