@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import csv
-import json
 import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
