@@ -6,7 +6,6 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 import corpus_pipeline
 from cohortlens.llm import fingerprints, jaccard_join, line_dedup, mixing, packing
