@@ -139,3 +139,23 @@ def test_hash_folds_cover_all_rows(spark):
     f = hash_folds(df, 3, 42, keys=["id", "a", "b", "y"])
     counts = [r.n for r in f.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()]
     assert sum(counts) == 900 and len(counts) == 3 and min(counts) > 250
+
+
+def test_equal_rows_travel_once_and_count_in_full(spark):
+    """A row with its number gives what its copies give: counts, weights, prevalence and metrics."""
+    base = [(float(i % 7), float(i % 5), int((i % 7) + (i % 5) > 6), i) for i in range(700)]
+    df = spark.createDataFrame(base, "a double, b double, y int, id int")
+    grouped = M.equal_rows(df, ["a", "b"], "y", ["id"])
+    train, test, p = M.prepare(df, "y", ["id"])
+    assert grouped.count() <= 2 * 35
+    assert {r["_train"]: r["n"] for r in grouped.groupBy("_train").agg(F.sum(M.ROWS).alias("n")).collect()} == {
+        True: train.count(), False: test.count()}
+    board, _, fitted = M.train_leaderboard(df, ["a", "b"], "y", ["id"], models=["NaiveBayes", "DecisionTree", "RandomForest"])
+    got = {r["model"]: r for r in board.collect()}
+    assert got["NaiveBayes"]["baseline_auc_pr"] == pytest.approx(p, abs=1e-12)
+    prep = M.input_pipeline(df, ["a", "b"]).fit(df)
+    for name in ("NaiveBayes", "DecisionTree"):
+        alone = M.LEARNERS[name].build("y", "class_weight", M.SEED).fit(prep.transform(train))
+        want = M.evaluate(alone.transform(prep.transform(test)), "y", M.LEARNERS[name].ranks_by)
+        assert {k: got[name][k] for k in want} == pytest.approx(want, abs=1e-6)
+    assert len(fitted["RandomForest"].stages[-1].trees) == 50 and got["RandomForest"]["accuracy"] > 0.95
