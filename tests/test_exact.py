@@ -275,3 +275,41 @@ def test_merit_and_speed_up(spark):
                                  "run string, generation int, elapsed_s double")
     row = GA.speed_up(logs, "slow", "fast").first()
     assert (row.first_s, row.second_s, row.speed_up) == (3.0, 0.5, 6.0)
+
+
+def test_search_counts_one_side_of_a_split_in_packs(spark, monkeypatch):
+    """Of two sides one is counted, the other derived; a row adds one count a pack, not one a predictor."""
+    counted, real = [], CT._count_nodes
+    monkeypatch.setattr(CT, "_count_nodes", lambda paths, wanted, layout: counted.extend(paths) or real(paths, wanted, layout))
+    trees = CT.CandidateTrees(survey(spark), ["a", "b", "c", "d"], "y", 2, 4, 42, max_bins=16)
+    trees([[1, 1, 1, 1], [1, 0, 1, 0]])
+    assert () in counted and len(counted) > 3
+    assert not [p for p in counted if p and (*p[:-1], (*p[-1][:2], 1 - p[-1][2])) in counted]
+    assert len(trees.layout.packs) < 4 and sum(map(len, trees.layout.packs)) == 4
+
+
+def test_packed_codes_read_back(spark):
+    for sizes in ([5, 3, 12, 7], [300, 2, 2, 40], [47, 31, 31, 12, 8, 6, 5, 3] + [2] * 60):
+        layout = CT.Layout(sizes, 3)
+        rng = np.random.default_rng(1)
+        codes = np.stack([rng.integers(0, s, 50) for s in sizes], axis=1)
+        df = spark.createDataFrame([tuple(map(int, r)) for r in codes], ", ".join(f"c{i} int" for i in range(len(sizes))))
+        rows = df.select(*layout.columns(lambda p: F.col(f"c{p}")), *df.columns).collect()
+        for p, g in layout.pack_of.items():
+            joint = np.array([r[layout.word[g]] for r in rows]) // layout.place[g] % layout.joint[g]
+            assert layout.code(p, joint).tolist() == [r[layout.words + p] for r in rows]
+
+
+def test_a_task_sorts_a_bounded_range_without_copies_of_columns(spark, monkeypatch):
+    """Ranges of a sort hold at most half a million rows, and named order columns are not carried twice."""
+    assert RK.ROWS_PER_RANGE <= 500_000
+    sorted_columns, real = [], RK.stored
+    def seen(df, name):
+        if name.endswith("-ordered"):
+            sorted_columns.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return real(df, name)
+    monkeypatch.setattr(RK, "stored", seen)
+    df = spark.createDataFrame([(i % 2, i, -i) for i in range(50)], "y int, a int, b int")
+    folds = SP.stratified_folds(df, "y", 3, order=["a", "b"]).collect()
+    assert sorted(r.a for r in folds) == list(range(50)) and {r.a: r.fold for r in folds}[4] == 2
+    assert sorted_columns and "AS _k" not in sorted_columns[0]
