@@ -45,6 +45,21 @@ def test_equal_rows_spread_over_ranges(spark):
     assert len(files) == 6 and max(r["count"] for r in files) < 1500
 
 
+def test_rows_of_a_wide_group_do_not_meet_by_group(spark):
+    rows = [(i % 2, i % 7) for i in range(400)]
+    ranked = RK.rank_within(spark.createDataFrame(rows, "y int, a int"), ["y"], ["a"], ranges=8)
+    for y in (0, 1):
+        assert sorted(r["rank"] for r in ranked.filter(F.col("y") == y).collect()) == list(range(200))
+    plan = plan_text(ranked)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    mixed = [(None if i < 200 else 1000 + i // 3, i) for i in range(320)]        # one wide group, many of three rows
+    got = defaultdict(list)
+    for r in RK.rank_within(spark.createDataFrame(mixed, "k int, a int"), ["k"], ["a"], ranges=8).collect():
+        got[r.k].append((r.a, r["rank"]))
+    assert len(got) == len({k for k, _ in mixed})
+    assert all([n for _, n in sorted(x)] == list(range(len(x))) for x in got.values())
+
+
 def test_rank_within_starts_anew(spark):
     rows = hot_rows()
     df = spark.createDataFrame(rows, "a int, b string, y int")
