@@ -159,3 +159,33 @@ def test_equal_rows_travel_once_and_count_in_full(spark):
         want = M.evaluate(alone.transform(prep.transform(test)), "y", M.LEARNERS[name].ranks_by)
         assert {k: got[name][k] for k in want} == pytest.approx(want, abs=1e-6)
     assert len(fitted["RandomForest"].stages[-1].trees) == 50 and got["RandomForest"]["accuracy"] > 0.95
+
+
+def test_many_rows_are_fitted_one_model_after_another(spark, monkeypatch):
+    import threading
+    import time
+    now, most, lock = set(), [], threading.Lock()
+
+    class Watched(M.Learner):
+        def build(self, label, weight, seed):
+            made = super().build(label, weight, seed)
+            inner = made.fit
+
+            def fit(df):
+                with lock:
+                    now.add(id(made))
+                    most.append(len(now))
+                time.sleep(0.3)
+                try:
+                    return inner(df)
+                finally:
+                    now.discard(id(made))
+            made.fit = fit
+            return made
+    learners = {n: Watched(x.make, x.params, x.ranks_by, x.drawn_apart) for n, x in M.LEARNERS.items() if n in ("NaiveBayes", "DecisionTree")}
+    fit = lambda: M.train_leaderboard(_data(spark), ["a", "b"], "y", ["id"], learners=learners, parallelism=2)[0].drop("fit_seconds").collect()
+    together = fit()
+    assert max(most) == 2
+    most.clear()
+    monkeypatch.setattr(M, "ROWS_AT_ONCE", 10)
+    assert fit() == together and max(most) == 1
