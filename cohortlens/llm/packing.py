@@ -8,9 +8,9 @@ groups, until one group is left or a round of several groups takes less than
 ``least_gain`` of the open bins away (a parameter: 0 goes on until a round takes none
 away). Only bin numbers and fills move between rounds.
 
-Tokens: a text is tokenised word by word (runs between ASCII white space, which
-the vocabulary's splitter never crosses), and a word's ids are kept, so common
-words are tokenised once in a worker.
+Tokens: a text is tokenised by the parts that the vocabulary's splitter makes of it, or
+word by word (runs between ASCII white space, which the splitter never crosses); their
+ids are kept, so common ones are tokenised once in a worker.
 
 Defined results: a null text is empty and gives the end id alone; every row is a
 document of its own, also when ids repeat or are null; only documents longer
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,21 +49,26 @@ def tokenizer_path() -> str:
 
 # words whose splitting is plain: printable ASCII and precomposed Latin letters
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-įı-ňŊ-ž]+")
+_PLAIN_TEXT = re.compile(r"[ \t-\r!-~À-ÖØ-öø-įı-ňŊ-ž]*")
 # fixed value: the vocabulary's splitter, for plain words in lower case
-_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
+_PARTS = re.compile(r"[a-zß-öø-įı-ňŊ-ž]+|\d|'s|'t|'re|'ve|'m|'ll|'d|(?:[^\w\s]|_)+")
 
 
 class WordTokenizer:
     """Ids of whole texts as little-endian unsigned 32-bit bytes.
 
-    The ids of a word are kept, and so are those of the parts that the splitter
-    makes of plain words ("The", "the," and "the." share a part); new parts are
-    tokenised many at a time. Other words go to the tokenizer whole.
+    A plain text is cut into the parts that the splitter makes of it ("The", "the," and "the."
+    share a part), whose ids are kept; new parts are tokenised many at a time. Of other texts
+    the ids of words are kept: plain words by their parts, others go to the tokenizer whole.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
+        # the same vocabulary for parts: they are in lower case and split already
+        self.of_parts = Tokenizer(self.tokenizer.model)
+        self.of_parts.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         size = self.tokenizer.get_vocab_size()
         self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
         self.words: dict[bytes, bytes] = {}
@@ -74,7 +80,7 @@ class WordTokenizer:
     def _learn_parts(self, parts: list[str]) -> None:
         for i in range(0, len(parts), 500):
             some = parts[i:i + 500]
-            ids = self._encode(" ".join(some))
+            ids = np.array(self.of_parts.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
             cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
             if len(cuts) == len(some) and cuts[-1] == 4 * len(ids):
                 raw = ids.tobytes()
@@ -84,7 +90,7 @@ class WordTokenizer:
             self.parts.update(zip(some, each, strict=True))
 
     def _learn(self, words: list[bytes]) -> None:
-        texts = [w.decode() for w in words]
+        texts = b" ".join(words).decode().split(" ")
         split = [_PARTS.findall(t.lower()) if _PLAIN.fullmatch(t) and "<|" not in t else None for t in texts]
         known = self.parts
         self._learn_parts(list(set().union(*[x for x in split if x]).difference(known)))
@@ -97,10 +103,32 @@ class WordTokenizer:
             self.words = {}
         if len(self.parts) > KEPT_WORDS:
             self.parts = {}
-        split = [(t or "").encode().split() for t in texts]
-        self._learn(list(set().union(*split).difference(self.words)))
-        known = self.words.__getitem__
-        return [b"".join(map(known, words)) for words in split]
+        plain = [t is not None and "<|" not in t and _PLAIN_TEXT.fullmatch(t) is not None for t in texts]
+        of_parts = self._looked_up([_PARTS.findall(t.lower()) for t, p in zip(texts, plain, strict=True) if p],
+                                   self.parts, self._learn_parts)
+        of_words = self._looked_up([(t or "").encode().split() for t, p in zip(texts, plain, strict=True) if not p],
+                                   self.words, self._learn)
+        return [next(of_parts if p else of_words) for p in plain]
+
+    @staticmethod
+    def _looked_up(split: list[list], known: dict, learn) -> Iterator[bytes]:
+        """The ids of each list of words or parts; those not known yet are learned together."""
+        found = [list(map(known.get, words)) for words in split]
+        places: list[list[int]] = []
+        new: set = set()
+        for words, ids in zip(split, found, strict=True):
+            at, some = -1, []
+            for _ in range(ids.count(None)):
+                at = ids.index(None, at + 1)
+                some.append(at)
+            new.update([words[at] for at in some])
+            places.append(some)
+        if new:
+            learn(list(new))
+            for words, ids, some in zip(split, found, places, strict=True):
+                for at in some:
+                    ids[at] = known[words[at]]
+        return map(b"".join, found)
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}

@@ -196,6 +196,17 @@ def test_substring_dedup(docs, rows):
     assert sum(w[2] for w in want) > 100
 
 
+def test_parts_of_plain_texts_are_what_is_kept():
+    from tokenizers import Tokenizer
+    library = Tokenizer.from_file(packing.tokenizer_path())
+    own = packing.WordTokenizer(packing.tokenizer_path())
+    plain = ["The word's they'll WE'RE \"'so''s 12,5 _a_ x\t\x0b\r\n\x0cÉté İ".replace("İ", "Ÿ"), "a'd'S'ss ''t ...'m Ðð ıĸ ŉ".replace("ŉ", "Ŋ"), "", " \n"]
+    assert [np.frombuffer(x, "<u4").tolist() for x in own(plain)] == [library.encode(t, add_special_tokens=False).ids for t in plain]
+    assert own.parts and not own.words                    # plain texts need no ids of whole words
+    other = [*plain, "x\x1cy a\u00a0b", "J\u030c <|endoftext|> <|ENDOFTEXT|>", "漢字 “Quoted” – Ünï", "İstanbul ſ ŉ ß×÷", None]
+    assert [np.frombuffer(x, "<u4").tolist() for x in own(other)] == [library.encode(t or "", add_special_tokens=False).ids for t in other]
+
+
 def test_packing(docs, rows):
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(packing.tokenizer_path())
