@@ -4,7 +4,9 @@ Method: a word's tokens are proposed by greedy longest match over the vocabulary
 A sequence of tokens is the exact encoding of its bytes if, and only if, every two
 adjacent tokens are compatible: merging both together never joins pieces of one with
 pieces of the other. All adjacent pairs of a batch of words are tested at once with
-numpy; only the words with an incompatible pair are merged step by step.
+numpy. An incompatible pair is merged step by step, once in a worker, and put in its place,
+until all pairs of the word are compatible; the words that do not get there in a
+few rounds are merged step by step as a whole.
 
 The pair test: merges run in the order of their rank, then from left to right. While
 nothing crosses the border of tokens a and b, the piece that ends a is a node of a's
@@ -26,6 +28,7 @@ from __future__ import annotations
 
 import heapq
 import json
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +39,8 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 
 from .text import batches_of, ranges
 
-KEPT_WORDS = 200_000            # words whose ids a worker keeps, about
+KEPT_WORDS = 200_000            # words, and pairs of tokens, whose ids a worker keeps, about
+ROUNDS = 8                      # how often pairs that fail are put right before a word is merged as a whole
 ROWS = 500                      # rows of a batch that are Python objects at once
 _NONE = np.iinfo(np.int64).max
 
@@ -108,6 +112,7 @@ class ByteBpe:
 
         self.raw = raw
         self.words: dict[str, bytes] = {}
+        self.pairs: dict[tuple[int, int], list[int]] = {}
         self.failed = 0                                    # words merged step by step so far
         self.tokens: dict[bytes, int] = {}                 # filled when something is encoded
 
@@ -187,21 +192,49 @@ class ByteBpe:
                 heapq.heappush(waiting, (p[0], before[i]))
         return [t for t in ids if t >= 0]
 
+    def joined(self, a: int, b: int) -> list[int]:
+        """The encoding of the bytes of two tokens."""
+        if (found := self.pairs.get((a, b))) is None:
+            found = self.pairs[a, b] = self.merged(self.raw[a] + self.raw[b])
+        return found
+
     def learn(self, words: list[str]) -> None:
-        """Keep the ids of ``words``: propose, verify all adjacent pairs, merge what fails."""
+        """Keep the ids of ``words``: propose, verify all adjacent pairs, and put the encoding of both in the place of each
+        pair that fails; what still fails after ``ROUNDS`` of that is merged as a whole."""
         raw = [w.encode() for w in words]
         found = [[t] if (t := self.tokens.get(w)) is not None else self.propose(w) for w in raw]
-        counts = np.array([len(x) for x in found], dtype=np.int64)
-        flat = np.array([t for x in found for t in x], dtype=np.int64)
-        owner = np.repeat(np.arange(len(found)), counts)
-        inner = np.flatnonzero(owner[1:] == owner[:-1])
-        pairs, which = np.unique(flat[inner] * self.size + flat[inner + 1], return_inverse=True)
-        bad = self.first_crossing(pairs // self.size, pairs % self.size) < _NONE
-        for i in np.unique(owner[inner[bad[which]]]):
-            found[i] = self.merged(raw[i])
-            self.failed += 1
-        for word, x in zip(words, found, strict=True):
-            self.words[word] = np.array(x, dtype="<i4").tobytes()
+        if len(self.pairs) > KEPT_WORDS:
+            self.pairs = {}
+        open_words = [i for i, x in enumerate(found) if len(x) > 1]
+        for left in range(ROUNDS, -1, -1):
+            some = [found[i] for i in open_words]
+            flat = np.fromiter(chain.from_iterable(some), dtype=np.int64)
+            counts = np.fromiter(map(len, some), dtype=np.int64, count=len(some))
+            owner = np.repeat(np.arange(len(some)), counts)
+            inner = np.flatnonzero(owner[1:] == owner[:-1])
+            pairs, which = np.unique(flat[inner] * self.size + flat[inner + 1], return_inverse=True)
+            bad = inner[(self.first_crossing(pairs // self.size, pairs % self.size) < _NONE)[which]]
+            if not len(bad):
+                break
+            failed = [open_words[i] for i in np.unique(owner[bad]).tolist()]
+            if not left:
+                for i in failed:
+                    found[i] = self.merged(raw[i])
+                self.failed += len(failed)
+                break
+            places = (bad - (np.cumsum(counts) - counts)[owner[bad]]).tolist()
+            last, taken = -1, 0
+            for i, at in zip(owner[bad].tolist()[::-1], places[::-1], strict=True):      # from right to left
+                if i == last and at + 1 == taken:
+                    continue                               # its right token has changed
+                x = some[i]
+                x[at:at + 2] = self.joined(x[at], x[at + 1])
+                last, taken = i, at
+            open_words = [i for i in failed if len(found[i]) > 1]
+        ids = np.fromiter(chain.from_iterable(found), dtype="<i4").tobytes()
+        ends = list(accumulate([4 * len(x) for x in found]))
+        for word, lo, hi in zip(words, [0, *ends], ends, strict=False):
+            self.words[word] = ids[lo:hi]
 
     # ---------------------------------------------------------------- texts
 

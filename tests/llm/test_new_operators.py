@@ -230,6 +230,16 @@ def test_pair_test_agrees_with_merging():
         assert (b.merged(raw[u] + raw[v]) == [u, v]) == free
 
 
+def test_failing_pairs_are_put_right_without_merging_whole_words():
+    b = bpe.ByteBpe(bpe.tokenizer_path())
+    rng = random.Random(4)
+    words = sorted({" " + "".join(rng.choice("etaonrishdluWASN01") for _ in range(rng.randrange(2, 40))) for _ in range(3000)} | {"a" * 300})
+    b.encode([" ".join(w.strip() for w in words)])
+    b.learn(words)
+    assert b.failed < 30 and len(b.pairs) > 100
+    assert [np.frombuffer(b.words[w], "<i4").tolist() for w in words] == [b.merged(w.encode()) for w in words]
+
+
 def test_splitter_classes_of_settled_characters():
     splitter = Tokenizer.from_file(bpe.tokenizer_path()).pre_tokenizer
     for low in range(0, 0x10000, 128):
