@@ -30,23 +30,25 @@ class Adam:
                                / (np.sqrt(self.v[k] / (1 - 0.999 ** self.t)) + 1e-8)).astype(self.params[k].dtype)
 
 
-def calibrate(scores: np.ndarray, labels: np.ndarray, steps: int = 200) -> tuple[float, float]:
-    """(slope, shift) of a logistic fit of labels on scores, by Newton steps.
+def calibrate(scores: np.ndarray, labels: np.ndarray, steps: int = 200, weights: np.ndarray | None = None) -> tuple[float, float]:
+    """(slope, shift) of a logistic fit of labels on scores, by Newton steps. ``weights``: how often each score occurs.
 
     Targets are pulled in a little from 0 and 1, so separable scores stay finite;
     the slope is kept positive so the order of scores stays.
     """
-    n1, n0 = int(labels.sum()), int(len(labels) - labels.sum())
+    times = np.ones(len(scores)) if weights is None else weights
+    n1, n0 = int((labels * times).sum()), int(times.sum() - (labels * times).sum())
     if not n1 or not n0:
         return 1.0, 0.0
-    scale = max(float(scores.std()), 1e-6)
+    spread = scores.std() if weights is None else np.sqrt(np.cov(scores, aweights=times, ddof=0))
+    scale = max(float(spread), 1e-6)
     x = np.stack([scores / scale, np.ones(len(scores))], axis=1)
     y = np.where(labels > 0, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
     w = np.array([1.0, 0.0])
     for _ in range(steps):
         p = sigmoid(x @ w)
-        grad = x.T @ (p - y) + 1e-3 * w
-        hess = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
+        grad = x.T @ (times * (p - y)) + 1e-3 * w
+        hess = (x * (times * p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
         w = w - np.clip(np.linalg.solve(hess, grad), -2, 2)
     return max(float(w[0]), 1e-3) / scale, float(w[1])
 

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortlens.llm import neighbours, quality, secret_scan, toxicity
+from cohortlens.llm.nets import calibrate
 
 EN = [f"{a}{b}" for a in ("the", "an", "re", "in", "on", "ha", "st") for b in ("", "er", "ing", "th", "ed", "le")]
 INSULTS = ["idiot", "scum", "moron", "loser"]
@@ -324,6 +325,48 @@ def test_secret_findings_are_bounded_for_each_label(spark, make):
         assert secret_scan.fit(make(many), steps=30).threshold == 2
 
 
+@pytest.mark.parametrize("most_findings", [8000, 20])     # one training task, several
+def test_secrets_learn_from_every_finding_of_every_document(spark, make, most_findings):
+    rng = random.Random(14)
+    some = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    access = lambda: "AKIA" + some("ABCDEFGHIJKLMNOPQRSTUVWXYZ", 16)
+    rows = [(i, f"{prose(rng, 25)} beautiful {prose(rng, 5)} room-{rng.randrange(10**6)} {prose(rng, 5)}") for i in range(240)]
+    rows[77] = (77, " ".join(some("0123456789abcdef", 40) for _ in range(150)))
+    rows[88] = (None, f"{prose(rng, 5)} ".join(access() for _ in range(40)))
+    rows += [(1000 + i, f"{prose(rng, 5)} password={some('abcdefgh12345678', 20)} {prose(rng, 5)}") for i in range(30)]
+    rows += rows[77:79]
+    model = secret_scan.fit(make(rows), sample_rows=40, most_findings=most_findings, planted=10, steps=60)
+    want = Counter()                                      # different windows by kind
+    for _, text in dict(rows).items():
+        found = {(w, next(k for s, k, e in base(text) if s < end and start < e)) for start, end in secret_scan.scan(text)[1]
+                 if any(s < end and start < e for s, _, e in base(text)) for w in secret_scan.windows_of(text, start, end)}
+        want.update(secret_scan.KINDS[k] for _, k in found)
+    assert set(model.report) == {"assign", "access", "hex", "model"}
+    assert min(model.report.values()) >= 0.98 and model.threshold < 1
+    assert {k: n for k, n in model.findings.items() if k != "model"} == want
+    assert model.findings["model"] == len({text for _, text in rows})
+    got = secret_scan.find_secrets(make(rows), model).collect()
+    assert sum(r.n_model for r in got) <= 12
+
+
+def test_secret_passes_read_the_negatives_of_all_documents(spark, make):
+    """A net that finds secrets everywhere keeps every negative of the documents that are not held out."""
+    docs = make([(i, f"some ordinary{i:04d} words") for i in range(90)]).selectExpr("text", "doc_id % 3 = 0 as held")
+    net = secret_scan.CharConv(1)
+    kept = lambda model: docs.mapInArrow(secret_scan._findings(model, 1, False, 1, 5), secret_scan.FINDING).collect()
+    net.params["shift"][:] = 100
+    assert len(kept(net)) == 60 and len(kept(None)) == 90
+    net.params["shift"][:] = -100
+    assert not kept(net)
+
+
+def test_calibration_of_counted_scores():
+    rng = np.random.default_rng(3)
+    scores, times = rng.integers(-9, 10, 60) / 4, rng.integers(1, 9, 60)
+    labels = (scores + rng.standard_normal(60) > 0).astype(float)
+    assert calibrate(scores, labels, weights=times) == pytest.approx(calibrate(np.repeat(scores, times), np.repeat(labels, times)))
+
+
 def test_secret_keys_without_digits(spark, make):
     rng = random.Random(9)
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
