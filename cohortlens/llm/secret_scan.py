@@ -247,16 +247,17 @@ class CharConv:
         c = codes.astype(np.int32)
         two = c[:-1] * _CODES + c[1:]
         n = len(c) - KERNEL + 1
-        a = pair_a.take(two[:n], axis=0)                  # a[p - half]: response at place p, nothing inside
-        a += pair_b.take(two[2:2 + n], axis=0)
-        a += last.take(c[4:4 + n], axis=0)
+        a, more = _room(0, n), _room(1, n)                # a[p - half]: response at place p, nothing inside
+        pair_a.take(two[:n], axis=0, out=a, mode="clip")
+        a += pair_b.take(two[2:2 + n], axis=0, out=more, mode="clip")
+        a += last.take(c[4:4 + n], axis=0, out=more, mode="clip")
         s, e = s - half, e - half
         size = e - s - 4
         level = np.frexp(size.astype(np.float64))[1] - 1
         maxima = [a]
         for k in range(max(4, int(level.max()))):         # maxima over 2, 4, .. 32 places from each on
             m, step = maxima[-1], 1 << k
-            maxima.append(np.maximum(m[:-step], m[step:]) if len(m) > step else m)
+            maxima.append(np.maximum(m[:-step], m[step:], out=_room(2 + k, len(m) - step)) if len(m) > step else m)
         whole = w.sum(axis=0)
         # around: 16 places the inside does not touch, then two that it does, on either side
         outer = np.maximum(maxima[4].take(s - 18, axis=0), maxima[4].take(e + 2, axis=0))
@@ -269,9 +270,8 @@ class CharConv:
             x = maxima[k]
             inner[these] = np.maximum(x.take(s[these] + 2, axis=0), x.take(e[these] - 2 - (1 << int(k)), axis=0))
         inner += whole
-        a_whole = a + whole
-        np.maximum(a_whole, 0, out=a_whole)
-        mean = np.add.reduceat(a_whole, np.stack((s + 2, e - 2), axis=1).reshape(-1), axis=0)[::2]
+        np.maximum(np.add(a, whole, out=more), 0, out=more)
+        mean = np.add.reduceat(more, np.stack((s + 2, e - 2), axis=1).reshape(-1), axis=0)[::2]
         for row, part in ((s, w[2:].sum(axis=0)), (s + 1, w[1:].sum(axis=0)), (e - 2, w[:4].sum(axis=0)), (e - 1, w[:3].sum(axis=0))):
             here = a.take(row, axis=0) + part
             np.maximum(inner, here, out=inner)
@@ -280,6 +280,16 @@ class CharConv:
         return pooled @ self.params["out"] + self.params["shift"][0]
 
 
+_ROOMS: dict[int, np.ndarray] = {}
+
+
+def _room(number: int, n: int) -> np.ndarray:
+    """An array of n places to write to, the same memory for a number each time."""
+    if len(_ROOMS.get(number, ())) < n:
+        _ROOMS[number] = np.empty((n + SLAB // 4, FILTERS), dtype=np.float32)
+    return _ROOMS[number][:n]
+
+
 def laid_out(texts: list[str]) -> tuple[np.ndarray, list[int]]:
     """The coded texts one after the other with ``EDGE`` places of nothing around each, and where each begins."""
     gap, at, parts, begins = b"\x81" * EDGE, EDGE, [], []
