@@ -34,7 +34,8 @@ import re
 import warnings
 import zlib
 from bisect import bisect_left, bisect_right
-from itertools import accumulate
+from itertools import accumulate, pairwise
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +44,7 @@ from pyspark.sql import functions as F
 
 from .graph import stored
 from .nets import Adam, calibrate, sigmoid
-from .text import batches_of
+from .text import batches_of, ranges
 
 # fixed rules
 ASSIGN = re.compile(
@@ -73,18 +74,18 @@ _CODES = 130                    # ASCII, others, nothing
 
 _IN_RUN = np.zeros(256, dtype=bool)
 _IN_RUN[[ord(c) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"]] = True
-_DIGITS = re.compile(rb"[0-9]")
+_IS_DIGIT = np.zeros(256, dtype=bool)
+_IS_DIGIT[ord("0"):ord("9") + 1] = True
 
 FINDING = "codes binary, length int, kind int, turn int, held boolean"
 RESULT = ("doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_model long")
 
 
-def runs(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(start, end) of the runs of key characters of 8 or more, in bytes."""
-    buf = np.frombuffer(raw, dtype=np.uint8)
-    inside = _IN_RUN[buf]
-    edges = np.diff(np.concatenate(([False], inside, [False])).astype(np.int8))
-    starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+def runs(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, end) of the runs of key characters of 8 or more in ``laid_out`` codes."""
+    inside = _IN_RUN[codes]
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1     # the codes begin and end with nothing
+    starts, ends = edges[::2], edges[1::2]
     long = ends - starts >= MIN_CANDIDATE
     return starts[long], ends[long]
 
@@ -104,13 +105,8 @@ def base_spans(text: str, raw: bytes, longest_run: int) -> list[tuple[int, int,
 
 def scan(text: str):
     """(base spans, candidates as (start, end) code points without or with a base span)."""
-    raw = text.encode("utf-8", "surrogatepass")
-    starts, ends = runs(raw)
-    base = base_spans(text, raw, int((ends - starts).max()) if len(starts) else 0)
-    if len(raw) != len(text) and len(starts):             # bytes to code points
-        lead = np.concatenate(([0], np.cumsum((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)))
-        starts, ends = lead[starts], lead[ends]
-    return base, list(zip(starts.tolist(), ends.tolist(), strict=True))
+    found = candidates([text])
+    return found.base[0], list(zip((found.starts - EDGE).tolist(), (found.ends - EDGE).tolist(), strict=True))
 
 
 def coded(text: str) -> bytes:
@@ -311,28 +307,43 @@ def _parts(batches, *columns: str):
                 yield texts[at:end], *[part.column(c).slice(at, end - at) for c in columns]
 
 
-def _candidates(texts: list[str], codes: bytes, begins: list[int]):
-    """(text number, [(kind, start, end)]) of the texts' candidates, places in ``codes``."""
-    for i, text in enumerate(texts):
-        base, found = scan(text)
-        begin, out = begins[i], []
-        base_starts = [s for s, _, _ in base]
-        reach = list(accumulate((e for _, _, e in base), max))
-        for start, end in found:
-            kind = -1
-            if base:
-                before = bisect_left(base_starts, end)
-                if before and reach[before - 1] > start:
-                    kind = base[bisect_right(reach, start)][1]
-            if kind < 0 and not _DIGITS.search(codes, begin + start, begin + end):
-                kind = LETTERS
-            out.append((kind, begin + start, begin + end))
-        yield i, out
-
-
-def _stretches(candidates):
-    """(kind, start, end) of the windows of candidates."""
-    return [(kind, a, b) for kind, start, end in candidates for a, b in (pieces(start, end) if end - start > WINDOW else ((start, end),))]
+class Candidates(NamedTuple):
+    laid: np.ndarray            # the ``laid_out`` texts
+    begins: list[int]
+    base: list[list[tuple[int, int, int]]]
+    starts: np.ndarray          # of all candidates, in order, places in ``laid``
+    ends: np.ndarray
+    owner: np.ndarray           # text number of each
+    kinds: np.ndarray           # of the base span that it meets; without one -1, or ``LETTERS``
+
+
+def candidates(texts: list[str]) -> Candidates:
+    """The base spans and the candidates of the texts."""
+    laid, begins = laid_out(texts)
+    starts, ends = runs(laid)
+    owner = np.searchsorted(begins, starts, "right") - 1
+    longest = np.zeros(len(texts), dtype=np.int64)
+    np.maximum.at(longest, owner, ends - starts)
+    base = [base_spans(text, text.encode("utf-8", "surrogatepass"), n) for text, n in zip(texts, longest.tolist(), strict=True)]
+    digits = np.concatenate(([0], np.cumsum(_IS_DIGIT[laid], dtype=np.int32)))
+    kinds = np.where(digits[ends] > digits[starts], -1, LETTERS)
+    for i, spans in enumerate(base):
+        if spans:
+            base_starts = [begins[i] + s for s, _, _ in spans]
+            reach = list(accumulate((begins[i] + e for _, _, e in spans), max))
+            for j in range(*np.searchsorted(owner, (i, i + 1)).tolist()):
+                before = bisect_left(base_starts, ends[j])
+                if before and reach[before - 1] > starts[j]:
+                    kinds[j] = spans[bisect_right(reach, starts[j])][1]
+    return Candidates(laid, begins, base, starts, ends, owner, kinds)
+
+
+def _stretches(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number of the candidate, start, end) of the ``pieces`` of candidates."""
+    counts = np.maximum(1, -((STRIDE + starts - ends) // STRIDE))
+    of = np.repeat(np.arange(len(starts)), counts)
+    at = ranges(np.zeros(len(starts), dtype=np.int64), counts) * STRIDE + starts[of]
+    return of, at, np.minimum(ends[of], at + WINDOW)
 
 
 def _window(codes: bytes, start: int, end: int) -> tuple[bytes, int]:
@@ -345,25 +356,30 @@ def _findings(model: CharConv | None, turn: int, positives: bool, planted: int,
     model does not place below the margin; without a model all negatives, held out or not."""
     def find(batches):
         for texts, held in _parts(batches, "held"):
-            held = held.to_pylist()
-            laid, begins = laid_out(texts)
-            codes, rows, asked = laid.tobytes(), [], []
-            for i, found in _candidates(texts, codes, begins):
-                plain = [c for c in found if c[0] < 0]
-                if model is None or not held[i]:
-                    asked += [(*x, held[i]) for x in _stretches(plain)]
-                if positives:
-                    sure = [(*_window(codes, a, b), kind) for kind, a, b in _stretches([c for c in found if c[0] >= 0])]
-                    around = plain or found
+            held = np.array(held.to_pylist(), dtype=bool)
+            found = candidates(texts)
+            codes, rows = found.laid.tobytes(), []
+            if positives:
+                starts, ends, kinds = found.starts.tolist(), found.ends.tolist(), found.kinds.tolist()
+                bounds = np.searchsorted(found.owner, np.arange(len(texts) + 1)).tolist()
+                for i, (lo, hi) in enumerate(pairwise(bounds)):
+                    if lo == hi:
+                        continue
+                    sure = [(*_window(codes, a, b), kinds[j]) for j in range(lo, hi) if kinds[j] >= 0 for a, b in pieces(starts[j], ends[j])]
+                    around = ([j for j in range(lo, hi) if kinds[j] < 0] if sure else None) or range(lo, hi)
                     rng = np.random.default_rng([seed, zlib.crc32(texts[i].encode("utf-8", "surrogatepass"))])
-                    picks = rng.integers(len(around), size=planted).tolist() if around else []
-                    contexts = [_window(codes, *pieces(*around[j][1:])[0]) for j in picks]
+                    picks = [around[j] for j in rng.integers(len(around), size=planted).tolist()]
+                    contexts = [_window(codes, *pieces(starts[j], ends[j])[0]) for j in picks]
                     sure += [(w, n, 3) for w, n in _planted(contexts, rng)]
                     rows += [(w, n, kind, turn, zlib.crc32(w) % HELD == 0) for w, n, kind in sure]
-            if asked and model is not None:
-                scores = model.scan_scores(laid, np.array([x[1] for x in asked]), np.array([x[2] for x in asked]))
-                asked = [asked[j] for j in np.flatnonzero(scores > -MARGIN).tolist()]
-            rows += [(*_window(codes, a, b), kind, turn, out) for kind, a, b, out in asked]
+            asked = np.flatnonzero((found.kinds < 0) & ~(held[found.owner] & (model is not None)))
+            of, a, b = _stretches(found.starts[asked], found.ends[asked])
+            if model is not None:
+                kept = np.flatnonzero(model.scan_scores(found.laid, a, b) > -MARGIN)
+                of, a, b = of[kept], a[kept], b[kept]
+            of = asked[of]
+            rows += [(*_window(codes, *x[:2]), x[2], turn, x[3]) for x in zip(
+                a.tolist(), b.tolist(), found.kinds[of].tolist(), held[found.owner[of]].tolist(), strict=True)]
             rows = list(dict.fromkeys(rows))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[j] for r in rows], kind) for j, kind in
@@ -445,10 +461,10 @@ def _plain_scores(model: CharConv):
     """How many windows of the texts' negatives have a raw score in each bin."""
     def count(batches):
         for (texts,) in _parts(batches):
-            laid, begins = laid_out(texts)
-            asked = _stretches([c for _, found in _candidates(texts, laid.tobytes(), begins) for c in found if c[0] < 0])
-            places = np.array([x[1:] for x in asked], dtype=np.int64).reshape(-1, 2)
-            bins, n = np.unique(_bins(model.scan_scores(laid, places[:, 0], places[:, 1])), return_counts=True)
+            found = candidates(texts)
+            plain = found.kinds < 0
+            _, a, b = _stretches(found.starts[plain], found.ends[plain])
+            bins, n = np.unique(_bins(model.scan_scores(found.laid, a, b)), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(bins, pa.int32()), pa.array(n, pa.int64())], ["bin", "n"])
     return count
 
@@ -543,28 +559,14 @@ def _mark(model: CharConv):
 
 
 def _mark_rows(model: CharConv, doc_ids: pa.Array, texts: list[str]) -> pa.RecordBatch:
-    spans, starts, ends, owner = [], [], [], []
-    codes, begins = laid_out(texts)
-    for i, text in enumerate(texts):
-        base, candidates = scan(text)
-        spans.append(base)
-        base_starts = [s for s, _, _ in base]
-        reach = list(accumulate((e for _, _, e in base), max))
-        begin = begins[i]
-        for start, end in candidates:
-            if base:
-                before = bisect_left(base_starts, end)
-                if before and reach[before - 1] > start:
-                    continue
-            for a, b in pieces(start, end) if end - start > WINDOW else ((start, end),):
-                starts.append(begin + a)
-                ends.append(begin + b)
-                owner.append((i, start, end))
-    p = model.probability(model.scan_scores(codes, np.array(starts, dtype=np.int64), np.array(ends, dtype=np.int64)))
+    found = candidates(texts)
+    spans, plain = found.base, np.flatnonzero(found.kinds < 0)
+    of, a, b = _stretches(found.starts[plain], found.ends[plain])
+    p = model.probability(model.scan_scores(found.laid, a, b))
     added: list[set] = [set() for _ in texts]
-    for number in np.flatnonzero(p >= model.threshold).tolist():
-        i, start, end = owner[number]
-        added[i].add((start, 3, end))
+    for j in plain[of[p >= model.threshold]].tolist():
+        i = int(found.owner[j])
+        added[i].add((int(found.starts[j]) - found.begins[i], 3, int(found.ends[j]) - found.begins[i]))
     name = lambda found: ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in sorted(found))
     count = lambda k: pa.array([sum(x[1] == k for x in s) for s in spans], pa.int64())
     return pa.RecordBatch.from_arrays(

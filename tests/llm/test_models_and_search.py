@@ -397,3 +397,28 @@ def test_rounds_learn_the_same_at_any_scale(spark):
         lists.append({r.id: bytes(r.near) for r in index.graph.select("id", "near").collect()})
         assert index.changes[0] > 0
     assert lists[0] == lists[1]
+
+
+def test_candidates_of_many_texts_at_once():
+    rng = random.Random(8)
+    letters = "ab9Z=/ .é\x00\n\U0001f600"
+    key = "0123456789abcdef" * 2
+    texts = ["", "é" * 30, key, f"x {key}é{key}x", "token = abcdefgh1 AKIA" + "Q" * 12 + " plainletters 12345678", "w" * 300]
+    texts += ["".join(rng.choice(letters) * rng.choice((1, 1, 9)) for _ in range(rng.randrange(40))) + rng.choice(("", key)) for _ in range(300)]
+    found = secret_scan.candidates(texts)
+    got = [[] for _ in texts]
+    for i, s, e, kind in zip(found.owner, found.starts, found.ends, found.kinds, strict=True):
+        got[i].append((s - found.begins[i], e - found.begins[i], kind))
+    for i, text in enumerate(texts):
+        spans, want = sorted(base(text)), []
+        for m in re.finditer(r"[A-Za-z0-9+/_.=-]{8,}", text):
+            met = [k for s, k, e in spans if s < m.end() and m.start() < e]
+            want.append((*m.span(), met[0] if met else -1 if re.search("[0-9]", m[0]) else secret_scan.LETTERS))
+        assert got[i] == want
+        assert [x[:2] for x in want] == secret_scan.scan(text)[1]
+        assert found.base[i] == spans
+    of, a, b = secret_scan._stretches(found.starts, found.ends)
+    assert [(i, *x) for i, (s, e) in enumerate(zip(found.starts.tolist(), found.ends.tolist(), strict=True))
+            for x in secret_scan.pieces(s, e)] == list(zip(of.tolist(), a.tolist(), b.tolist(), strict=True))
+    empty = secret_scan.candidates([])
+    assert not len(empty.starts) and not len(secret_scan._stretches(empty.starts, empty.ends)[0])
