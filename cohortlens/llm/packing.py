@@ -57,8 +57,9 @@ _PARTS = re.compile(r"[a-zß-öø-įı-ňŊ-ž]+|\d|'s|'t|'re|'ve|'m|'ll|'d|(?:[
 class WordTokenizer:
     """Ids of whole texts as little-endian unsigned 32-bit bytes.
 
-    A plain text is cut into the parts that the splitter makes of it ("The", "the," and "the."
-    share a part), whose ids are kept; new parts are tokenised many at a time. Of other texts
+    Of a plain text the ids of its words in lower case are kept. New words are cut into the parts
+    that the splitter makes of them ("the," and "the." share a part), whose ids are kept with
+    those of the words; new parts are tokenised many at a time. Of other texts
     the ids of words are kept: plain words by their parts, others go to the tokenizer whole.
     """
 
@@ -72,7 +73,7 @@ class WordTokenizer:
         size = self.tokenizer.get_vocab_size()
         self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
         self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}                  # parts, and words in lower case
 
     def _encode(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
@@ -98,14 +99,20 @@ class WordTokenizer:
             self.words[word] = (self._encode(text).tobytes() if parts is None else
                                 known[parts[0]] if len(parts) == 1 else b"".join([known[x] for x in parts]))
 
+    def _learn_plain(self, words: list[str]) -> None:
+        split = [[w] if w.isalpha() else _PARTS.findall(w) for w in words]
+        known = self.parts
+        self._learn_parts(list(set().union(*split).difference(known)))
+        known.update([(w, b"".join([known[x] for x in parts])) for w, parts in zip(words, split, strict=True) if len(parts) > 1])
+
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         if len(self.words) > KEPT_WORDS:
             self.words = {}
         if len(self.parts) > KEPT_WORDS:
             self.parts = {}
         plain = [t is not None and "<|" not in t and _PLAIN_TEXT.fullmatch(t) is not None for t in texts]
-        of_parts = self._looked_up([_PARTS.findall(t.lower()) for t, p in zip(texts, plain, strict=True) if p],
-                                   self.parts, self._learn_parts)
+        of_parts = self._looked_up([t.lower().split() for t, p in zip(texts, plain, strict=True) if p],
+                                   self.parts, self._learn_plain)
         of_words = self._looked_up([(t or "").encode().split() for t, p in zip(texts, plain, strict=True) if not p],
                                    self.words, self._learn)
         return [next(of_parts if p else of_words) for p in plain]

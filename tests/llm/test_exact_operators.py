@@ -279,3 +279,23 @@ def test_mix_draws_add_up_and_permute():
     packing.pack, lambda d: mixing.Mix(d).documents(), lambda d: mixing.Mix(d).texts()])
 def test_empty_table(make, apply):
     assert apply(make([])).count() == 0
+
+
+def test_plain_words_are_cut_into_parts_once(monkeypatch):
+    from tokenizers import Tokenizer
+    library = Tokenizer.from_file(packing.tokenizer_path())
+    own, cut = packing.WordTokenizer(packing.tokenizer_path()), []
+
+    class Parts:
+        def findall(self, text, splitter=packing._PARTS):
+            cut.append(text)
+            return splitter.findall(text)
+
+    monkeypatch.setattr(packing, "_PARTS", Parts())
+    texts = ["It's 12 o'clock, the end. THE END! It's", "the end. Élan_vital\tx1y2\x0bclock", "", None, "the end. naïve 中文 it's"] * 3
+    want = [np.array(library.encode(t or "", add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+    assert own(texts) == want and cut
+    cut.clear()
+    assert own(texts) == want and not cut                 # words seen before are not cut again
+    monkeypatch.setattr(packing, "KEPT_WORDS", 3)
+    assert own(texts[::-1]) == want[::-1]
