@@ -136,11 +136,16 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 def batches_of(texts, most: int = 1 << 20):
     """(first, last) of runs of texts of about ``most`` characters."""
+    yield from batches_of_sizes([len(t or "") for t in texts], most)
+
+
+def batches_of_sizes(sizes: list[int], most: int = 1 << 20):
+    """``batches_of`` texts of these sizes."""
     at = 0
-    while at < len(texts):
+    while at < len(sizes):
         end, size = at, 0
-        while end < len(texts) and (end == at or size + len(texts[end] or "") <= most):
-            size += len(texts[end] or "")
+        while end < len(sizes) and (end == at or size + sizes[end] <= most):
+            size += sizes[end]
             end += 1
         yield at, end
         at = end

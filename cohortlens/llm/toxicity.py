@@ -25,11 +25,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .nets import Adam, calibrate, fold, one_row_each, sample_ids, sigmoid
-from .text import SPACES, batches_of, ranges, span_hashes, word_spans
+from .text import SPACES, batches_of_sizes, ranges, span_hashes, word_spans
 
 FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.7
@@ -319,10 +320,11 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2500, most_words: i
 def _score_rows(net: BiGru | None, threshold: float):
     def score(batches):
         for batch in batches:
-            texts = batch.column("text").to_pylist()
+            texts = batch.column("text")
             p = np.full(len(texts), 0.5)
-            for at, end in batches_of(texts) if net is not None else ():
-                p[at:end] = net.scores(texts[at:end])
+            sizes = pc.fill_null(pc.utf8_length(texts), 0).to_pylist() if net is not None else []
+            for at, end in batches_of_sizes(sizes):       # only the texts at hand are Python objects
+                p[at:end] = net.scores(texts.slice(at, end - at).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(p), pa.array((p >= threshold).astype(np.int32))],
                 ["doc_id", "held_out", "score", "predicted"])

@@ -2,10 +2,12 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -422,3 +424,22 @@ def test_candidates_of_many_texts_at_once():
             for x in secret_scan.pieces(s, e)] == list(zip(of.tolist(), a.tolist(), b.tolist(), strict=True))
     empty = secret_scan.candidates([])
     assert not len(empty.starts) and not len(secret_scan._stretches(empty.starts, empty.ends)[0])
+
+
+def test_toxicity_holds_the_texts_at_hand_only():
+    class Net:
+        def scores(self, texts):
+            sizes.append(sum(len(t or "") for t in texts))
+            peaks.append(tracemalloc.get_traced_memory()[0])
+            return np.array([len(t or "") for t in texts], dtype=float)
+
+    sizes, peaks = [], []
+    texts = ["é" * 40_000, None, ""] * 400
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(len(texts))), pa.array([False] * len(texts)), pa.array(texts)], ["doc_id", "held_out", "text"])
+    tracemalloc.start()
+    got = list(toxicity._score_rows(Net(), 0.7)(iter([batch])))
+    tracemalloc.stop()
+    assert got[0].column("score").to_pylist() == [len(t or "") for t in texts]
+    assert max(sizes) <= 1 << 20 and sum(sizes) == 400 * 40_000
+    assert max(peaks) < 6_000_000                         # all texts are 16 MB at the least
