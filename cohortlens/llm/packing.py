@@ -38,7 +38,7 @@ CAPACITY = 2048
 NEARLY_FULL = 0.995
 LEAST_GAIN = 0.005              # share of the open bins that a round must take away to be followed by another
 GROUP_BINS = 256
-KEPT_WORDS = 1_200_000          # words, and parts of words, whose ids a worker keeps, about
+KEPT_WORDS = 400_000            # words, and parts of words, whose ids a worker keeps, about
 _ITEMS = ("doc_id long, piece int, start long, length long, ids_crc32 long, bin long, offset long, fill int")
 
 
@@ -59,7 +59,7 @@ class WordTokenizer:
 
     Of a plain text the ids of its words in lower case are kept. New words are cut into the parts
     that the splitter makes of them ("the," and "the." share a part), whose ids are kept with
-    those of the words; new parts are tokenised many at a time. Of other texts
+    those of the words made of known parts; new parts are tokenised many at a time. Of other texts
     the ids of words are kept: plain words by their parts, others go to the tokenizer whole.
     """
 
@@ -90,7 +90,7 @@ class WordTokenizer:
                 each = [self._encode(x).tobytes() for x in some]
             self.parts.update(zip(some, each, strict=True))
 
-    def _learn(self, words: list[bytes]) -> None:
+    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
         texts = b" ".join(words).decode().split(" ")
         split = [_PARTS.findall(t.lower()) if _PLAIN.fullmatch(t) and "<|" not in t else None for t in texts]
         known = self.parts
@@ -98,12 +98,17 @@ class WordTokenizer:
         for word, text, parts in zip(words, texts, split, strict=True):
             self.words[word] = (self._encode(text).tobytes() if parts is None else
                                 known[parts[0]] if len(parts) == 1 else b"".join([known[x] for x in parts]))
+        return self.words
 
-    def _learn_plain(self, words: list[str]) -> None:
+    def _learn_plain(self, words: list[str]) -> dict[str, bytes]:
         split = [[w] if w.isalpha() else _PARTS.findall(w) for w in words]
         known = self.parts
-        self._learn_parts(list(set().union(*split).difference(known)))
-        known.update([(w, b"".join([known[x] for x in parts])) for w, parts in zip(words, split, strict=True) if len(parts) > 1])
+        new = set().union(*split).difference(known)
+        self._learn_parts(list(new))
+        ids = {w: b"".join([known[x] for x in parts]) for w, parts in zip(words, split, strict=True)}
+        # a word with a part not seen before is most often seen once: its parts are kept, the word is not yet
+        known.update([(w, ids[w]) for w, parts in zip(words, split, strict=True) if len(parts) > 1 and new.isdisjoint(parts)])
+        return ids
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         if len(self.words) > KEPT_WORDS:
@@ -131,16 +136,24 @@ class WordTokenizer:
             new.update([words[at] for at in some])
             places.append(some)
         if new:
-            learn(list(new))
+            learned = learn(list(new))
             for words, ids, some in zip(split, found, places, strict=True):
                 for at in some:
-                    ids[at] = known[words[at]]
+                    ids[at] = learned[words[at]]
         return map(b"".join, found)
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
 
 
+def _loaded(path: str) -> WordTokenizer:
+    """The worker's tokenizer, with the ids that it kept in earlier tasks. (A task's function has its own
+    copy of the variables that it names, so it must ask a function of the module.)"""
+    if path not in _TOKENIZERS:
+        _TOKENIZERS[path] = WordTokenizer(path)
+    return _TOKENIZERS[path]
+
+
 def best_fit(lengths: list[int], capacity: int) -> tuple[list[int], list[int], list[int]]:
     """Best-fit decreasing: (bin, offset) of each item, and each bin's fill."""
     open_bins: list[list[int]] = [[] for _ in range(capacity + 1)]   # by room left
@@ -169,8 +182,7 @@ def _pack_partition(path: str, capacity: int, end_id: int):
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def pack(batches):
-        tokenizer = _TOKENIZERS.setdefault(path, None) or WordTokenizer(path)
-        _TOKENIZERS[path] = tokenizer
+        tokenizer = _loaded(path)
         docs, pieces, starts, lengths, crcs = [], [], [], [], []
         for batch in batches:
             texts, ids_of_docs = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()

@@ -295,7 +295,21 @@ def test_plain_words_are_cut_into_parts_once(monkeypatch):
     texts = ["It's 12 o'clock, the end. THE END! It's", "the end. Élan_vital\tx1y2\x0bclock", "", None, "the end. naïve 中文 it's"] * 3
     want = [np.array(library.encode(t or "", add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
     assert own(texts) == want and cut
+    assert own(texts) == want                             # words of new parts are kept the second time
     cut.clear()
     assert own(texts) == want and not cut                 # words seen before are not cut again
     monkeypatch.setattr(packing, "KEPT_WORDS", 3)
     assert own(texts[::-1]) == want[::-1]
+
+
+def test_packing_keeps_the_ids_of_earlier_tasks(spark, make):
+    def known(batches):
+        import pyarrow as pa
+
+        from cohortlens.llm import packing as module
+        list(batches)
+        yield pa.RecordBatch.from_pydict({"n": [len(t.parts) for t in module._TOKENIZERS.values()]}, pa.schema([("n", pa.int64())]))
+
+    packing.pack(make([(i, f"{'abcdefgh'[i % 8]}{'ijklm'[i // 8]}packingkeeps a b") for i in range(40)], partitions=1)).collect()
+    kept = spark.range(0, 64, 1, 64).mapInArrow(known, "n long").collect()
+    assert kept and max(r["n"] for r in kept) >= 40
